@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from korbwerk.llm import bpe, decontaminate, quality, token_counts, url_filter
+from korbwerk.llm import bpe, decontaminate, perspectives, pii, quality, simhash, token_counts, toxicity, url_filter
 
 QUERIES = {
+    "op2_perspectives": perspectives.query,
     "op3_decontaminate": decontaminate.query,
+    "op4_toxicity": toxicity.query,
     "op5_url_filter": url_filter.query,
+    "op6_pii": pii.query,
     "op7_token_counts": token_counts.query,
     "op8_bpe": bpe.query,
+    "op9_simhash": simhash.query,
     "op10_quality": quality.query,
 }
-ORACLE_SQL = {"op5_url_filter": url_filter.ORACLE_SQL}
+ORACLE_SQL = {"op2_perspectives": perspectives.ORACLE_SQL, "op5_url_filter": url_filter.ORACLE_SQL}
