@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from korbwerk.llm import bpe, decontaminate, perspectives, pii, quality, simhash, token_counts, toxicity, url_filter
+from korbwerk.llm import bpe, decontaminate, perspectives, pii, quality, simhash, suffix_tree, token_counts, toxicity, url_filter
 
 QUERIES = {
+    "op1_suffix_tree": suffix_tree.query,
     "op2_perspectives": perspectives.query,
     "op3_decontaminate": decontaminate.query,
     "op4_toxicity": toxicity.query,
