@@ -30,6 +30,8 @@ from korbwerk.llm.common import materialise, slices, table, words_of
 WIDTH, SEED, BITS = 3, 42, 3
 FAN, CHUNK = 8, 8192
 HOT = 20_000
+#: Times that crowded buckets are dealt again. After that a bucket shares 44 bits at least, so it can't hold more than 2^20 fingerprints.
+DEALS = 3
 #: Classes up to which so many blocks do.
 BLOCKS = ((1 << 21, 4), (1 << 31, 5), (1 << 62, 6))
 U64 = np.uint64
@@ -212,31 +214,22 @@ def linked(batches: Iterator[pa.RecordBatch], bits: int = BITS) -> Iterator[pa.R
 def find_links(classes: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
     """Links (a, b) between fingerprints whose components are those of all links. classes: distinct fp."""
     n = classes.count()
-    blocks = next(b for most, b in BLOCKS if n <= most) + bits - BITS
-
-    def keyed(rows: DataFrame, options: list[int]) -> DataFrame:
-        each = F.explode(F.array(*(F.lit(signed(m)) for m in options)))
-        return rows.select("fp", each.alias("mask")).select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp")
-
-    level, links, found = keyed(classes, masks(blocks, bits)), [], masks(blocks, bits)
-    while True:
-        crowded = materialise(level.groupBy("mask", "value").count().where(F.col("count") > hot).select("mask", "value"))
-        some = not crowded.isEmpty() and all(bin(m).count("1") < 56 for m in found)
+    found = masks(next(b for most, b in BLOCKS if n <= most) + bits - BITS, bits)
+    level = classes.select("fp", F.explode(F.array(*(F.lit(signed(m)) for m in found))).alias("mask"))
+    links = None
+    for deal in range(DEALS + 1):
+        level = level.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp")
+        crowded = materialise(level.groupBy("mask", "value").count().where(F.col("count") > hot).select("mask", "value")) if deal < DEALS else None
+        some = crowded is not None and not crowded.isEmpty()
         calm = level.join(crowded, ["mask", "value"], "left_anti") if some else level
-        links.append(calm.repartition("mask", "value").sortWithinPartitions("mask", "value").mapInArrow(lambda batches: linked(batches, bits), "a long, b long"))
+        own = calm.repartition("mask", "value").sortWithinPartitions("mask", "value").mapInArrow(lambda batches: linked(batches, bits), "a long, b long")
+        links = own if links is None else links.unionByName(own)
         if not some:
             break
-        again = level.join(crowded, ["mask", "value"], "left_semi")
-        level = None
-        parts = [keyed(again.where(F.col("mask") == signed(m)).select("fp"), finer(m, bits)) for m in found]
-        found = [x for m in found for x in finer(m, bits)]
-        for part in parts:
-            level = part if level is None else level.unionByName(part)
-        level = materialise(level)
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+        options = F.create_map(*(x for m in found for x in (F.lit(signed(m)), F.array(*(F.lit(signed(y)) for y in finer(m, bits))))))
+        level = materialise(level.join(crowded, ["mask", "value"], "left_semi").select("fp", F.explode(options[F.col("mask")]).alias("mask")).distinct())
+        found = sorted({y for m in found for y in finer(m, bits)})
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
