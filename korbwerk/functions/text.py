@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: White space as strip() of a Unicode string sees it; trim() leaves no-break spaces.
 SPACE = r"[\s\h\x{85}\x{2028}\x{2029}]"
 # Patterns of addresses and phone numbers in free text.
-EMAIL = r"[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}"
+EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 PHONE = r"(?:\+49|0)[\s\d/()-]{6,20}\d"
 URL = r"https?://[^\s<>\"')\]]+"
 SCRAPE_SUFFIXES = ("LinkedIn", "linkedin", "XING", "xing")
@@ -207,12 +207,12 @@ def section(c: Column, marker: str, most: int = 8, bullet: str = r"^\s*[-*•]")
 
 
 def sections(c: Column, markers: dict[str, str]) -> Column:
-    """A map of section to text: each line goes to the section of the last marker line before it (the first marker that fits names the section); lines before any are dropped."""
+    """A map of section to text: a marker line begins its section (the first marker that fits names it), other lines go on with it; lines before any are dropped."""
     empty = F.struct(F.lit("intro").alias("at"), F.array().cast("array<struct<k:string,v:string>>").alias("all"))
 
     def step(a: Column, line: Column) -> Column:
-        found = F.coalesce(*(F.when(line.rlike(p), F.lit(k)) for k, p in markers.items()), F.lit(None).cast("string"))
-        return F.struct(F.coalesce(found, a["at"]).alias("at"), F.when(found.isNotNull(), a["all"]).otherwise(F.concat(a["all"], F.array(F.struct(a["at"].alias("k"), F.trim(line).alias("v"))))).alias("all"))
+        at = F.coalesce(*(F.when(line.rlike(p), F.lit(k)) for k, p in markers.items()), a["at"])
+        return F.struct(at.alias("at"), F.concat(a["all"], F.array(F.struct(at.alias("k"), F.trim(line).alias("v")))).alias("all"))
 
     rows = F.aggregate(lines(c), empty, step, lambda a: a["all"])
     return F.map_from_entries(F.array(*(F.struct(F.lit(k), F.array_join(F.transform(F.filter(rows, _in(k)), lambda r: r["v"]), "\n")) for k in markers)))

@@ -193,7 +193,7 @@ def greedy_merge(spark, sf_dir):
     return dedup.greedy(docs)
 
 
-@register("SELECT doc_id, list_aggregate(list_distinct(list_transform(regexp_extract_all(text, '[A-Za-z0-9_.+-]+@[A-Za-z0-9_.-]+\\.[A-Za-z]{2,}'), lambda x: lower(x))), 'count') AS n_emails FROM documents WHERE regexp_matches(text, '[A-Za-z0-9_.+-]+@[A-Za-z0-9_.-]+\\.[A-Za-z]{2,}')")
+@register("SELECT doc_id, list_aggregate(list_distinct(list_transform(regexp_extract_all(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}'), lambda x: lower(x))), 'count') AS n_emails FROM documents WHERE regexp_matches(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}')")
 def emails_distinct(spark, sf_dir):
     """E22, W6."""
     docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(text.EMAIL))

@@ -41,7 +41,7 @@ def test_sections(spark):
     body = "vor\nAnforderungen:\n- eins\n- zwei\n\nnach\nWir bieten\nGeld"
     assert values(spark, [body], text.section(a, "Anforderungen")) == ["Anforderungen:\n- eins\n- zwei"]
     got = values(spark, [body], text.sections(a, {"req": "Anforderungen", "offer": "bieten"}))[0]
-    assert got == {"req": "- eins\n- zwei\nnach", "offer": "Geld"}
+    assert got == {"req": "Anforderungen:\n- eins\n- zwei\nnach", "offer": "Wir bieten\nGeld"}
 
 
 @pytest.mark.parametrize(
