@@ -1,9 +1,9 @@
 """Operator 4: toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-Labels are learned from rows whose crc32(doc_id) mod 4 is not 2, split by that remainder so that no step is judged by what it has seen: 0 gives the lexicon (terms
-and word beginnings that toxic texts hold far more often, added to a short list of insults), 1 the trees, 3 the calibration. Of all labelled rows, the TRAIN_ROWS of the lowest hash are
-used; this bound is the model's only sample. The features of a text are densities and counts of lexicon hits, hits near the second person, capitals,
-punctuation and disguised words, so the model is small and scores every row alone, without a shuffle.
+Labels are learned from rows whose crc32(doc_id) mod 4 is not 2, split by that remainder so that no step is judged by what it has seen: 0 and 3 give the lexicon (terms
+and word beginnings that toxic texts use far more often, with the logarithm of how much more, added to a short list of insults), 1 the trees; the calibration sees the scores that trees of one
+half of those rows give the other half. Of all labelled rows, the TRAIN_ROWS of the lowest hash are used; this bound is the model's only sample. The features of a text are densities,
+counts and weights of lexicon hits, hits near the second person, capitals, punctuation and disguised words, so the model is small and scores every row alone, without a shuffle.
 
 Null and empty texts get the score of their (zero) features. Null doc_id: not held out, never a training row. A document with several labels counts once for each.
 Without labelled rows, or with one class only, every score is the share of label 1 (0 without rows). Repeated rows get equal scores; an
@@ -12,6 +12,7 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,19 +22,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korbwerk.llm.common import slices, sums, table, words_of
+from korbwerk.llm.common import materialise, slices, sums, table, words_of
 
 TRAIN_ROWS = 30_000
 THRESHOLD = 0.3
 TREES, DEPTH, RATE, BINS, LEAF = 60, 3, 0.2, 32, 5
-STEM, LEXICON, LEAST, LIFT = 5, 2000, 3, 15.0
+STEMS, LEXICON, LEAST, LIFT, STRONG = (3, 4, 5, 6, 7), 4000, 4, 8.0, 40.0
 NEAR = 6
 CACHED = 400_000
 #: Insults and words of the second person that the lexicon begins with.
 INSULTS = frozenset("idiot idiots moron morons stupid loser losers pathetic worthless scum trash garbage clown disgusting dumb fool ugly hate hateful vermin filth filthy jerk freak bastard idioten dumm abschaum versager imbécile crétin débile idiota estúpido estúpida imbécil basura asqueroso".split())
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine deiner ihr euch euer tu te toi ton ta tes vous votre vos tú ti tuyo usted ustedes vosotros".split())
 DISGUISES = str.maketrans("013457@$!|", "oieastasii")
-FEATURES = ("words", "hit_rate", "hits", "kinds", "stem_rate", "stems", "near_rate", "near", "upper_rate", "shout_rate", "mark_rate", "punct_rate", "odd_rate", "odd_hits", "stretch_rate")
+FEATURES = ("words", "hit_rate", "hits", "kinds", "weight_rate", "weight", "strong_rate", "strong", "near_rate", "near", "upper_rate", "shout_rate", "mark_rate", "punct_rate", "odd_rate", "odd_hits", "stretch_rate")
 
 
 def term(word: str) -> str:
@@ -44,23 +45,26 @@ def term(word: str) -> str:
 class Features:
     """Dense features of texts; words are looked at once for each cache."""
 
-    def __init__(self, lexicon: frozenset[str], stems: frozenset[str], cached: int = CACHED):
+    def __init__(self, lexicon: dict[str, float], stems: dict[str, float], cached: int = CACHED):
         self.lexicon, self.stems, self.cached = lexicon, stems, cached
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.known: dict[bytes, tuple[float, ...]] = {}
 
-    def word(self, raw: bytes) -> tuple[int, ...]:
-        """hit, stem, second person, letters, capitals, shouted, !?, other punctuation, disguised, disguised hit, stretched."""
+    def weight(self, core: str) -> float:
+        """The largest weight of the term and its beginnings."""
+        return max([self.lexicon.get(core, 0.0), *(self.stems.get(core[:k], 0.0) for k in STEMS if len(core) > k)])
+
+    def word(self, raw: bytes) -> tuple[float, ...]:
+        """weight, strong, second person, letters, capitals, shouted, !?, other punctuation, disguised, disguised hit, stretched."""
         text = raw.decode()
         core = term(text)
         letters = sum(map(str.isalpha, text))
         capitals = sum(map(str.isupper, text))
         marks = text.count("!") + text.count("?")
-        hit = core in self.lexicon
-        stem = not hit and len(core) > STEM and core[:STEM] in self.stems
+        weight = self.weight(core)
         odd = not core.isalpha() and any(map(str.isalpha, core)) and not core.replace("-", "").replace("'", "").replace("’", "").isalpha()
         plain = "".join(c for c in core.translate(DISGUISES) if c.isalpha()) if odd else core
         stretched = len(core) > 3 and any(a == b == c for a, b, c in zip(core, core[1:], core[2:], strict=False))
-        return (hit, stem, core in SECOND, letters, capitals, letters > 2 and capitals == letters, marks, len(text) - letters - marks, odd, odd and (plain in self.lexicon or (len(plain) > STEM and plain[:STEM] in self.stems)), stretched)
+        return (weight, weight >= np.log(STRONG), core in SECOND, letters, capitals, letters > 2 and capitals == letters, marks, len(text) - letters - marks, odd, odd and self.weight(plain) > 0, stretched)
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
         offsets, codes, words = words_of(pc.fill_null(texts, ""), fold=False)
@@ -72,10 +76,11 @@ class Features:
         n = np.diff(offsets).astype(float)
         if not len(codes):
             return np.zeros((len(n), len(FEATURES)))
-        of = np.array([self.known[w] for w in words], np.int64)[codes]
-        hit, stem, second, letters, capitals, shouted, marks, punct, odd, odd_hit, stretched = (sums(offsets, of[:, i]).astype(float) for i in range(of.shape[1]))
+        of = np.array([self.known[w] for w in words], float)[codes]
+        hit = sums(offsets, of[:, 0] > 0).astype(float)
+        weight, strong, second, letters, capitals, shouted, marks, punct, odd, odd_hit, stretched = (sums(offsets, of[:, i]).astype(float) for i in range(of.shape[1]))
         text = np.repeat(np.arange(len(n)), np.diff(offsets))
-        toxic = np.flatnonzero(of[:, 0] | of[:, 1] | of[:, 9])
+        toxic = np.flatnonzero((of[:, 0] > 0) | (of[:, 9] > 0))
         named = np.flatnonzero(of[:, 2])
         near, kinds = np.zeros(len(n)), np.zeros(len(n))
         if len(toxic):
@@ -87,7 +92,7 @@ class Features:
                 close |= (np.abs(named[at] - toxic) <= NEAR) & (text[named[at]] == text[toxic])
             near = np.bincount(text[toxic[close]], minlength=len(n)).astype(float)
         per, letters = np.maximum(n, 1), np.maximum(letters, 1)
-        return np.stack([np.log1p(n), hit / per, hit, kinds, stem / per, stem, near / per, near, capitals / letters, shouted / per, marks / per, punct / per, odd / per, odd_hit, stretched / per], axis=1)
+        return np.stack([np.log1p(n), hit / per, hit, kinds, weight / per, weight, strong / per, strong, near / per, near, capitals / letters, shouted / per, marks / per, punct / per, odd / per, odd_hit, stretched / per], axis=1)
 
 
 @dataclass
@@ -166,8 +171,8 @@ def fit_isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Model:
     """What is sent to the tasks: lexicon, trees, calibration. Without trees every score is `share`."""
 
-    lexicon: frozenset[str]
-    stems: frozenset[str]
+    lexicon: dict[str, float]
+    stems: dict[str, float]
     trees: Trees | None
     knots: tuple[np.ndarray, np.ndarray] | None
     share: float
@@ -191,48 +196,61 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
     return docs.select(F.col("doc_id").cast("long").alias("l_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "l_id").select("text", "toxic", "r")  # `most` rows at most
 
 
-def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> tuple[frozenset[str], frozenset[str]]:
-    """Terms and word beginnings that toxic texts hold at least LIFT times as often as others; `size` at most."""
+def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> tuple[dict[str, float], dict[str, float]]:
+    """Weights of terms and of word beginnings that toxic texts use at least LIFT times as often as others; `size` at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):
-            found: dict[tuple[bool, str], list[int]] = {}
+            found: dict[tuple[int, str], list[int]] = {}
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                terms = {term(w) for w in (text or "").split()}
-                for key in {(False, t) for t in terms if 1 < len(t) < 40} | {(True, t[:STEM]) for t in terms if len(t) > STEM}:
-                    found.setdefault(key, [0, 0])[toxic] += 1
+                own: Counter[tuple[int, str]] = Counter()
+                for t, n in Counter(map(term, (text or "").split())).items():
+                    own[-1, ""] += n
+                    if 1 < len(t) < 40:
+                        own[0, t] += n
+                        for k in STEMS:
+                            if len(t) > k:
+                                own[k, t[:k]] += n
+                for key, n in own.items():
+                    row = found.setdefault(key, [0, 0, 0])
+                    row[toxic] += n
+                    row[2] += toxic
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found]), pa.array([k[1] for k in found]), pa.array([v[0] for v in found.values()], pa.int64()), pa.array([v[1] for v in found.values()], pa.int64())], ["stem", "term", "clean", "bad"])
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.int32()), pa.array([k[1] for k in found]), *(pa.array([v[i] for v in found.values()], pa.int64()) for i in range(3))], ["kind", "term", "clean", "bad", "bad_texts"])
 
-    totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    clean, bad = max(totals.get(0, 0), 1), max(totals.get(1, 0), 1)
-    counts = rows.select("text", "toxic").mapInArrow(count, "stem boolean, term string, clean long, bad long").groupBy("stem", "term").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
-    lift = (F.col("bad") / bad) / ((F.col("clean") + 0.5) / clean)
-    top = counts.where(F.col("bad") >= LEAST).where(lift >= LIFT).orderBy(F.desc(F.col("bad") * F.log(lift)), "term", "stem").limit(size).collect()
-    return INSULTS | {r["term"] for r in top if not r["stem"]}, frozenset(r["term"] for r in top if r["stem"])
+    counts = materialise(rows.select("text", "toxic").mapInArrow(count, "kind int, term string, clean long, bad long, bad_texts long").groupBy("kind", "term").agg(*(F.sum(c).alias(c) for c in ("clean", "bad", "bad_texts"))).where(f"bad_texts >= {LEAST}"))
+    total = counts.where("kind = -1").first()
+    if total is None:
+        return dict.fromkeys(INSULTS, float(np.log(STRONG))), {}
+    lift = (F.col("bad") / max(total["bad"], 1)) / ((F.col("clean") + 0.5) / max(total["clean"], 1))
+    top = counts.where("kind >= 0").withColumn("lift", lift).where(F.col("lift") >= LIFT).orderBy(F.desc(F.col("bad_texts") * F.log("lift")), "kind", "term").limit(size).collect()
+    weights = {kind: {r["term"]: float(np.log(r["lift"])) for r in top if (r["kind"] > 0) == kind} for kind in (False, True)}
+    return dict.fromkeys(INSULTS, float(np.log(STRONG))) | weights[False], weights[True]
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
     """The model, from at most `most` labelled rows."""
     rows = training_rows(docs, labels, most)
-    lexicon, stems = learn_lexicon(rows.where("r = 0"))
+    lexicon, stems = learn_lexicon(rows.where("r <> 1"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(lexicon, stems)
         for batch in slices(batches, 0):
             x = features(batch.column(0))
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2).cast(pa.int32()), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))], ["toxic", "r", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))], ["toxic", "x"])
 
-    found = rows.where("r <> 0").mapInArrow(describe, "toxic int, r int, x array<double>").collect()  # `most` rows of a few numbers at most
-    y, r = np.array([f["toxic"] for f in found], float), np.array([f["r"] for f in found])
+    found = rows.where("r = 1").mapInArrow(describe, "toxic int, x array<double>").collect()  # `most` rows of a few numbers at most
+    y = np.array([f["toxic"] for f in found], float)
     x = np.array([f["x"] for f in found]).reshape(len(found), len(FEATURES))
-    share = float(y.mean()) if len(y) else 0.0
-    if len(set(y[r == 1])) < 2:
-        return Model(lexicon, stems, None, None, share)
+    if len(set(y)) < 2:
+        return Model(lexicon, stems, None, None, float(y.mean()) if len(y) else 0.0)
     order = np.lexsort((*x.T, y))  # rows arrive in any order
-    x, y, r = x[order], y[order], r[order]
-    trees = fit_trees(x[r == 1], y[r == 1])
-    return Model(lexicon, stems, trees, fit_isotonic(trees.raw(x[r == 3]), y[r == 3]) if len(set(y[r == 3])) == 2 else None, share)
+    x, y = x[order], y[order]
+    half = np.arange(len(y)) % 2 == 0
+    raw = np.zeros(len(y))
+    for own in (half, ~half):
+        raw[~own] = fit_trees(x[own], y[own]).raw(x[~own]) if len(set(y[own])) == 2 else 0.0
+    return Model(lexicon, stems, fit_trees(x, y), fit_isotonic(raw, y), float(y.mean()))
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
