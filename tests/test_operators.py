@@ -140,3 +140,15 @@ def test_streaming(spark, tmp_path):
     push([(0, "a", "3"), (1, "b", "4")])
     run()
     assert {r.k: r.v for r in spark.read.parquet(str(tmp_path / "m" / "v=1")).collect()} == {"a": "1", "b": "4"}
+
+
+def test_progress(spark):
+    from korbwerk.operators import progress
+
+    rows = spark.createDataFrame([("fachinformatiker_ae_2026",), ("stepstone_de_dpa",), ("karriere_sw_ae",), ("foo_bar",)], "category_id string")
+    assert {(r.source, r.n, r.n_ae, r.n_dpa) for r in progress.totals(rows).collect()} == {("fachinformatiker", 1, 1, 0), ("stepstone_de", 1, 0, 1), ("karriere_suedwestfalen_de", 1, 1, 0), ("foo", 1, 0, 0), (None, 4, 2, 1)}
+    log = spark.createDataFrame([("l", 0, "2026-01-01 10:00:00 x 10/100 details"), ("l", 1, "noise"), ("l", 2, "2026-01-01 10:01:00 x 20/100 details")], "log string, ordinal long, value string")
+    assert progress.eta(log, 20, 100).first().minutes == 8.0
+    v = spark.sql("""select parse_json('{"categories": {"a": {"n": 1}}}') m, parse_json('{"categories": [{"n": 2}, {"n": 3}]}') l, parse_json('{}') e""")
+    assert tuple(v.select(*(F.size(progress.categories_of(F.col(c))) for c in "mle")).first()) == (1, 2, 0)
+    assert [tuple(r) for r in spark.range(1).select(progress.share(F.lit(1), F.lit(3)), progress.share(F.lit(1), F.lit(0))).collect()] == [("33.3%", "—")]
