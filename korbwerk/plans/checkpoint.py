@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """The rows written once to the checkpoint folder: the one that the cluster names in spark.checkpoint.dir, or our own where none is set."""
-    sc = df.sparkSession.sparkContext
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """The folder that the cluster names in spark.checkpoint.dir, or our own where none is set."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="korbwerk-checkpoint-"))
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """The rows written once to the checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

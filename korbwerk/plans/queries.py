@@ -336,3 +336,51 @@ def value_counts(spark, sf_dir):
     """A1, A2, O3: customers by nation; the nations' table is small enough for Spark to broadcast by its size."""
     joined = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return audit.value_counts(joined, "n_name")
+
+
+@register("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def event_windows_stream(spark, sf_dir):
+    """Structured Streaming over the events file: tumbling windows, all input read once, the complete result of the last micro-batch."""
+    from uuid import uuid4
+
+    from korbwerk.plans.checkpoint import ensure_checkpoint_dir
+    from korbwerk.streaming import ingest
+
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/events-{uuid4().hex}"
+    events = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    counts = ingest.windowed_counts(events, "ts", "event_type")
+    counts.writeStream.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{folder}/out")).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n")
+
+
+@register("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 1 UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0")
+def cache_union(spark, sf_dir):
+    """Current rows and the cached ones that they don't have; odd customers are current, all are cached."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_custkey").alias("ordinal"))
+    return merge.append_new(rows.where("c_custkey % 2 = 1"), rows, "c_custkey").drop("ordinal")
+
+
+@register("SELECT c_custkey, CASE WHEN c_nationkey = 3 THEN 'run' ELSE 'master' END AS origin FROM customer WHERE c_nationkey <> 3 OR c_custkey % 2 = 0")
+def source_refresh(spark, sf_dir):
+    """Rows of one nation vanish, those of this run come."""
+    master = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.lit("master").alias("origin"))
+    run = master.where("c_nationkey = 3 and c_custkey % 2 = 0").withColumn("origin", F.lit("run"))
+    return merge.refresh_source(master, run, F.col("c_nationkey") == 3).drop("c_nationkey")
+
+
+@register("SELECT event_id, user_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS delta FROM events")
+def last_delta(spark, sf_dir):
+    """W9."""
+    from korbwerk.operators import progress
+
+    return progress.changes(table(spark, sf_dir, "events"), "user_id", "event_id", "value").select("event_id", "user_id", "delta")
+
+
+@register("SELECT DISTINCT user_id FROM events WHERE event_type = (SELECT min(event_type) FROM events) AND user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def resume_pending(spark, sf_dir):
+    """Users of one event type without a finished order."""
+    events = table(spark, sf_dir, "events")
+    first = events.agg(F.min("event_type").alias("event_type"))
+    users = events.join(F.broadcast(first), "event_type", "left_semi").select("user_id").distinct()  # one row
+    return merge.pending(users, table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("user_id")), "user_id")
