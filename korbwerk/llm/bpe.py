@@ -28,7 +28,7 @@ from korbwerk.llm.common import slices, table, words_of
 from korbwerk.llm.token_counts import load_tokenizer, tokenizer_path
 
 TOKENIZER = "word_bpe_49k.json"
-CACHED = 600_000
+CACHED = 200_000
 
 
 #: Characters for which lower case, normal form C and white space are those of the library's normaliser.

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a Python worker handles at once; a longer text goes alone.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, most: int = CHUNK_B
                 start, total = i, 0
             total += n
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # workers live on for other stages
 
 
 def split_codes(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
