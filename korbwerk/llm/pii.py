@@ -111,7 +111,9 @@ def disclosing_terms(docs: DataFrame, near: int = NEAR, support: int = SUPPORT,
     around = F.concat(F.reverse(F.slice(F.reverse(left), F.lit(1), F.lit(near))), F.slice(right, F.lit(1), F.lit(near)))
     mentions = of.select("h", entity(F.col("s")).alias("entity"), F.array_distinct(around).alias("terms"))
     pairs = mentions.select("h", "entity", F.explode("terms").alias("term")).distinct().groupBy("term", "entity").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
-    pairs = materialise(pairs)
+    # a term stands in at least the texts in which it is near any entity; most common words fall by that bound and needn't be counted in the whole corpus
+    near_any = mentions.select("h", F.explode("terms").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    pairs = materialise(pairs.join(near_any, "term").where(F.col("n_both") >= F.col("n_near") * share).drop("n_near"))
     entities = mentions.select("h", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     terms = holding(docs, pairs.select("term").distinct()).groupBy("term").agg(F.count("*").alias("n_term"))
     total = docs.agg(F.count_distinct(F.xxhash64("_p_text")).alias("n_texts"))
