@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korbwerk.llm.common import materialise, slices, table, words_of
+from korbwerk.llm.common import materialise, materialise_by, release, slices, table, words_of
 
 BLOCK_BYTES = 12 << 20
 BUCKET_TOKENS = 1 << 21
@@ -303,7 +303,7 @@ def look_up(kind: int):
 
 def score_documents(docs: DataFrame, depth: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
-    blocks = materialise(make_blocks(docs).repartition("block"))
+    blocks = materialise_by(make_blocks(docs).select("block", "n_tokens", "payload"), "block")
     tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     bits = max(2, int(np.ceil(np.log2(max(tokens / BUCKET_TOKENS, 1)))))
     shift = 64 - bits
@@ -349,6 +349,7 @@ def score_documents(docs: DataFrame, depth: int = 2) -> DataFrame:
         asked = informed(answers, level, "contexts", REQUEST)
         told = asked.groupBy("bucket").cogroup(retained.select(bucket.alias("bucket"), "context", back).groupBy("bucket")).applyInArrow(look_up(2 * level), ANSWER)
         answers = answers.unionByName(materialise(told).select("block", "kind", "bucket", "payload"))
+    release(docs.sparkSession)
     return informed(answers, depth, "scores", "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
