@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from korbwerk.llm import jaccard
 from korbwerk.llm.common import materialise, slices, table, words_of
 
 WIDTH, SEED, BITS = 3, 42, 3
@@ -267,9 +268,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """The document of each component that gives it its name (of equal ids the one whose text hashes lowest), with its columns."""
-    found = with_components(materialise(fingerprinted(docs)))
+def deduplicate(docs: DataFrame, width: int = WIDTH, similarity: float | None = None) -> DataFrame:
+    """The document of each component that gives it its name (of equal ids the one whose text hashes lowest), with its columns. With `similarity`, texts of that Jaccard similarity of their shingles or more link (see jaccard.py) instead of near fingerprints."""
+    if similarity is None:
+        found = with_components(materialise(fingerprinted(docs, width)))
+    else:
+        ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"))
+        roots = components(jaccard.find_links(docs, width, similarity))
+        found = ids.join(roots, F.col("h") == F.col("node"), "left").select("doc_id", "h", F.coalesce("root", "h").alias("root"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("h").alias("t")))
     winners = found.groupBy("root").agg(first.alias("w")).select(F.col("w.i").alias("_s_id"), F.col("w.t").alias("_s_h"))
     rows = docs.withColumn("_s_own", F.xxhash64(F.col("text").cast("string")))
