@@ -1,10 +1,11 @@
 """Operator 10: quality rules with adaptive thresholds.
 
-Each text gets a few measures, all for each word: symbols, repeated lines, words in repeated 5-word windows, words equal to the word before, characters.
-A mergeable quantile sketch (KLL, built in partial aggregates on the map side) of each measure per language and source gives its median and spread; sketches of groups
+Each text gets a few measures, for each word: symbols, words in repeated 5-word windows, words equal to the word before, characters; and repeated lines for each line.
+A mergeable quantile sketch (KLL, built in partial aggregates on the map side) of each measure per language and source gives its median and tails; sketches of groups
 with fewer than LEAST documents are replaced by the merged sketch of the language, and then by that of all documents. A document is rejected where a measure lies
-beyond its group's fence: the median of that measure plus or minus its reach times the distance between the quartiles, but never closer than the slack
-that is stated for each measure, so that a group without any spread does not reject at random. Fences replace fixed cutoffs and are joined to the documents
+beyond its group's fence, which lies outside the group's tail: the TAIL and 1 - TAIL quantiles, moved out by the measure's reach times their distance from the median, or by its slack
+where that is more. The slack decides only where the tail is (almost) the median, so that a group without any spread does not reject at random. (Quartiles would not do: most texts have no
+symbol and no repeated line, so their distance is zero in every group.) Fences replace fixed cutoffs and are joined to the documents
 by language and source; that table has one row for each group. `base_failed` holds the two fixed rules of the contract.
 
 Null text: no words, n_words 0, base_failed. Null language or source is a group like any other. Repeated rows count as often as they stand there. Ties at a fence are kept.
@@ -28,9 +29,11 @@ WINDOW = 5
 LEAST = 200
 K = 200
 MARKS = b"#*$%&|<>"
+#: Up to a tenth of a group may be junk without moving its fences.
+TAIL = 0.9
 #: Measure: reach, slack.
-FENCES = {"r_symbols": (6.0, 0.2), "r_dup_lines": (6.0, 0.15), "r_repeat": (6.0, 0.2), "r_adjacent": (6.0, 0.2), "r_word_len": (8.0, 6.0)}
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_adjacent")
+FENCES = {"r_symbols": (2.0, 0.1), "r_dup_lines": (2.0, 0.1), "r_repeat": (3.0, 0.05), "r_adjacent": (10.0, 0.05), "r_word_len": (4.0, 0.5)}
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_adjacent", "n_lines")
 
 
 def repeated_words(offsets: np.ndarray, codes: np.ndarray, width: int = WINDOW) -> np.ndarray:
@@ -60,17 +63,15 @@ def repeated_words(offsets: np.ndarray, codes: np.ndarray, width: int = WINDOW)
     return sums(offsets, out)
 
 
-def duplicate_lines(texts: pa.Array) -> np.ndarray:
-    r"""For each text, the lines (between \n) that hold a word and equal an earlier line."""
+def line_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    r"""For each text, the lines (between \n) that hold a word, and those of them that equal an earlier line."""
     offsets, codes, lines = split_codes(pc.split_pattern(texts, "\n"))
     blank = np.array([not x.strip(b" \t\n\r\x0b\x0c") for x in lines.cast(pa.binary()).to_pylist()], bool)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     order = np.lexsort((codes, text))
     repeat = np.zeros(len(codes), bool)
     repeat[order[1:]] = (text[order][1:] == text[order][:-1]) & (codes[order][1:] == codes[order][:-1])
-    return sums(offsets, repeat & ~blank[codes])
-
-
+    return sums(offsets, ~blank[codes]), sums(offsets, repeat & ~blank[codes])
 
 
 def measure(texts: pa.Array) -> dict[str, np.ndarray]:
@@ -82,7 +83,8 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     again = np.zeros(len(codes), bool)
     again[1:] = codes[1:] == codes[:-1]
     again[offsets[:-1][np.diff(offsets) > 0]] = False
-    return {"n_words": np.diff(offsets), "word_chars": sums(offsets, lengths[codes]), "n_symbols": symbols, "n_dup_lines": duplicate_lines(texts), "n_repeat_words": repeated_words(offsets, codes), "n_adjacent": sums(offsets, again)}
+    lines, repeated = line_counts(texts)
+    return {"n_words": np.diff(offsets), "word_chars": sums(offsets, lengths[codes]), "n_symbols": symbols, "n_dup_lines": repeated, "n_repeat_words": repeated_words(offsets, codes), "n_adjacent": sums(offsets, again), "n_lines": lines}
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -102,13 +104,13 @@ def measured(docs: DataFrame) -> DataFrame:
 def measures() -> dict[str, Column]:
     """What the fences hold, from the counts."""
     words = F.greatest(F.col("_q_n_words"), F.lit(1)).cast("double")
-    return {"r_symbols": F.col("_q_n_symbols") / words, "r_dup_lines": F.col("_q_n_dup_lines") / words, "r_repeat": F.col("_q_n_repeat_words") / words, "r_adjacent": F.col("_q_n_adjacent") / words, "r_word_len": F.col("_q_word_chars") / words}
+    return {"r_symbols": F.col("_q_n_symbols") / words, "r_dup_lines": F.col("_q_n_dup_lines") / F.greatest(F.col("_q_n_lines"), F.lit(1)), "r_repeat": F.col("_q_n_repeat_words") / words, "r_adjacent": F.col("_q_n_adjacent") / words, "r_word_len": F.col("_q_word_chars") / words}
 
 
 def _fence(kind: str) -> list[Column]:
     reach, slack = FENCES[kind]
-    low, mid, high = (F.kll_sketch_get_quantile_double(kind, F.lit(q)) for q in (0.25, 0.5, 0.75))
-    return [(mid - F.greatest((high - low) * reach, F.lit(slack))).alias(f"{kind}_low"), (mid + F.greatest((high - low) * reach, F.lit(slack))).alias(f"{kind}_high")]
+    low, mid, high = (F.kll_sketch_get_quantile_double(kind, F.lit(q)) for q in (1 - TAIL, 0.5, TAIL))
+    return [(low - F.greatest((mid - low) * reach, F.lit(slack))).alias(f"{kind}_low"), (high + F.greatest((high - mid) * reach, F.lit(slack))).alias(f"{kind}_high")]
 
 
 def fences(rows: DataFrame) -> DataFrame:
