@@ -9,8 +9,8 @@ word. No document is shuffled.
 The index is broadcast in blocks of BLOCK_BYTES of item text at most; further blocks are further passes over the documents, which carry their hits along, so the
 benchmark's size isn't bounded by memory. Items are collected for this, one block at a time.
 
-Null texts have no words and are never contaminated; null or empty items have no windows; items with the same words (or the same id) each count, and equal
-ids count once in the digest. Repeated documents get equal results. With an empty benchmark nothing is hit. Extra columns are kept by `remove_contaminated`.
+Null texts have no words and are never contaminated; items whose text is null or without words have no windows; items with the same words (or the same id) each count, and equal
+ids count once in the digest. An item without an id hits and contaminates like any other, but isn't counted in n_items and the digest. Repeated documents get equal results. With an empty benchmark nothing is hit. Extra columns are kept by `remove_contaminated`.
 """
 
 from __future__ import annotations
@@ -49,9 +49,9 @@ def text_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return offsets, codes, words
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """Items (id as a string, words) in blocks of about `block_bytes` of text; an item alone may be larger."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
+def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """Items (id as a string or null, words) in blocks of about `block_bytes` of text; an item alone may be larger."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     block, held = [], 0
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rows = items.collect() if total <= block_bytes else items.toLocalIterator()
@@ -86,9 +86,9 @@ def word_counts(docs: DataFrame, words: list[bytes]) -> dict[bytes, int]:
     return counts
 
 
-def build_index(block: list[tuple[str, list[bytes]]], counts: dict[bytes, int], width: int) -> dict:
+def build_index(block: list[tuple[str | None, list[bytes]]], counts: dict[bytes, int], width: int) -> dict:
     """Windows under their rarest word: for each distinct window its words, the place of the prefix, and the items that hold it."""
-    windows: dict[tuple[bytes, ...], list[str]] = {}
+    windows: dict[tuple[bytes, ...], list[str | None]] = {}
     for item, words in block:
         size = min(width, len(words))
         for i in range(len(words) - size + 1):
@@ -96,11 +96,11 @@ def build_index(block: list[tuple[str, list[bytes]]], counts: dict[bytes, int],
     index: dict[bytes, list] = {}
     for window, items in windows.items():
         at = min(range(len(window)), key=lambda i: (counts[window[i]], window[i], i))
-        index.setdefault(window[at], []).append((at, window, sorted(set(items))))
+        index.setdefault(window[at], []).append((at, window, sorted({x for x in items if x is not None})))
     return index
 
 
-def mark(docs: DataFrame, block: list[tuple[str, list[bytes]]], width: int, first: bool) -> DataFrame:
+def mark(docs: DataFrame, block: list[tuple[str | None, list[bytes]]], width: int, first: bool) -> DataFrame:
     """docs with `_d_n_words`, `_d_hit` (begin and end of hit stretches, one after the other) and `_d_items`, added to those of earlier blocks."""
     names = docs.columns if first else docs.columns[:-3]
     at = names.index("text")
