@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -20,36 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder that the cluster names in spark.checkpoint.dir; only where none is set, a folder of our own."""
+    """Uses the folder that the cluster names in spark.checkpoint.dir; only a local master, where none is set, gets a folder of our own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="korbwerk-checkpoint-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="korbwerk-checkpoint-"))
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared checkpoint folder: cuts lineage, survives lost executors, and Spark's cleaner removes them when they go out of use."""
+    """The rows written once to the shared checkpoint folder: cuts lineage and survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
-    release(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of steps that are over: it does so when the driver collects garbage, in Python and then in its JVM, which a small driver rarely does by itself."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def materialise_by(df: DataFrame, key: str) -> DataFrame:
-    """As materialise(), dealt and sorted by a key. Later groupings by that key find the rows in place: without adaptive planning, the checkpoint keeps how it is dealt."""
-    conf = df.sparkSession.conf
-    adaptive = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return materialise(df.repartition(key).sortWithinPartitions(key))
-    finally:
-        conf.set("spark.sql.adaptive.enabled", adaptive)
-
-
 def slices(batches: Iterator[pa.RecordBatch], text: int = 1, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches into pieces of about `most` bytes in column `text`, in order."""
     for batch in batches:

@@ -13,15 +13,15 @@ from korbwerk.llm import perspectives, pii, simhash, suffix_tree, toxicity
 from tests.llm.test_text_operators import ODD, docs_of
 
 
-def _tree(docs):
+def _tree(docs, depth):
     """Scores of the model in plain dictionaries."""
     s = suffix_tree
-    rows = [(i, zlib.crc32(str(i).encode()) % 10 == 0, (t or "").encode().lower().split() + [s.END]) for i, t in docs]
+    rows = [(zlib.crc32(str(i).encode()) % 10 == 0 and i is not None, (t or "").encode().lower().split() + [s.END]) for i, t in docs]
     c, g = Counter(), defaultdict(Counter)
-    for _, held_out, w in rows:
+    for held_out, w in rows:
         if not held_out:
             c.update(w)
-            for d in (1, 2):
+            for d in range(1, depth + 1):
                 for k in range(d, len(w)):
                     g[tuple(w[k - d : k])][w[k]] += 1
     n, v = sum(c.values()), len(c)
@@ -31,43 +31,58 @@ def _tree(docs):
 
     def p(context, w):
         if not context:
-            return (c[w] - d0) / n if c[w] else d0 * v / n
+            return 2 ** (-round(-math.log2((c[w] - d0) / n if c[w] else d0 * v / n) * s.STEP) / s.STEP)
         if context not in retained:
             return p(context[1:], w)
         listed, back, total = retained[context]
         return max(listed.get(w, 0) - s.DISCOUNT, 0) / total + back * p(context[1:], w)
 
-    for d in (1, 2):
+    for d in range(1, depth + 1):
         new = {}
         for context, x in g.items():
             total, listed = sum(x.values()), {w: k for w, k in x.items() if k >= s.MIN_SYMBOL}
             if len(context) == d and total >= s.MIN_CONTEXT and listed:
-                code = {w: min(max(round(-math.log2(p(context[1:], w)) * s.STEP), 0), 255) / s.STEP for w in listed}
-                gain = sum(k * (math.log2(k - s.DISCOUNT) + code[w]) for w, k in listed.items()) - sum(listed.values()) * math.log2(total)
+                gain = sum(k * (math.log2((k - s.DISCOUNT) / total) - math.log2(p(context[1:], w))) for w, k in listed.items())
                 if gain > s.COST_BITS * (len(listed) + 1):
                     new[context] = (listed, max(1 - (sum(listed.values()) - s.DISCOUNT * len(listed)) / total, 1e-6), total)
         retained |= new
-    out = {}
-    for i, held_out, w in rows:
-        base = sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
-        out[i] = (held_out, len(w), sum(c[x] > 0 for x in w), n, base, sum(math.log10(p(tuple(w[max(k - 2, 0) : k]), x)) for k, x in enumerate(w)))
+    out = []
+    for held_out, w in rows:
+        base = sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w) if n else 0
+        score = sum(math.log10(p(tuple(w[max(k - depth, 0) : k]), x)) for k, x in enumerate(w)) if n else 0
+        out.append((held_out, len(w), sum(c[x] > 0 for x in w), n, base, score))
     return out, retained
 
 
+def _same_scores(rows, want, ids):
+    got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), r.score) for r in rows)
+    want = sorted((str(i), *w[:4], round(w[4], 4), w[5]) for i, w in zip(ids, want, strict=True))
+    assert [x[:5] for x in got] == [x[:5] for x in want]
+    np.testing.assert_allclose([x[5:] for x in got], [x[5:] for x in want], rtol=2e-4)
+
+
 def test_suffix_tree(spark, monkeypatch):
     rng = random.Random(4)
     words = [f"w{i}" for i in range(60)]
     phrase = " ".join(rng.choices(words, k=12))
-    texts = [*ODD, *(" ".join(rng.choices(words, k=rng.randint(0, 30))) + (f" {phrase}" if i % 3 else "") for i in range(120))]
-    want, retained = _tree(list(enumerate(texts)))
-    assert {len(c) for c in retained} == {1, 2}
-    monkeypatch.setattr(suffix_tree, "HOT_CONTEXT", 8)
+    texts = [*ODD, *(" ".join(rng.choices(words, k=rng.randint(0, 30))) + (f" {phrase}" if i % 3 else "") for i in range(120)), *["left mid one yes", "right mid one no"] * 15]
     monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", 2000)
-    for r in suffix_tree.score_documents(docs_of(spark, texts)).collect():
-        got = (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
-        assert got[:4] == want[r.doc_id][:4]
-        np.testing.assert_allclose(got[4:], want[r.doc_id][4:], rtol=1e-5)
+    monkeypatch.setattr(suffix_tree, "BUCKET_TOKENS", 500)
+    for depth, hot in ((3, 8), (5, 2), (4, 1 << 19)):  # of frequent contexts on all levels, on some, and on none
+        want, retained = _tree(list(enumerate(texts)), depth)
+        assert {1, 2, 3} <= {len(c) for c in retained}
+        monkeypatch.setattr(suffix_tree, "HOT_CONTEXT", hot)
+        _same_scores(suffix_tree.score_documents(docs_of(spark, texts), depth).collect(), want, range(len(texts)))
+    assert spark.sql("SHOW TABLES").count() == 0
+
+
+def test_suffix_tree_of_repeated_rows_null_ids_and_no_rows(spark):
+    rows = [(None, "a b c a b c"), (None, None), *[(7, "a b c d")] * 6, *[(10, "b c d")] * 3, (3, "x")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 0.5) for i, t in rows], "doc_id long, text string, lang string, payload string, block long, score double")
+    _same_scores(suffix_tree.score_documents(docs).collect(), _tree(rows, suffix_tree.DEPTH)[0], [i for i, _ in rows])
     assert suffix_tree.score_documents(docs_of(spark, [])).count() == 0
+    alone = suffix_tree.score_documents(docs.where("doc_id = 7").limit(1)).collect()
+    assert [(r.n_tokens, r.train_tokens) for r in alone] == [(5, 5)]
 
 
 def test_perspectives(spark):
