@@ -1,7 +1,7 @@
 """Operator 5: weighted URL vocabulary.
 
-An Aho-Corasick automaton finds strict and soft terms in a URL; a hit counts only between boundaries (neither neighbour is a letter or digit). One
-strict term, or SOFT_LIMIT different soft terms, reject the URL. Allow and block rules (a host with its subdomains, and a path prefix) go first: the longest
+An Aho-Corasick automaton finds weighted terms in a URL; a hit counts only between boundaries (neither neighbour is a letter or digit), and each term once. A weight of LIMIT
+in all rejects the URL: one strict term has it alone, soft terms add up to it. The vocabulary is a parameter: weights by term, or a table of them. Allow and block rules (a host with its subdomains, and a path prefix) go first: the longest
 rule that fits decides. Every row is judged alone: no shuffle, and the automaton has the size of the vocabulary.
 
 Null or a URL without "://": host and path are empty, no rule fits, and the vocabulary decides over what there is (null has no hits: allow). Ties,
@@ -10,18 +10,30 @@ repeated rows and extra columns don't matter; an empty table gives an empty resu
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from korbwerk.llm.common import table
 
-STRICT_TERMS = ("porn", "xxx", "casino", "viagra", "spam", "malware", "warez", "phishing", "escort", "jackpot")
-SOFT_TERMS = ("cheap", "pills", "free", "win", "winner", "bonus", "click", "deal", "deals", "loan", "loans", "adult", "bet", "betting", "poker", "sex", "dating", "prize", "discount", "replica", "download", "crack", "ads", "promo")
-SOFT_LIMIT = 2
+#: Weighted terms in two classes. A URL falls at LIMIT, summed over distinct terms: one strict term, or as many soft terms as it takes.
+LIMIT, STRICT, SOFT = 2, 2, 1
+STRICT_TERMS = (
+    "adultfriend", "bestiality", "bukkake", "casino", "casinos", "crackz", "deepfakes", "escort", "escorts", "fakeid", "hentai", "jackpot", "keygen", "keygens", "malware", "milf", "onlinecasino", "pharmacyonline",
+    "phishing", "porn", "porno", "pornos", "ransomware", "serialz", "spam", "spyware", "stripclub", "torrentz", "viagra", "warez", "xnxx", "xvideos", "xxx",
+)
+SOFT_TERMS = (
+    "ads", "adult", "affiliate", "bet", "bets", "betting", "bonus", "cheap", "cheats", "click", "clickbait", "coupon", "coupons", "crack", "cracked", "dating", "deal", "deals", "discount", "download", "downloads", "forex", "free", "gamble",
+    "gambling", "hack", "hacks", "hookup", "hot", "loan", "loans", "lottery", "nude", "nudes", "payday", "pills", "poker", "popup", "prize", "prizes", "promo", "referral", "replica", "replicas", "sex", "sexy", "singles", "slots",
+    "torrent", "torrents", "unlimited", "voucher", "win", "winner", "winners", "xxl",
+)
+VOCABULARY = {t: STRICT for t in STRICT_TERMS} | {t: SOFT for t in SOFT_TERMS}
+#: Terms that a vocabulary from a table may have: it is sent to all tasks.
+VOCABULARY_ROWS = 1_000_000
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
-SCHEMA = "page_id long, host string, path string, rule string, verdict string, n_strict int, n_soft int"
+SCHEMA = "page_id long, host string, path string, rule string, verdict string, n_strict int, n_soft int, weight int"
 
 _FOLD = {c: c + 32 for c in range(65, 91)}
 
@@ -47,47 +59,55 @@ def pick_rule(host: str, path: str, rules: Sequence[tuple[str, str]]) -> tuple[s
 
 
 class Vocabulary:
-    """Strict and soft terms in one automaton."""
+    """Weighted terms in one automaton."""
 
-    def __init__(self, strict: Sequence[str], soft: Sequence[str]):
+    def __init__(self, terms: Mapping[str, int]):
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
-        for weight, terms in ((1, soft), (2, strict)):
-            for term in terms:
-                self.automaton.add_word(term, (weight, term))
+        for term, weight in terms.items():
+            self.automaton.add_word(term.translate(_FOLD), (weight, len(term)))
         self.empty = not len(self.automaton)
         if not self.empty:
             self.automaton.make_automaton()
 
-    def hits(self, url: str | None) -> tuple[int, int]:
-        """Different strict and soft terms between boundaries."""
+    def hits(self, url: str | None) -> list[int]:
+        """The weights of the different terms between boundaries."""
         if not url or self.empty:
-            return 0, 0
+            return []
         text = url.translate(_FOLD)
-        found = set()
-        for last, (weight, term) in self.automaton.iter(text):
-            first = last - len(term)
+        found = {}
+        for last, (weight, size) in self.automaton.iter(text):
+            first = last - size
             if not (first >= 0 and text[first].isalnum()) and not (last + 1 < len(text) and text[last + 1].isalnum()):
-                found.add((weight, term))
-        strict = sum(weight == 2 for weight, _ in found)
-        return strict, len(found) - strict
+                found[text[first + 1 : last + 1]] = weight
+        return list(found.values())
 
 
-def filter_urls(pages: DataFrame, strict: Sequence[str] = STRICT_TERMS, soft: Sequence[str] = SOFT_TERMS, soft_limit: int = SOFT_LIMIT, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
-    """page_id, host, path, rule, verdict, n_strict and n_soft of every page."""
+def read_vocabulary(terms: DataFrame, most: int = VOCABULARY_ROWS) -> dict[str, int]:
+    """Term and weight from a table; of equal terms the largest weight. Null and empty terms are left out; more than `most` terms are an error, as they are sent to every task."""
+    rows = terms.select(F.col("term").cast("string").alias("term"), F.col("weight").cast("int").alias("weight")).where("term <> '' and weight is not null").groupBy("term").agg(F.max("weight").alias("weight")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} terms")
+    return {r["term"]: r["weight"] for r in rows}
+
+
+def filter_urls(pages: DataFrame, vocabulary: Mapping[str, int] | DataFrame = VOCABULARY, limit: int = LIMIT, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
+    """page_id, host, path, rule, verdict, n_strict, n_soft and weight of every page. vocabulary: weights by term, or a table of term and weight; a term is strict if it weighs `limit` alone."""
+    terms = read_vocabulary(vocabulary) if isinstance(vocabulary, DataFrame) else dict(vocabulary)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(strict, soft)
+        automaton = Vocabulary(terms)
         for batch in batches:
             out = []
             for url in batch.column(1).to_pylist():
                 host, path = split_url(url)
                 rule, verdict = pick_rule(host, path, rules)
-                n_strict, n_soft = vocabulary.hits(url)
-                out.append((host, path, rule, verdict or ("block" if n_strict or n_soft >= soft_limit else "allow"), n_strict, n_soft))
-            kinds = [pa.string()] * 4 + [pa.int32()] * 2
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds))], ["page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft"])
+                hits = automaton.hits(url)
+                strict, weight = sum(w >= limit for w in hits), sum(hits)
+                out.append((host, path, rule, verdict or ("block" if weight >= limit else "allow"), strict, len(hits) - strict, weight))
+            kinds = [pa.string()] * 4 + [pa.int32()] * 3
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds))], ["page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "weight"])
 
     return pages.selectExpr("cast(page_id as long) page_id", "cast(url as string) url").mapInArrow(judge, SCHEMA)
 
@@ -110,7 +130,7 @@ def _sql() -> str:
     b AS (SELECT page_id, u, translate(regexp_extract(rest, '^[^/]*'), '{upper}', '{lower}') AS host,
                  CASE WHEN contains(rest, '/') THEN substr(rest, strpos(rest, '/')) ELSE '' END AS path FROM a),
     c AS (SELECT *, CASE {fits} END AS rule, ({_sql_hits(STRICT_TERMS)})::INT AS n_strict, ({_sql_hits(SOFT_TERMS)})::INT AS n_soft FROM b)
-    SELECT page_id, host, path, rule, CASE rule {verdicts} ELSE CASE WHEN n_strict > 0 OR n_soft >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END END AS verdict, n_strict, n_soft FROM c"""
+    SELECT page_id, host, path, rule, CASE rule {verdicts} ELSE CASE WHEN {STRICT} * n_strict + {SOFT} * n_soft >= {LIMIT} THEN 'block' ELSE 'allow' END END AS verdict, n_strict, n_soft, ({STRICT} * n_strict + {SOFT} * n_soft)::INT AS weight FROM c"""
 
 
 ORACLE_SQL = _sql()
