@@ -2,11 +2,11 @@
 
 A vocabulary token is a string of byte symbols. If two symbols never stand side by side inside any token, no merge can ever join across
 them, so a cut between them is certain: the fragments on both sides are encoded alone and their ids concatenated. (The library's normaliser
-and pre-tokeniser decide what a word is; white space, which they drop, is a cut as well.) Fragments are short and repeat, so each Python worker keeps a bounded
-cache of the words that it has encoded. Decoding joins the token strings as the library does for a vocabulary without a decoder: by one space.
+and pre-tokeniser decide what a word is; white space, which they drop, is a cut as well.) Fragments are short and repeat, so each Python worker keeps the model and a
+cache of the words that it has encoded from task to task; the cache is emptied when it holds CACHE_BYTES (common.py). Decoding joins the token strings as the library does for a vocabulary without a decoder: by one space.
 
 A text with the string of an added token goes to the library whole. Null and empty texts have no ids and decode to the empty text. Rows are independent: repeated
-rows give repeated results, an empty table an empty result; extra columns are ignored by `encode` and kept by nobody.
+rows give repeated results, an empty table an empty result; extra columns are ignored by `encode` and kept by nobody. A very long text is handled alone and whole.
 """
 
 from __future__ import annotations
@@ -24,11 +24,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from korbwerk.llm.common import slices, table, words_of
+from korbwerk.llm.common import CACHE_BYTES, for_worker, slices, table, words_of
 from korbwerk.llm.token_counts import load_tokenizer, tokenizer_path
 
 TOKENIZER = "word_bpe_49k.json"
-CACHED = 200_000
 
 
 #: Characters for which lower case, normal form C and white space are those of the library's normaliser.
@@ -45,7 +44,7 @@ def byte_symbols() -> dict[int, str]:
 class ForcedBoundaryBpe:
     """BPE of words whose last symbol carries the end-of-word suffix."""
 
-    def __init__(self, path: str, cached: int = CACHED):
+    def __init__(self, path: str, cached: int = CACHE_BYTES):
         import regex
         from tokenizers.models import BPE
 
@@ -67,11 +66,12 @@ class ForcedBoundaryBpe:
         self.cached = cached
         self.strings = pa.array([x for x, _ in sorted(self.tokenizer.get_vocab().items(), key=itemgetter(1))])
         self.known: dict[bytes, bytes] = {}
+        self.held = 0
 
     def trim(self) -> None:
-        """Empties the cache if it has grown beyond its bound."""
-        if len(self.known) > self.cached:
-            self.known.clear()
+        """Empties the cache if it holds more bytes than it may."""
+        if self.held > self.cached:
+            self.known, self.held = {}, 0
 
     def cut(self, symbols: str) -> list[str]:
         """Fragments between forced boundaries."""
@@ -100,6 +100,7 @@ class ForcedBoundaryBpe:
         for i, x in enumerate(found):
             if x is None:
                 found[i] = self.known[words[i]] = self.piece(words[i].decode())
+                self.held += len(words[i]) + len(found[i]) + 160
         starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)])
         begin, ids = gather(starts, np.frombuffer(b"".join(found), np.uint32), codes)
         begin = begin[offsets]
@@ -132,7 +133,7 @@ def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
     schema = "doc_id long, n_tokens long, " + ("ids array<int>, decoded string" if with_ids else "ids_sha256 string, decoded_sha256 string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ForcedBoundaryBpe(path)
+        bpe = for_worker("bpe", path, lambda: ForcedBoundaryBpe(path))
         for batch in slices(batches):
             begin, ids = bpe.encode(batch.column(1))
             decoded = bpe.decode(begin, ids)

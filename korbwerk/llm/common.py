@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
-from collections.abc import Iterator
+import types
+from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at once; a longer text goes alone.
 CHUNK_BYTES = 3 << 20
+#: Bytes that a worker's cache holds before it is emptied.
+CACHE_BYTES = 64 << 20
+#: Rows up to which a table of a few numbers or short words is broadcast; it is joined by key beyond.
+BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +42,25 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small(rows: DataFrame) -> DataFrame:
+    """rows, marked for broadcast if they are BROADCAST_ROWS at most. rows: materialised, of a few numbers or short words."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
+def shielded(docs: DataFrame, prefix: str, operate: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """operate(docs), which names its own columns by `prefix`: columns of docs with such names are called otherwise meanwhile."""
+    clash = {c: f"held_{uuid4().hex}" for c in docs.columns if c.lower().startswith(prefix)}
+    return operate(docs.withColumnsRenamed(clash)).withColumnsRenamed({v: k for k, v in clash.items()}) if clash else operate(docs)
+
+
+def for_worker[T](slot: str, name: str, make: Callable[[], T]) -> T:
+    """What make() gives, kept for the life of a Python worker under a slot, as long as the name stays the same. (Our modules come anew with each task, so it's kept beside them.)"""
+    kept = sys.modules.setdefault("_worker_state", types.ModuleType("_worker_state")).__dict__.setdefault("kept", {})
+    if kept.get(slot, (None,))[0] != name:
+        kept[slot] = (name, make())
+    return kept[slot][1]
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: int = 1, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches into pieces of about `most` bytes in column `text`, in order."""
     for batch in batches:

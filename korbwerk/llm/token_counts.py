@@ -2,9 +2,9 @@
 
 Text is cut where a single space stands between two other non-space characters: the byte-level pre-tokeniser always starts a pre-token at such a
 space, so the token count of a text is the sum over its pieces (a piece holds one word and what is attached to it). Tier one is a compact table of the token
-lengths of the most frequent pieces, broadcast to all tasks; it has FREQUENT entries at most. Tier two is a cache in each Python worker; pieces that
-are in neither go to the tokenizers library. No piece is ever shuffled to be counted: what moves is each task's few most frequent pieces, for the table.
-The table only saves work: the counts don't depend on it, so that a task reports only its REPORTED most frequent pieces loses nothing.
+lengths of the most frequent pieces, broadcast to all tasks; it has FREQUENT entries at most. Tier two is a cache in each Python worker, kept from task to task and emptied at CACHE_BYTES
+(common.py); pieces that are in neither go to the tokenizers library. No piece is a shuffle key anywhere. The table comes from a heavy-hitter sketch of REPORTED pieces over all texts: one
+sketch leaves each task, sketches are merged in GROUPS groups by task number, and the driver merges those. The table only saves work: the counts don't depend on it.
 
 A text that contains the string of an added token goes to the library whole. Null and empty texts have 0 bytes and 0 tokens. Rows are
 independent: repeated rows give repeated results, an empty table an empty result, extra columns are ignored.
@@ -15,21 +15,21 @@ from __future__ import annotations
 import heapq
 import os
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
-from operator import itemgetter
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from korbwerk.llm.common import slices, split_codes, sums, table
+from korbwerk.llm.common import CACHE_BYTES, for_worker, slices, split_codes, sums, table
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
-FREQUENT, REPORTED, LONGEST = 50_000, 20_000, 48
-CACHED = 400_000
+FREQUENT, REPORTED, LONGEST, GROUPS = 50_000, 10_000, 48, 512
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
@@ -61,17 +61,18 @@ def plain(piece: str) -> bool:
 class Lengths:
     """Token lengths of pieces: known[x] is that of a space and x, first[x] that of x at a text's start."""
 
-    def __init__(self, tokenizer, seed: dict[str, int], cached: int):
+    def __init__(self, tokenizer, seed: dict[str, int], cached: int = CACHE_BYTES):
         self.tokenizer, self.seed, self.cached = tokenizer, seed, cached
-        self.known, self.first = dict(seed), {"": 0}
+        self.known, self.first, self.held = dict(seed), {"": 0}, 0
 
     def trim(self) -> None:
-        """Empties the caches if they have grown beyond their bound."""
-        if len(self.known) + len(self.first) > len(self.seed) + self.cached:
-            self.known, self.first = dict(self.seed), {"": 0}
+        """Empties the caches if they hold more bytes than they may."""
+        if self.held > self.cached:
+            self.known, self.first, self.held = dict(self.seed), {"": 0}, 0
 
     def _add(self, to: dict[str, int], words: Iterable[str], before: str) -> None:
         missing = [w for w in words if w not in to]
+        self.held += sum(map(len, missing)) + 120 * len(missing)
         for i in range(0, len(missing), 4096):
             part = missing[i : i + 4096]
             to.update((w, len(e.ids)) for w, e in zip(part, self.tokenizer.encode_batch_fast([before + w for w in part], add_special_tokens=False), strict=True))
@@ -111,6 +112,22 @@ class Lengths:
         return out
 
 
+def largest(counts: dict[str, int], most: int) -> dict[str, int]:
+    """The `most` largest counts; of equal ones those of the first strings."""
+    return dict(heapq.nsmallest(most, counts.items(), key=lambda x: (-x[1], x[0])))
+
+
+def sketched(counts: dict[str, int]) -> list[pa.Array]:
+    return [pa.array([list(counts)], pa.list_(pa.string())), pa.array([list(counts.values())], pa.list_(pa.int64()))]
+
+
+def merged(sketches: Iterable[tuple[list[str], list[int]]], most: int) -> dict[str, int]:
+    total: Counter[str] = Counter()
+    for pieces, n in sketches:
+        total.update(dict(zip(pieces, n, strict=True)))
+    return largest(total, most)
+
+
 def frequent_pieces(docs: DataFrame, frequent: int = FREQUENT, reported: int = REPORTED) -> list[str]:
     """The most frequent pieces over all texts; `frequent` at most."""
 
@@ -122,26 +139,29 @@ def frequent_pieces(docs: DataFrame, frequent: int = FREQUENT, reported: int = R
                 if n > 1 or x in counts:
                     counts[x] = counts.get(x, 0) + n
             if len(counts) > 8 * reported:
-                counts = dict(heapq.nlargest(4 * reported, counts.items(), key=itemgetter(1)))
-        top = [(x, n) for x, n in heapq.nlargest(reported, counts.items(), key=itemgetter(1)) if len(x) <= LONGEST and plain(x)]
-        if top:
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in top]), pa.array([n for _, n in top], pa.int64())], ["piece", "n"])
+                counts = largest(counts, 4 * reported)
+        top = largest({x: n for x, n in counts.items() if len(x) <= LONGEST and plain(x)}, reported)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % GROUPS]), *sketched(top)], ["part", "pieces", "n"])
+
+    def merge(key: tuple, sketches: pa.Table) -> pa.Table:
+        return pa.Table.from_arrays(sketched(merged(zip(sketches["pieces"].to_pylist(), sketches["n"].to_pylist(), strict=True), 4 * reported)), ["pieces", "n"])
 
-    rows = docs.selectExpr("cast(text as string) text").mapInArrow(report, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(frequent).collect()
-    return [r["piece"] for r in rows]
+    sketches = docs.selectExpr("cast(text as string) text").mapInArrow(report, "part long, pieces array<string>, n array<long>")
+    rows = sketches.groupBy("part").applyInArrow(merge, "pieces array<string>, n array<long>").collect()  # GROUPS sketches at most
+    return list(merged(((r["pieces"], r["n"]) for r in rows), frequent))
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, frequent: int = FREQUENT, cached: int = CACHED) -> DataFrame:
+def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, frequent: int = FREQUENT, cached: int = CACHE_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every document."""
     tokenizer = load_tokenizer(path)
     words = frequent_pieces(docs, frequent)
     lengths = {w: len(e.ids) for w, e in zip(words, tokenizer.encode_batch([" " + w for w in words], add_special_tokens=False), strict=True)}
-    tier_one = docs.sparkSession.sparkContext.broadcast(lengths)
+    tier_one, name = docs.sparkSession.sparkContext.broadcast(lengths), uuid4().hex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = load_tokenizer(path)
+        lengths = for_worker("token lengths", name, lambda: Lengths(load_tokenizer(path), tier_one.value, cached))
+        tok = lengths.tokenizer
         added = [t.content for t in tok.get_added_tokens_decoder().values()]
-        lengths = Lengths(tok, tier_one.value, cached)
         for batch in slices(batches):
             column = pc.fill_null(batch.column(1), "")
             n_tokens = lengths.many(column)

@@ -5,7 +5,8 @@ and word beginnings that toxic texts use far more often, with the logarithm of h
 half of those rows give the other half. Of all labelled rows, the TRAIN_ROWS of the lowest hash are used; this bound is the model's only sample. The features of a text are densities,
 counts and weights of lexicon hits, hits near the second person, capitals, punctuation and disguised words, so the model is small and scores every row alone, without a shuffle.
 
-Null and empty texts get the score of their (zero) features. Null doc_id: not held out, never a training row. A document with several labels counts once for each.
+Null and empty texts get the score of their (zero) features. Null doc_id: not held out, never a training row. A document with several labels counts once for each; of several texts
+with one doc_id the first in order is the labelled one, so there are never more training rows than labels. Very long texts are read whole.
 Without labelled rows, or with one class only, every score is the share of label 1 (0 without rows). Repeated rows get equal scores; an
 empty table gives an empty result; extra columns are ignored.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +24,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korbwerk.llm.common import materialise, slices, sums, table, words_of
+from korbwerk.llm.common import CACHE_BYTES, for_worker, materialise, slices, sums, table, words_of
 
 TRAIN_ROWS = 30_000
 THRESHOLD = 0.3
 TREES, DEPTH, RATE, BINS, LEAF = 60, 3, 0.2, 32, 5
 STEMS, LEXICON, LEAST, LIFT, STRONG = (3, 4, 5, 6, 7), 4000, 4, 8.0, 40.0
 NEAR = 6
-CACHED = 400_000
 #: Insults and words of the second person that the lexicon begins with.
 INSULTS = frozenset("idiot idiots moron morons stupid loser losers pathetic worthless scum trash garbage clown disgusting dumb fool ugly hate hateful vermin filth filthy jerk freak bastard idioten dumm abschaum versager imbécile crétin débile idiota estúpido estúpida imbécil basura asqueroso".split())
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine deiner ihr euch euer tu te toi ton ta tes vous votre vos tú ti tuyo usted ustedes vosotros".split())
@@ -45,9 +46,10 @@ def term(word: str) -> str:
 class Features:
     """Dense features of texts; words are looked at once for each cache."""
 
-    def __init__(self, lexicon: dict[str, float], stems: dict[str, float], cached: int = CACHED):
+    def __init__(self, lexicon: dict[str, float], stems: dict[str, float], cached: int = CACHE_BYTES):
         self.lexicon, self.stems, self.cached = lexicon, stems, cached
         self.known: dict[bytes, tuple[float, ...]] = {}
+        self.held = 0
 
     def weight(self, core: str) -> float:
         """The largest weight of the term and its beginnings."""
@@ -68,11 +70,12 @@ class Features:
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
         offsets, codes, words = words_of(pc.fill_null(texts, ""), fold=False)
-        if len(self.known) > self.cached:
-            self.known.clear()
+        if self.held > self.cached:
+            self.known, self.held = {}, 0
         for w in words:
             if w not in self.known:
                 self.known[w] = self.word(w)
+                self.held += len(w) + 400
         n = np.diff(offsets).astype(float)
         if not len(codes):
             return np.zeros((len(n), len(FEATURES)))
@@ -193,7 +196,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
     """text, toxic and remainder of labelled documents; at most `most` labels, those of the lowest hash."""
     chosen = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col("toxic").cast("int").alias("toxic")).where("l_id is not null and toxic in (0, 1)").withColumn("r", remainder("l_id")).where("r <> 2")
     chosen = chosen.orderBy(F.xxhash64("l_id"), "l_id", "toxic").limit(most)
-    return docs.select(F.col("doc_id").cast("long").alias("l_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "l_id").select("text", "toxic", "r")  # `most` rows at most
+    return docs.select(F.col("doc_id").cast("long").alias("l_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "l_id").groupBy("l_id", "toxic", "r").agg(F.min("text").alias("text")).select("text", "toxic", "r")  # `most` rows at most
 
 
 def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> tuple[dict[str, float], dict[str, float]]:
@@ -255,8 +258,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
+
+    name = uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features(model.lexicon, model.stems)
+        features = for_worker("toxicity", name, lambda: Features(model.lexicon, model.stems))
         for batch in slices(batches):
             score = np.clip(model.score(features(batch.column(1))), 0, 1)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])

@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from korbwerk.llm import bpe, decontaminate, quality, token_counts, url_filter
 
@@ -71,18 +72,65 @@ def test_decontamination_is_brute_force_s(spark):
     assert decontaminate.score_documents(docs_of(spark, []), benchmark).count() == 0
 
 
+def test_items_of_common_words_and_equal_words(spark):
+    items = [(i, " ".join(["the"] * n)) for i, n in enumerate((1, 2, 12, 13, 40))] + [(7, "the a " * 20), (8, "a")]
+    texts = ["the " * 30, "the a " * 9, "a the", "the " * 12 + "x " + "the " * 13, "b", ""]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = docs_of(spark, texts).withColumnRenamed("score", "_d_hit")
+    for r in decontaminate.score_documents(docs, benchmark).collect():
+        assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == decontaminate.brute_force(texts[r.doc_id], items)
+    assert {r.doc_id for r in decontaminate.remove_contaminated(docs, benchmark).collect()} == {4, 5}
+
+
 def test_url_filter(spark):
-    urls = [None, "", "no scheme", "HTTP://WWW.Example.com/en/a", "http://a.example.com/en/x", "http://example.com/en", "https://x.net/es/", "http://evilnet/es/", "http://x.net/free-win", "http://x.org/free", "http://x.org/casinos", "http://x.org/casino?x=1", "a://b?c/d#e", "://", "http://x.org/freewin-free"]
-    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    got = {r.page_id: r for r in url_filter.filter_urls(pages).collect()}
-    assert [got[i].verdict for i in (0, 3, 4, 6, 8, 9, 10, 11)] == ["allow", "allow", "block", "block", "block", "allow", "allow", "block"]
+    urls = [None, "", "no scheme", "HTTP://WWW.Example.com/en/a", "http://a.example.com/en/x", "http://example.com/en", "https://x.net/es/", "http://evilnet/es/", "http://x.net/free-win", "http://x.org/free", "http://x.org/casinoid", "http://x.org/casino?x=1", "a://b?c/d#e", "://", "http://x.org/freewin-free"]
+    pages = spark.createDataFrame([*enumerate(urls), (None, "http://x.org/XXX")], "page_id long, url string").withColumn("host", F.lit("other"))
+    rows = url_filter.filter_urls(pages).collect()
+    got = {r.page_id: r for r in rows}
+    assert [got[i].verdict for i in (0, 3, 4, 6, 8, 9, 10, 11, None)] == ["allow", "allow", "block", "block", "block", "allow", "allow", "block", "block"]
     assert (got[3].host, got[3].path, got[3].rule) == ("www.example.com", "/en/a", "www.example.com/en/")
     assert got[5].rule == "com/" and got[7].rule is None
     con = duckdb.connect()
-    con.register("pages", pa.table({"page_id": list(range(len(urls))), "url": pa.array(urls, pa.string())}))
-    cols = ("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")
-    expected = sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({url_filter.ORACLE_SQL})").fetchall())
-    assert expected == sorted(tuple(getattr(r, c) for c in cols) for r in got.values())
+    con.register("pages", pa.table({"page_id": [*range(len(urls)), None], "url": pa.array([*urls, "http://x.org/XXX"], pa.string())}))
+    cols = ("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "weight")
+    expected = sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({url_filter.ORACLE_SQL})").fetchall(), key=str)
+    assert expected == sorted((tuple(getattr(r, c) for c in cols) for r in rows), key=str)
+    assert url_filter.filter_urls(pages.limit(0)).count() == 0
+
+
+def test_url_vocabulary_from_a_table(spark):
+    terms = spark.createDataFrame([("Red", 1), ("red", 2), ("blue", 1), ("green", 1), ("grey", 5), (None, 3), ("none", None)], "term string, weight int")
+    urls = ["a://x/red", "a://x/blue", "a://x/blue-blue", "a://x/blue/green", "a://x/grey", "a://x/none"]
+    pages = spark.createDataFrame(list(enumerate(urls)) * 2, "page_id long, url string")
+    rows = url_filter.filter_urls(pages, terms, limit=2).collect()
+    assert sorted((r.page_id, r.verdict, r.weight) for r in rows) == sorted([(0, "block", 2), (1, "allow", 1), (2, "allow", 1), (3, "block", 2), (4, "block", 5), (5, "allow", 0)] * 2)
+    with pytest.raises(ValueError):
+        url_filter.read_vocabulary(terms, 2)
+
+
+def test_token_counts_move_no_pieces_and_bound_their_caches_in_bytes(spark):
+    docs = docs_of(spark, ["one two two three three three", *ODD])
+    assert token_counts.frequent_pieces(docs, 2) == ["three", "two"]
+    path = token_counts.tokenizer_path(token_counts.TOKENIZER)
+    plan = token_counts.count_tokens(docs, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    lengths = token_counts.Lengths(token_counts.load_tokenizer(path), {"a": 1}, 1000)
+    lengths.many(pa.array(["x" * 900 + " b c"]))
+    lengths.trim()
+    assert lengths.held == 0 and lengths.known == {"a": 1}
+    model = bpe.ForcedBoundaryBpe(token_counts.tokenizer_path(bpe.TOKENIZER), 1000)
+    model.encode(pa.array(["ab " + "c" * 900]))
+    model.trim()
+    assert not model.known
+
+
+@pytest.mark.parametrize("operate", [lambda d: token_counts.count_tokens(d, token_counts.tokenizer_path(token_counts.TOKENIZER)), lambda d: bpe.encode(d, token_counts.tokenizer_path(bpe.TOKENIZER), with_ids=False), quality.score_documents])
+def test_null_ids_repeated_rows_and_empty_tables(spark, operate):
+    rows = [(None, "a b", "en", "s", 1, 0.5), (None, None, None, None, None, None), (3, "a b", "en", "s", 1, 0.5), (3, "a b", "en", "s", 1, 0.5)]
+    docs = spark.createDataFrame(rows, DOCS).withColumnRenamed("score", "n_tokens")
+    got = [tuple(r)[1:] for r in operate(docs).collect()]
+    assert len(got) == 4 and len(set(map(str, got))) == 2
+    assert operate(docs.limit(0)).count() == 0
 
 
 def _measures(text):
