@@ -1,15 +1,19 @@
 """Operator 10: quality rules with adaptive thresholds.
 
-Each text gets a few measures, for each word: symbols, words in repeated 5-word windows, words equal to the word before, characters; and repeated lines for each line.
-A mergeable quantile sketch (KLL, built in partial aggregates on the map side) of each measure per language and source gives its median and tails; sketches of groups
-with fewer than LEAST documents are replaced by the merged sketch of the language, and then by that of all documents. A document is rejected where a measure lies
-beyond its group's fence, which lies outside the group's tail: the TAIL and 1 - TAIL quantiles, moved out by the measure's reach times their distance from the median, or by its slack
-where that is more. The slack decides only where the tail is (almost) the median, so that a group without any spread does not reject at random. (Quartiles would not do: most texts have no
-symbol and no repeated line, so their distance is zero in every group.) Fences replace fixed cutoffs and are joined to the documents
-by language and source; that table has one row for each group. `base_failed` holds the two fixed rules of the contract.
-
-Null text: no words, n_words 0, base_failed. Null language or source is a group like any other. Repeated rows count as often as they stand there. Ties at a fence are kept.
-An empty table gives an empty result. Extra columns are kept by `filter_documents` and ignored by `score_documents`.
+Each text gets a few measures, for each word: symbols, words in repeated 5-word windows, words equal to the word before, characters; and repeated lines for each line. Counts are
+smoothed (half a case more, one word or line more), so that texts without any case still spread by their length; fences are set on logarithms. A text is judged by the lower bound of its
+count (NOISE standard deviations of a count below it), so that a few chance cases in a short text reject nothing.
+
+A mergeable quantile sketch of each measure per language and source gives its quartiles: counts of logarithmic bins of width BIN (a DDSketch; relative error BIN / 2). It is
+built in partial aggregates on the map side, merges exactly by adding counts, and doesn't depend on order, so two runs agree. A fence lies REACH times the quartile distance outside the quartiles (Tukey's far
+fences). Nothing else decides: there is no fixed cutoff and no slack. The quartiles of a group of n documents are pooled with those of its language, which weigh as PRIOR
+documents, and those in turn with all documents': the quartiles of a few documents are uncertain by a good part of their distance, so small groups lean on their language and
+large ones on themselves, without a switch at any size. A document is rejected where a measure lies beyond its group's fence.
+Quartiles are the outer edges of their bins, so a group without any spread has fences as wide as the sketch is exact.
+Fences replace fixed cutoffs and are joined to the documents by language and source. `base_failed` holds the two fixed rules of the contract.
+
+Null text: no words, n_words 0, base_failed; such texts don't enter the sketches. Null language or source is a group like any other. Repeated rows count as often as they stand there. Ties at a fence are kept.
+An empty table gives an empty result. Extra columns, of whatever name, are kept by `filter_documents` and ignored by `score_documents`. Very long texts are measured whole.
 """
 
 from __future__ import annotations
@@ -19,20 +23,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from korbwerk.llm.common import materialise, slices, split_codes, sums, table, words_of
+from korbwerk.llm.common import materialise, shielded, slices, small, split_codes, sums, table, words_of
 
 WINDOW = 5
-LEAST = 200
-K = 200
+BIN, REACH, PRIOR, NOISE = 0.02, 3.0, 50.0, 2.0
 MARKS = b"#*$%&|<>"
-#: Up to a tenth of a group may be junk without moving its fences.
-TAIL = 0.9
-#: Measure: reach, slack.
-FENCES = {"r_symbols": (2.0, 0.1), "r_dup_lines": (2.0, 0.1), "r_repeat": (3.0, 0.05), "r_adjacent": (10.0, 0.05), "r_word_len": (4.0, 0.5)}
+KINDS = ("r_symbols", "r_dup_lines", "r_repeat", "r_adjacent", "r_word_len")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_adjacent", "n_lines")
 
 
@@ -101,30 +101,47 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def measures() -> dict[str, Column]:
-    """What the fences hold, from the counts."""
-    words = F.greatest(F.col("_q_n_words"), F.lit(1)).cast("double")
-    return {"r_symbols": F.col("_q_n_symbols") / words, "r_dup_lines": F.col("_q_n_dup_lines") / F.greatest(F.col("_q_n_lines"), F.lit(1)), "r_repeat": F.col("_q_n_repeat_words") / words, "r_adjacent": F.col("_q_n_adjacent") / words, "r_word_len": F.col("_q_word_chars") / words}
+def measures() -> dict[str, tuple[Column, Column]]:
+    """Of each measure, the logarithm that enters the sketch and the one that is held against the upper fence; the latter null if nothing speaks against the text."""
+    words = F.col("_q_n_words").cast("double")
 
+    def smoothed(count: str, of: Column) -> tuple[Column, Column]:
+        lower = F.col(count) - F.sqrt(count) * NOISE
+        return F.log((F.col(count) + 0.5) / (of + 1)), F.when(lower > 0, F.log((lower + 0.5) / (of + 1)))
 
-def _fence(kind: str) -> list[Column]:
-    reach, slack = FENCES[kind]
-    low, mid, high = (F.kll_sketch_get_quantile_double(kind, F.lit(q)) for q in (1 - TAIL, 0.5, TAIL))
-    return [(low - F.greatest((mid - low) * reach, F.lit(slack))).alias(f"{kind}_low"), (high + F.greatest((high - mid) * reach, F.lit(slack))).alias(f"{kind}_high")]
+    length = F.log(F.col("_q_word_chars") / F.greatest(words, F.lit(1.0)))
+    lines = F.col("_q_n_lines").cast("double")
+    return {"r_symbols": smoothed("_q_n_symbols", words), "r_dup_lines": smoothed("_q_n_dup_lines", lines), "r_repeat": smoothed("_q_n_repeat_words", words), "r_adjacent": smoothed("_q_n_adjacent", words), "r_word_len": (length, length)}
+
+
+def sketches(rows: DataFrame) -> DataFrame:
+    """lang, source, kind, bin and n: how many documents of the group have the measure in that bin. rows: with `_q_*`, lang and source; those without words don't count."""
+    each = F.array(*(F.struct(F.lit(i).alias("kind"), F.floor(x / BIN).cast("int").alias("bin")) for i, (x, _) in enumerate(measures().values())))
+    return rows.where("_q_n_words > 0").select("lang", "source", F.inline(each)).groupBy("lang", "source", "kind", "bin").agg(F.count("*").alias("n"))
+
+
+def quartiles(bins: DataFrame, *by: str) -> DataFrame:
+    """n (documents) and q (the lower edge of the lower quartile's bin, the upper edge of the upper one's) of each group and kind."""
+    merged = bins.groupBy(*by, "kind", "bin").agg(F.sum("n").alias("n"))
+    own = Window.partitionBy(*by, "kind")
+    ranked = merged.withColumns({"upto": F.sum("n").over(own.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)), "total": F.sum("n").over(own)})
+    return ranked.groupBy(*by, "kind").agg(F.max("total").alias("n"), F.array(*((F.min(F.when(F.col("upto") * 4 >= F.col("total") * i, F.col("bin"))) + edge) * BIN for i, edge in ((1, 0), (3, 1)))).alias("q"))
+
+
+def pooled(own: str, parent: str) -> Column:
+    """Quartiles of a group, with its parent's as PRIOR documents."""
+    return F.zip_with(f"{own}.q", parent, lambda x, y: (x * F.col(f"{own}.n") + y * PRIOR) / (F.col(f"{own}.n") + PRIOR))
 
 
 def fences(rows: DataFrame) -> DataFrame:
-    """lang, source and, for each measure, the lowest and highest value that is kept. rows: with `_q_*`, lang and source; those without words don't count."""
-    sketches = rows.where("_q_n_words > 0").select("lang", "source", *(c.alias(k) for k, c in measures().items())).groupBy("lang", "source")
-    groups = materialise(sketches.agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k, F.lit(K)).alias(k) for k in FENCES)))
-    merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(k).alias(k) for k in FENCES)]
-    limits = ["n", *(x for k in FENCES for x in _fence(k))]
-    by_source = groups.select("lang", "source", *limits)
-    by_lang = groups.groupBy("lang").agg(*merged).select(F.col("lang").alias("l_lang"), F.struct(*limits).alias("l"))
-    overall = groups.agg(*merged).where("n > 0").select(F.struct(*limits).alias("o"))
-    found = by_source.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang"))).join(F.broadcast(overall))  # overall: one row
-    names = [f"{k}_{side}" for k in FENCES for side in ("low", "high")]
-    return found.select("lang", "source", *(F.when(F.col("n") >= LEAST, F.col(x)).when(F.col("l.n") >= LEAST, F.col(f"l.{x}")).otherwise(F.col(f"o.{x}")).alias(x) for x in names))
+    """lang, source and, for each measure, the lowest and highest logarithm that is kept."""
+    bins = materialise(sketches(rows))
+    group, lang, all_ = quartiles(bins, "lang", "source").alias("g"), quartiles(bins, "lang").alias("l"), quartiles(bins).alias("a")
+    by_lang = lang.join(F.broadcast(all_), F.col("l.kind") == F.col("a.kind")).select(F.col("l.lang").alias("lang"), F.col("l.kind").alias("kind"), pooled("l", "a.q").alias("q")).alias("p")  # all_: a row for each measure
+    found = group.join(by_lang, F.col("g.lang").eqNullSafe(F.col("p.lang")) & (F.col("g.kind") == F.col("p.kind"))).select("g.lang", "g.source", "g.kind", pooled("g", "p.q").alias("q"))
+    width = (F.col("q")[1] - F.col("q")[0]) * REACH
+    sides = {"low": F.col("q")[0] - width, "high": F.col("q")[1] + width}
+    return found.groupBy("lang", "source").agg(*(F.max(F.when(F.col("kind") == i, x)).alias(f"{k}_{side}") for i, k in enumerate(KINDS) for side, x in sides.items()))
 
 
 def base_failed() -> Column:
@@ -133,25 +150,30 @@ def base_failed() -> Column:
 
 
 def judged(rows: DataFrame, limits: DataFrame) -> DataFrame:
-    """rows with `_q_failed` and `_q_kept`."""
-    limits = limits.select(F.col("lang").alias("_f_lang"), F.col("source").alias("_f_source"), *(F.col(f"{k}_{s}").alias(f"_f_{k}_{s}") for k in FENCES for s in ("low", "high")))
-    joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("_f_lang")) & F.col("source").eqNullSafe(F.col("_f_source")), "left")
+    """rows with `_q_failed` and `_q_kept`. limits: materialised, a row for each group; broadcast if they are few, so that texts don't move."""
+    limits = small(limits.select(F.col("lang").alias("_q_lang"), F.col("source").alias("_q_source"), *(F.col(f"{k}_{s}").alias(f"_q_{k}_{s}") for k in KINDS for s in ("low", "high"))))
+    joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("_q_lang")) & F.col("source").eqNullSafe(F.col("_q_source")), "left")
     inside = F.lit(True)
-    for k, c in measures().items():
-        inside = inside & F.coalesce(c.between(F.col(f"_f_{k}_low") - 1e-9, F.col(f"_f_{k}_high") + 1e-9), F.lit(True))
-    return joined.withColumn("_q_failed", base_failed()).withColumn("_q_kept", ~F.col("_q_failed") & inside)
+    for k, (_, x) in measures().items():
+        inside = inside & ~F.coalesce(x > F.col(f"_q_{k}_high") + 1e-9, F.lit(False))
+    low = F.coalesce(measures()["r_word_len"][0] < F.col("_q_r_word_len_low") - 1e-9, F.lit(False))
+    return joined.withColumn("_q_failed", base_failed()).withColumn("_q_kept", ~F.col("_q_failed") & inside & ~low)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed and kept of every document."""
     counts = materialise(measured(docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text", "lang", "source")).drop("text"))
-    return judged(counts, fences(counts)).select("doc_id", *(F.col(f"_q_{c}").alias(c) for c in COUNTS[:5]), F.col("_q_failed").alias("base_failed"), F.col("_q_kept").alias("kept"), F.col("_q_n_adjacent").alias("n_adjacent"))
+    return judged(counts, materialise(fences(counts))).select("doc_id", *(F.col(f"_q_{c}").alias(c) for c in COUNTS[:5]), F.col("_q_failed").alias("base_failed"), F.col("_q_kept").alias("kept"), F.col("_q_n_adjacent").alias("n_adjacent"))
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with their columns. Texts aren't stored in between: the counts are made once for the fences and again for the filter."""
-    rows = measured(docs)
-    return judged(rows, fences(measured(docs.select("text", "lang", "source")))).where("_q_kept").select(*docs.columns)
+
+    def run(rows: DataFrame) -> DataFrame:
+        limits = materialise(fences(measured(rows.select("text", "lang", "source"))))
+        return judged(measured(rows), limits).where("_q_kept").select(*rows.columns)
+
+    return shielded(docs, "_q_", run)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
