@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from korbwerk.llm import jaccard
-from korbwerk.llm.common import materialise, slices, table, words_of
+from korbwerk.llm.common import materialise, shielded, slices, small, table, words_of
 
 WIDTH, SEED, BITS = 3, 42, 3
 FAN, CHUNK = 8, 8192
@@ -269,18 +269,31 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, width: int = WIDTH, similarity: float | None = None) -> DataFrame:
-    """The document of each component that gives it its name (of equal ids the one whose text hashes lowest), with its columns. With `similarity`, texts of that Jaccard similarity of their shingles or more link (see jaccard.py) instead of near fingerprints."""
+    """The document of each component that gives it its name (of equal ids the one whose text hashes lowest), with its columns. With `similarity`, texts of that Jaccard similarity of their shingles or more link (see jaccard.py) instead of near fingerprints.
+
+    Which rows go is found on numbers alone: doc_id and a hash of the text. Up to BROADCAST_ROWS such keys are broadcast; beyond that the texts are dealt once, by key. Only texts that stand there more than
+    once with one doc_id move for their own sake: of such rows any one stays.
+    """
+    return shielded(docs, "_s_", lambda rows: _deduplicate(rows, width, similarity))
+
+
+def _deduplicate(docs: DataFrame, width: int, similarity: float | None) -> DataFrame:
     if similarity is None:
-        found = with_components(materialise(fingerprinted(docs, width)))
+        found = with_components(materialise(fingerprinted(docs, width))).select("doc_id", "h", "root")
     else:
         ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"))
         roots = components(jaccard.find_links(docs, width, similarity))
-        found = ids.join(roots, F.col("h") == F.col("node"), "left").select("doc_id", "h", F.coalesce("root", "h").alias("root"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("h").alias("t")))
-    winners = found.groupBy("root").agg(first.alias("w")).select(F.col("w.i").alias("_s_id"), F.col("w.t").alias("_s_h"))
-    rows = docs.withColumn("_s_own", F.xxhash64(F.col("text").cast("string")))
-    kept = rows.join(winners, F.col("doc_id").cast("long").eqNullSafe(F.col("_s_id")) & (F.col("_s_own") == F.col("_s_h")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_s_own"]).select(*docs.columns)
+        found = ids.join(small(roots), F.col("h") == F.col("node"), "left").select("doc_id", "h", F.coalesce("root", "h").alias("root"))
+    keys = found.groupBy("root", "doc_id", "h").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("i"), F.col("h").alias("t")))
+    winners = keys.groupBy("root").agg(first.alias("w"), F.count("*").alias("k"), F.max("n").alias("most")).where("k > 1 or most > 1").select("root", "w")
+    # only components of several rows have anything to drop
+    touched = materialise(keys.join(winners, "root").select(F.col("doc_id").alias("_s_id"), F.col("h").alias("_s_h"), "n", (F.col("doc_id").eqNullSafe(F.col("w.i")) & (F.col("h") == F.col("w.t"))).alias("wins")))
+    rows = docs.withColumns({"_s_own": F.xxhash64(F.col("text").cast("string")), "_s_key": F.col("doc_id").cast("long")})
+    same = F.col("_s_key").eqNullSafe(F.col("_s_id")) & (F.col("_s_own") == F.col("_s_h"))
+    once = rows.join(small(touched.where("not wins or n > 1").select("_s_id", "_s_h")), same, "left_anti").select(*docs.columns)
+    again = small(touched.where("wins and n > 1").select("_s_id", "_s_h"))
+    return once.unionByName(rows.join(again, same, "left_semi").dropDuplicates(["_s_key", "_s_own"]).select(*docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
