@@ -97,3 +97,40 @@ def title_fits(title: Column, kind: str) -> Column:
     if kind == "dpa":
         return t.rlike(TYPE_PATTERNS["dpa"])
     return (t.rlike(TYPE_PATTERNS["ae"]) & ~(F.contains(t, F.lit("daten")) & F.contains(t, F.lit("prozess")))) if kind == "ae" else F.lit(True)
+
+
+# Words that stand for data and process analysis in keyword filters.
+DATA_PROCESS = r"(?u)daten.{0,30}prozess|prozess.{0,30}daten"
+DATA_PROCESS_PHRASES = ("daten- und prozessanalyse", "daten und prozessanalyse", "daten und prozesanalyse")
+
+
+def _blob(*parts: Column) -> Column:
+    return F.lower(F.concat_ws(" ", *(blank(p) for p in parts)))
+
+
+def fits_by_words(category: Column, title: Column, description: Column) -> Column:
+    """keyword filter by the category's ending; other categories pass."""
+    t, c = _blob(title, description), blank(category)
+    data = t.rlike(DATA_PROCESS)
+    phrase = F.lit(False)
+    for p in DATA_PROCESS_PHRASES:
+        phrase = phrase | F.contains(t, F.lit(p))
+    return F.when(F.endswith(c, F.lit("_dpa")), data | phrase).when(F.endswith(c, F.lit("_ae")), ~data & F.contains(t, F.lit("anwendungsentwicklung"))).otherwise(True)
+
+
+def hint_fits(hint: Column, kind: str) -> Column:
+    """F8: whether the text around a link speaks of dpa or dv; other kinds pass."""
+    t = F.lower(blank(hint))
+    tests = {"dpa": F.contains(t, F.lit("daten")) & F.contains(t, F.lit("prozes")), "dv": F.contains(t, F.lit("digitale vernetz"))}
+    return tests.get(kind, F.lit(True))
+
+
+def fits_strictly(category: Column, title: Column, description: Column, hint: Column | None = None, parity: bool = True) -> Column:
+    """the type must not contradict the category's ending; dpa and dv need their words too, in title, description or the card's hint."""
+    kind, c = job_type(title, description, category, parity), blank(category)
+    t = _blob(title, description, *([hint] if hint is not None else []))
+    ends = lambda x: F.endswith(c, F.lit(x))
+    return (
+        F.when(kind.isin("skip", "dual", "non_fi"), False).when(ends("_ae"), ~kind.isin("dpa", "si", "dv")).when(ends("_si"), ~kind.isin("dpa", "ae", "dv"))
+        .when(ends("_dpa"), kind.isin("dpa", "fi_other") & hint_fits(t, "dpa")).when(ends("_dv"), kind.isin("dv", "fi_other") & hint_fits(t, "dv")).otherwise(True)
+    )

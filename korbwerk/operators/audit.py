@@ -57,6 +57,13 @@ def success(df: DataFrame, by: list[str]) -> DataFrame:
     return sums.withColumn("success_rate", F.try_divide(F.col("scraped"), F.col("scraped") + F.col("failed") + F.col("skipped")))
 
 
+def application_stats(df: DataFrame) -> DataFrame:
+    """Applications by state, those with a contact and those of portals only. df: bewerbung_status, ansprechpartner (name, email), portal_only."""
+    state = F.coalesce("bewerbung_status", F.lit("pending")).alias("bewerbung_status")
+    reached = (blank(F.col("ansprechpartner.name")) != "") | (blank(F.col("ansprechpartner.email")) != "")
+    return df.groupBy(state).agg(F.count("*").alias("n"), F.count_if(reached).alias("with_contact"), F.count_if(F.coalesce("portal_only", F.lit(False))).alias("portal_only"))
+
+
 def run_state(done: Column, total: Column, running: Column) -> Column:
     """A19."""
     return F.when(running, "RUNNING").when((total > 0) & (done >= total), "DONE").when(done > 0, "PARTIAL").otherwise("IDLE")

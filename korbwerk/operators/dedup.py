@@ -49,10 +49,9 @@ def rank(priorities: dict[str, int] | None = None) -> Column:
 
 
 def winners(df: DataFrame, key: Column, order: Column) -> DataFrame:
-    """One row of each key: the one of highest order. Adds `_size` (rows of the key) and `_categories` (more than one category). Rows travel through a partial aggregate."""
-    row = F.struct(*df.columns)
-    best = df.groupBy(key.alias("_key")).agg(F.max_by(row, order).alias("_row"), F.count("*").alias("_size"), (F.min(blank(F.col("category_id"))) != F.max(blank(F.col("category_id")))).alias("_categories"))
-    return best.select("_row.*", "_size", "_categories")
+    """One row of each key: the one of highest order. Adds `_size` (rows of the key) and `_categories` (more than one category). The aggregate carries ordinals only; rows are fetched by them."""
+    best = df.groupBy(key.alias("_key")).agg(F.max_by("ordinal", order).alias("ordinal"), F.count("*").alias("_size"), (F.min(blank(F.col("category_id"))) != F.max(blank(F.col("category_id")))).alias("_categories"))
+    return df.join(best.drop("_key"), "ordinal").select(*df.columns, "_size", "_categories")
 
 
 def deduplicate(listings: DataFrame, priorities: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -65,7 +64,7 @@ def deduplicate(listings: DataFrame, priorities: dict[str, int] | None = None) -
     keyed = remaining.withColumn("_near", near_key())
     groups = keyed.where("_near is not null").groupBy("_near").agg(F.max_by("ordinal", order).alias("_winner"), F.count("*").alias("_n"), (F.min(ref) != F.max(ref)).alias("_refs"))
     crowded = groups.where("_n > 1 and _refs")
-    kept = keyed.join(crowded, "_near", "left").where(F.col("_winner").isNull() | (F.col("_winner") == F.col("ordinal")))
+    kept = keyed.join(crowded.withColumnRenamed("_near", "_k"), spread("_near") == F.col("_k"), "left").where(F.col("_winner").isNull() | (F.col("_winner") == F.col("ordinal")))
     stats = remaining.agg(
         F.coalesce(F.sum("_size"), F.lit(0)).alias("input_total"),
         F.coalesce(F.sum(F.when((F.col("_phase") == 1) & F.col("_categories"), F.col("_size") - 1)), F.lit(0)).alias("removed_by_refnr_cross_category"),
@@ -111,6 +110,11 @@ def holds_token(new: DataFrame, tokens: DataFrame) -> DataFrame:
 KEYS = ("ref", "near", "cross")
 
 
+def spread(name: str) -> Column:
+    """A key for joins: what is null, and so meets nothing, gets a value of its own, so that such rows don't all go to one task."""
+    return F.coalesce(F.col(name).cast("string"), F.concat(F.lit("\u0000"), F.col("ordinal").cast("string")))
+
+
 def with_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({"_ref": F.nullif(ustrip(F.col("referenznummer")), F.lit("")), "_near": near_key(), "_cross": cross_key()})
 
@@ -126,14 +130,14 @@ def greedy(rows: DataFrame, names: tuple[str, ...] = tuple(f"_{k}" for k in KEYS
     while not open_rows.isEmpty():
         first = open_rows
         for k in names:
-            least = open_rows.where(F.col(k).isNotNull()).groupBy(k).agg(F.min("ordinal").alias(f"{k}_min"))
-            first = first.join(least, k, "left")
+            least = open_rows.where(F.col(k).isNotNull()).groupBy(F.col(k).cast("string").alias("_k")).agg(F.min("ordinal").alias(f"{k}_min"))
+            first = first.join(least, spread(k) == F.col("_k"), "left").drop("_k")
         ok = reduce(lambda a, b: a & b, (F.col(k).isNull() | (F.col(f"{k}_min") == F.col("ordinal")) for k in names))
         now = materialise(first.where(ok).select("ordinal", *names))
         accepted = now.select("ordinal") if accepted is None else accepted.unionByName(now.select("ordinal"))
         rest = open_rows.join(now.select("ordinal"), "ordinal", "left_anti")
         for k in names:
-            rest = rest.join(now.select(k).where(F.col(k).isNotNull()).distinct(), k, "left_anti")
+            rest = rest.join(now.where(F.col(k).isNotNull()).select(F.col(k).cast("string").alias("_k")).distinct(), spread(k) == F.col("_k"), "left_anti")
         open_rows = materialise(rest.select("ordinal", *names))
     return accepted if accepted is not None else open_rows.select("ordinal")
 
@@ -142,12 +146,12 @@ def filter_against(new: DataFrame, master: DataFrame) -> tuple[DataFrame, DataFr
     """Rows of `new` that neither the master nor an accepted earlier row has, and the others, marked."""
     left, known = with_keys(new), with_keys(master)
     for k in KEYS:
-        left = left.join(known.select(f"_{k}").where(F.col(f"_{k}").isNotNull()).distinct(), f"_{k}", "left_anti")
+        left = left.join(known.where(F.col(f"_{k}").isNotNull()).select(F.col(f"_{k}").alias("_k")).distinct(), spread(f"_{k}") == F.col("_k"), "left_anti")
     left = left.join(holds_token(new, url_tokens(master)), "ordinal", "left_anti")
     accepted = materialise(greedy(left))
     unique = new.join(accepted, "ordinal", "left_semi").select(*new.columns)
     refs = known.select(F.col("_ref").alias("_known")).where("_known is not null").distinct()
-    rejected = new.join(accepted, "ordinal", "left_anti").join(refs, ustrip(F.col("referenznummer")) == F.col("_known"), "left")
+    rejected = new.join(accepted, "ordinal", "left_anti").withColumn("_own", F.nullif(ustrip(F.col("referenznummer")), F.lit(""))).join(refs, spread("_own") == F.col("_known"), "left")
     marked = rejected.withColumn("is_duplicate_of_arbeitsagentur", F.lit(True)).withColumn("duplicate_of_refnr", blank(F.col("_known")))
     return unique, marked.select(*new.columns)
 
@@ -159,7 +163,8 @@ def mark_duplicates(new: DataFrame, master: DataFrame) -> DataFrame:
     for k in ("near", "cross"):
         own = public.where(F.col(f"_{k}").isNotNull()).select(f"_{k}", F.lit(True).alias(f"_{k}_dup")).distinct()
         first = known.where(F.col(f"_{k}").isNotNull()).groupBy(f"_{k}").agg(F.min(F.struct(F.col("ordinal").alias("o"), blank(F.col("referenznummer")).alias("r"))).alias(f"_{k}_first"))
-        out = out.join(own, f"_{k}", "left").join(first, f"_{k}", "left")
+        sides = first.join(own, f"_{k}", "full_outer").withColumnRenamed(f"_{k}", "_k")
+        out = out.join(sides, spread(f"_{k}") == F.col("_k"), "left").drop("_k")
     own_url = new.withColumns({"ba_job_url": F.when(blank(F.col("ausbildung_de_url")) != "", F.col("ausbildung_de_url")).otherwise(F.col("ba_job_url")), "link_bewerbung": F.lit(""), "link_bewerbung_externe": F.lit("")})
     by_url = holds_token(own_url, url_tokens(master.where(public_family()))).withColumn("_url_dup", F.lit(True))
     out = out.join(by_url, "ordinal", "left")
@@ -183,6 +188,12 @@ def deduplicate_all(listings: DataFrame, priorities: dict[str, int] | None = Non
     return result, stats.withColumn("output_total", F.col("input_total") - reduce(lambda a, b: a + b, (F.col(c) for c in (*names, "removed_by_cross_source"))))
 
 
+def category_matrix(new: DataFrame, unique: DataFrame) -> DataFrame:
+    """Rows of each category, those that the filter dropped, and those that it kept."""
+    counts = counts_before_after(new, unique, "category_id")
+    return counts.select(F.when(blank(F.col("category_id")) == "", "unknown").otherwise(F.col("category_id")).alias("category_id"), F.col("n_before").alias("scraped"), (F.col("n_before") - F.col("n_after")).alias("cross_duplicates"), F.col("n_after").alias("unique_new"))
+
+
 def counts_before_after(before: DataFrame, after: DataFrame, by: str) -> DataFrame:
     """Counts by a column on both sides, zero where one side has none."""
     a = before.groupBy(by).agg(F.count("*").alias("n_before"))

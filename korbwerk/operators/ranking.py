@@ -27,8 +27,8 @@ def best_per_company(df: DataFrame, by_city: bool = False) -> DataFrame:
     key = F.when(stem == "", F.concat(F.lit("__unknown__:"), blank(F.col("referenznummer")))).otherwise(stem)
     key = F.struct(key, F.lower(ustrip(F.col("posisi_kota")))) if by_city else key
     order = F.struct((F.col("beruf_typ") == "ae").cast("int"), filled(F.col("alamat_email_bewerbung")).cast("int"), F.coalesce("kelengkapan_score", F.lit(0)), -F.col("ordinal"))
-    best = df.groupBy(key.alias("_key")).agg(F.max_by(F.struct(*df.columns), order).alias("_row"), F.count("*").alias("n_listings"))
-    return best.select("_row.*", "n_listings")
+    best = df.groupBy(key.alias("_key")).agg(F.max_by("ordinal", order).alias("ordinal"), F.count("*").alias("n_listings"))
+    return df.join(best.drop("_key"), "ordinal").select(*df.columns, "n_listings")
 
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], most: int) -> DataFrame:
@@ -36,6 +36,15 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], most: in
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("rank") <= most)
 
 
+def viewer_order(mode: str, query: bool = False) -> list[Column]:
+    """Sort columns of the viewer: relevance first if there is a query; by type, score, city or company, the latter two as German dictionaries sort; then input order."""
+    score = F.coalesce("kelengkapan_score", F.lit(0))
+    modes = {
+        "spec-priority": [type_rank(F.col("beruf_typ")), -score], "score-desc": [-score], "score-asc": [score], "city": [F.collate(blank(F.col("posisi_kota")), "de")], "company": [F.collate(blank(F.col("nama_perusahaan")), "de")],
+    }
+    return [*([F.desc("score")] if query else []), *modes.get(mode, []), F.col("ordinal")]
+
+
 def pilot(df: DataFrame, kind: str | None, most: int) -> DataFrame:
     """Listings with an e-mail, of one type, best scores first."""
     rows = df.where(filled(F.col("alamat_email_bewerbung")))

@@ -72,13 +72,6 @@ def best_per_group(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", order).alias("o_orderkey"), F.count("*").alias("n"))
 
 
-@register("SELECT count(*) AS unique_companies, sum(n) AS input_total, sum(n - 1) AS skipped_duplicates, count(*) FILTER (n > 1) AS companies_with_multiple_listings FROM (SELECT count(*) AS n FROM supplier GROUP BY s_nationkey)")
-def company_uniqueness(spark, sf_dir):
-    """Over suppliers by nation."""
-    best = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.count("*").alias("n_listings"))
-    return audit.uniqueness(best)
-
-
 @register("SELECT o_orderkey, row_number() OVER (ORDER BY (CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END), o_orderpriority, -o_totalprice, o_custkey, o_orderkey) AS rank FROM orders QUALIFY rank <= 100")
 def canonical_sort_topk(spark, sf_dir):
     """O1, O2: the first 100 orders of a five-key order, with their places."""
