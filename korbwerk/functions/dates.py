@@ -39,25 +39,30 @@ def iso_start(c: Column) -> Column:
 
 
 def text_start(c: Column) -> Column:
-    """Start of one text, null if it names none."""
+    """Start of one text, null if it names none. A text without a year that counts is not searched further, nor one without a day or a month's name for those."""
     t = blank(c)
-    found = []
+    announced = []
     for lead in LEADS:
         p = rf"(?i){lead}{DAY}"
-        found.append(F.when(t.rlike(p), _day(*(F.regexp_extract(t, p, i) for i in (1, 2, 3)))))
+        announced.append(F.when(t.rlike(p), _day(*(F.regexp_extract(t, p, i) for i in (1, 2, 3)))))
+    begin = r"(?iu)(?:ausbildungsbeginn|ausbildungsstart|beginn|start|ab|zum)\s+(?:[\w\x{c0}-\x{24f}]+\s+){0,4}"
+    months = []
     for name, number in MONTHS:
-        p = rf"(?iu)(?:ausbildungsbeginn|ausbildungsstart|beginn|start|ab|zum)\s+(?:[\w\x{{c0}}-\x{{24f}}]+\s+){{0,4}}{name}\s+({YEARS})\b"
-        found.append(F.when(t.rlike(p), _start(F.regexp_extract(t, p, 1).try_cast("int"), F.lit(number), F.lit(None))))
+        p = rf"{begin}{name}\s+({YEARS})\b"
+        months.append(F.when(t.rlike(p), _start(F.regexp_extract(t, p, 1).try_cast("int"), F.lit(number), F.lit(None))))
+    any_month = rf"{begin}(?:{'|'.join(n for n, _ in MONTHS)})\s+{YEARS}\b"
     # dates with 70 characters before and 40 after; matches are looked for within lookarounds, so that contexts may overlap
-    around = F.regexp_extract_all(t, F.lit(rf"(?s)(?<![\w.]){DAY}(?!\d)(?=(.{{0,40}}))"), F.lit(0))
-    pieces = F.split(t, rf"(?<![\w.]){DAY}(?!\d)", -1)
+    around = F.regexp_extract_all(t, F.lit(rf"\b{DAY}\b"), F.lit(0))
+    pieces = F.split(t, rf"\b{DAY}\b", -1)
     dated = F.zip_with(around, F.sequence(F.lit(0), F.greatest(F.size(around) - 1, F.lit(0))), lambda d, i: F.struct(d.alias("d"), F.concat(F.right(F.get(pieces, i), F.lit(70)), d, F.substring(F.get(pieces, i + 1), 1, 40)).alias("near")))
     calm = F.filter(dated, lambda x: x["d"].isNotNull() & ~F.lower(x["near"]).rlike("|".join(DEADLINES)))
     starts = F.filter(F.transform(calm, lambda x: _day(*(F.regexp_extract(x["d"], DAY, i) for i in (1, 2, 3)))), lambda x: x.isNotNull())
-    found.append(F.when(t.rlike(DAY), F.get(starts, F.lit(0))))
+    years = []
     for p in (rf"(?i)\bab\s+({YEARS})\b", rf"(?iu)(?:für\s+(?:das\s+)?ausbildungsjahr|ausbildungsjahr)\s+({YEARS})\b"):
-        found.append(F.when(t.rlike(p), _start(F.regexp_extract(t, p, 1).try_cast("int"), F.lit(None), F.lit(None))))
-    return F.coalesce(*found, F.lit(None).cast(START))
+        years.append(F.when(t.rlike(p), _start(F.regexp_extract(t, p, 1).try_cast("int"), F.lit(None), F.lit(None))))
+    dayed = t.rlike(DAY)
+    found = F.coalesce(F.when(dayed, F.coalesce(*announced)), F.when(t.rlike(any_month), F.coalesce(*months)), F.when(dayed, F.get(starts, F.lit(0))), *years)
+    return F.when(t.rlike(YEARS), found).otherwise(F.lit(None).cast(START))
 
 
 def category_start(c: Column) -> Column:

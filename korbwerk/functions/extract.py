@@ -224,3 +224,65 @@ def industry(c: Column) -> Column:
     """E29."""
     t = F.lower(F.substring(blank(c), 1, 2000))
     return F.coalesce(*(F.when(t.rlike("|".join(words)), F.lit(label)) for words, label in INDUSTRIES), F.lit("Informationstechnologie / Softwareentwicklung"))
+
+
+# Headings that end a company's description, begins of lines about the job, words that speak of a company.
+HEADING = (
+    r"(?iu)(?:^|\n)\s*(?:#{1,6}\s*)?(?:aufgaben|deine?\s+(?:aufgaben|to\s*dos|ausbildung|profil)|das\s+lernst|voraussetzungen|zugangsvoraussetzung|ihre?\s+aufgaben|unsere?\s+aufgaben|gut zu wissen)\b"
+)
+JOB_BEGINS = ("als fachinformatiker", "in deiner ausbildung", "starte ", "dein profil", "fachinformatiker (m/w/d)", "ausbildung fachinformatiker")
+COMPANY_WORDS = ("wir sind", "unser unternehmen", "über uns", "willkommen bei", " wurde ", " gegründet", "mit sitz in", "als familienunternehmen", "als spezialisierte")
+
+
+def before_markers(c: Column) -> Column:
+    """The text before the first word that begins a section, without punctuation at its ends."""
+    return F.regexp_replace(F.split(c, any_of((*REQUIREMENTS, *OFFERS)), 2)[0], r"^[ .,;:-]+|[ .,;:-]+$", "")
+
+
+def company_description(c: Column) -> Column:
+    """Up to six lines of the first paragraph, before any heading or word of a section, that aren't about the job; else a line of it that speaks of the company; else the first line."""
+    marked = any_of((*REQUIREMENTS, *OFFERS))
+    about_job = lambda x: F.lower(x).rlike("^(?:" + "|".join(rf"\Q{w}\E" for w in JOB_BEGINS) + ")")
+    head = F.split(blank(c), HEADING, 2)[0]
+    text = F.when(head == "", blank(c)).otherwise(head)
+    start = F.struct(F.lit(False).alias("done"), F.array().cast("array<string>").alias("kept"))
+
+    def step(a: Column, raw: Column) -> Column:
+        line = ustrip(raw)
+        bare = F.regexp_replace(F.regexp_replace(line, r"^\*+\s*", ""), r"^#+\s*", "")
+        marker = bare.rlike(marked)
+        stop = a["done"] | ((line == "") & (F.size(a["kept"]) > 0)) | ((line != "") & (bare.rlike(HEADING) | marker))
+        cut = before_markers(bare)
+        take = ~a["done"] & (line != "") & ~bare.rlike(HEADING) & (~marker | (F.length(cut) > 40))
+        return F.struct(stop.alias("done"), F.when(take, F.concat(a["kept"], F.array(F.when(marker, cut).otherwise(bare)))).otherwise(a["kept"]).alias("kept"))
+
+    blocks = F.aggregate(lines(text), start, step, lambda a: a["kept"])
+    intro = F.array_join(F.filter(F.slice(blocks, 1, 6), lambda x: ~about_job(x)), "\n")
+    speaks = F.get(F.filter(blocks, lambda x: x.rlike(any_of(COMPANY_WORDS))), F.lit(0))
+    first = ustrip(F.get(lines(c), F.lit(0)))
+    lead = F.when(~about_job(first) & (F.length(before_markers(first)) > 40), before_markers(first))
+    return first_filled(intro, F.when(speaks.isNotNull(), before_markers(speaks)), lead)
+
+
+# Words of lines about projects, patterns of mottos, texts where nothing is found.
+PROJECT_WORDS = ("entwickl", "software", "digital", "programm", "it-")
+MOTTOS = (r"(?i)(?:unser motto|unsere mission|wir stehen für)[:\s]+([^\n.]{10,120})", r"(?i)(?:vision)[:\s]+([^\n.]{10,120})")
+NO_PROJECTS = "Softwareentwicklung und digitale Lösungen laut Stellenbeschreibung."
+
+
+def motto(c: Column) -> Column:
+    """E29."""
+    return first_filled(*(ustrip(F.regexp_extract(F.substring(blank(c), 1, 2000), p, 1)) for p in MOTTOS))
+
+
+def projects(c: Column) -> Column:
+    """The lines that speak of projects, 600 characters at most."""
+    found = F.filter(lines(F.substring(blank(c), 1, 2000)), lambda x: F.lower(x).rlike("|".join(PROJECT_WORDS)))
+    return first_filled(F.substring(ustrip(F.array_join(F.transform(found, ustrip), " ")), 1, 600), F.lit(NO_PROJECTS))
+
+
+def culture(about: Column, offer: Column, city: Column) -> Column:
+    """What the company says of itself, else of its offer, else a sentence; 500 characters at most."""
+    plain = F.concat(F.lit("Ausbildungsbetrieb in "), blank(city), F.lit(" mit Fokus auf Fachinformatiker Anwendungsentwicklung."))
+    said, offered = F.substring(blank(about), 1, 600), F.substring(blank(offer), 1, 400)
+    return F.substring(F.when(said != "", said).when(offered != "", offered).otherwise(plain), 1, 500)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 SPACE = r"[\s\h\x{85}\x{2028}\x{2029}]"
 # Patterns of addresses and phone numbers in free text.
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+#: The same matches in linear time: a match begins where the last one ended or where no longer one could have begun.
+EMAILS = r"(?:\G|(?<![a-zA-Z0-9._%+-]))[a-zA-Z0-9._%+-]++@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 PHONE = r"(?:\+49|0)[\s\d/()-]{6,20}\d"
 URL = r"https?://[^\s<>\"')\]]+"
 SCRAPE_SUFFIXES = ("LinkedIn", "linkedin", "XING", "xing")
@@ -55,6 +57,41 @@ def normalise_space(c: Column) -> Column:
     return F.array_join(F.filter(each, lambda x: x != ""), "\n")
 
 
+# Named characters of HTML that German pages use; the ampersand comes last.
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "shy": "\u00ad", "auml": "ä", "ouml": "ö", "uuml": "ü", "Auml": "Ä", "Ouml": "Ö", "Uuml": "Ü", "szlig": "ß", "euro": "€", "sect": "§", "copy": "©", "reg": "®",
+    "deg": "°", "middot": "·", "bull": "•", "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "sbquo": "‚", "ldquo": "“", "rdquo": "”", "bdquo": "„", "laquo": "«", "raquo": "»", "trade": "™",
+    "eacute": "é", "egrave": "è", "ecirc": "ê", "agrave": "à", "acirc": "â", "ccedil": "ç", "ocirc": "ô", "ntilde": "ñ", "times": "×", "amp": "&",
+}
+
+
+def unescape(c: Column) -> Column:
+    """Text with the named (ENTITIES) and numbered characters of HTML resolved, once."""
+    number = r"&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+    t = blank(c)
+
+    def char(m: Column) -> Column:
+        digits = F.regexp_replace(m, "[&#;]", "")
+        code = F.when(F.lower(digits).startswith("x"), F.conv(F.substring(digits, F.lit(2), F.length(digits)), 16, 10)).otherwise(digits).try_cast("int")
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+    found = F.concat(F.transform(F.regexp_extract_all(t, F.lit(number), F.lit(0)), char), F.array(F.lit("")))
+    out = F.when(F.contains(t, F.lit("&#")), F.array_join(F.zip_with(F.split(t, number, -1), found, lambda a, b: F.concat(a, b)), "")).otherwise(t)
+    named = out
+    for name, value in ENTITIES.items():
+        named = F.replace(named, F.lit(f"&{name};"), F.lit(value))
+    return F.when(F.contains(out, F.lit("&")), named).otherwise(out)
+
+
+def strip_html(c: Column) -> Column:
+    """Lines of an HTML fragment: characters resolved, list items as "- ", a line's end after br, p and headings, no tags or comments."""
+    out = unescape(c)
+    for pattern, to in ((r"(?s)<!--.*?-->", ""), (r"(?i)<li\b[^>]*>", "\n- "), (r"(?i)<br\s*/?>|</p\s*>|</h[1-6]>", "\n"), (r"(?s)</?[A-Za-z!][^>]*>", "")):
+        out = F.regexp_replace(out, pattern, to)
+    return normalise_space(unescape(out))
+
+
 def html_text(c: Column) -> Column:
     """Text of a page without scripts, styles and tags, blanks squeezed."""
     out = blank(c)
@@ -101,7 +138,8 @@ def distinct_by(values: Column, key) -> Column:
 
 def emails(c: Column) -> Column:
     """E-mail addresses of a text, the first of each spelling."""
-    return distinct_by(F.transform(F.regexp_extract_all(blank(c), F.lit(EMAIL), F.lit(0)), clean_email), F.lower)
+    found = F.when(F.contains(blank(c), F.lit("@")), F.regexp_extract_all(blank(c), F.lit(EMAILS), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return distinct_by(F.transform(found, clean_email), F.lower)
 
 
 def phones(c: Column) -> Column:
@@ -133,6 +171,12 @@ def url_key(c: Column) -> Column:
     return F.when(u == "", "").otherwise(F.concat(F.lower(F.regexp_extract(u, r"^([^:/]+)://", 1)), F.lit("://"), host, path))
 
 
+def inline_url(c: Column) -> Column:
+    """A detail's URL without its query, ending in -inline.html."""
+    u = F.regexp_replace(F.substring_index(blank(c), "?", 1), "/+$", "")
+    return F.when(F.contains(u, F.lit("-inline.html")) & F.endswith(u, F.lit(".html")), u).when(F.endswith(u, F.lit(".html")), F.replace(u, F.lit(".html"), F.lit("-inline.html"))).otherwise(F.concat(u, F.lit("-inline.html")))
+
+
 def host(c: Column) -> Column:
     """Host (with port) of a URL without www., blank if there is none."""
     return F.regexp_replace(F.lower(F.regexp_extract(ustrip(c), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), r"^www\.", "")

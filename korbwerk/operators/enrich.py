@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from korbwerk.functions import extract
 from korbwerk.functions.classify import job_type
 from korbwerk.functions.dates import date_only, start_date
-from korbwerk.functions.text import blank, filled, first_filled, host, ustrip
-from korbwerk.schema import PARTNER_DOMAINS, PORTAL_MARKERS, SCORE_FIELDS
+from korbwerk.functions.text import blank, filled, first_filled, host, lines, ustrip
+from korbwerk.schema import DETAIL_URL, PARTNER_DOMAINS, PORTAL_MARKERS, SCORE_FIELDS
 
 
 def on_portal(url: Column) -> Column:
@@ -102,6 +103,23 @@ def with_workflow(listings: DataFrame, overrides: DataFrame | None = None) -> Da
     return df.drop("_ref", "_status", "_priority", "_suggested")
 
 
+def reparse(listings: DataFrame) -> DataFrame:
+    """Stored listings of the public portal read again: fields out of the description, the stored degree kept, salary by text before the stored one, an external link only if it is one."""
+    text, stored = F.col("detail_deskripsi"), F.col("link_bewerbung_externe")
+    given = F.when(blank(stored) != "", stored).otherwise(blank(F.col("link_bewerbung")))
+    portal = F.concat(F.lit(DETAIL_URL), blank(F.col("referenznummer")))
+    known = F.when(blank(F.col("ba_job_url")) != "", F.col("ba_job_url")).otherwise(portal)
+    external = F.when((ustrip(given) == ustrip(known)) | on_portal(given) | (blank(F.col("bewerbung_sumber")) == "ba_portal"), "").otherwise(ustrip(given))
+    degree = F.coalesce(F.get(F.filter(lines(F.col("persyaratan")), lambda x: F.lower(x).rlike("abschluss|abitur")), F.lit(0)), F.lit(""))
+    section = extract.requirements(text)
+    parsed = listings.withColumns({
+        "link_bewerbung_externe": external, "link_bewerbung": external, "persyaratan": F.when((degree != "") & ~F.contains(section, degree), F.concat_ws("\n", F.nullif(section, F.lit("")), degree)).otherwise(section),
+        "gaji": first_filled(extract.salary(text), F.col("gaji")), "deskripsi_perusahaan": extract.company_description(text), "apa_yang_ditawarkan": extract.offers(text), "alamat_email_bewerbung": extract.application_email(text),
+        "kontak_penanggung_jawab": extract.contact(text), "dokumen_yang_harus_dipenuhi": extract.documents(text), "ba_job_url": portal, "sumber_data": F.lit("arbeitsagentur"),
+    })
+    return enrich(parsed).select(*listings.columns)
+
+
 def high_priority(df: DataFrame) -> DataFrame:
     """F2."""
     good = filled(F.col("kontak_penanggung_jawab")) | (F.coalesce("kelengkapan_score", F.lit(0)) >= 55)

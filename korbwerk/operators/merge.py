@@ -55,3 +55,14 @@ def override(df: DataFrame, values: DataFrame, key: str, columns: list[str]) ->
 def pending(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Wanted rows that aren't done."""
     return wanted.join(done.select(key).distinct(), key, "left_anti")
+
+
+def of_refs(df: DataFrame, refs: list[str]) -> DataFrame:
+    """the rows of the given references."""
+    return df.where(F.col("referenznummer").isin(*refs)) if refs else df.limit(0)
+
+
+def flag_known(df: DataFrame, index: DataFrame, key: str = "referenznummer") -> DataFrame:
+    """Df with `is_enriched`: whether the index has the row's key."""
+    known = index.select(F.col(key).alias("_key"), F.lit(True).alias("_is")).where("_key is not null").distinct()
+    return df.join(known, F.col(key) == F.col("_key"), "left").withColumn("is_enriched", F.coalesce("_is", F.lit(False))).drop("_key", "_is")

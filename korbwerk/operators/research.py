@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from korbwerk.functions.extract import contact_person, industry
+from korbwerk.functions.extract import contact_person, culture, industry, motto, projects
 from korbwerk.functions.text import blank, clean_email, email_domain, filled, first_filled, html_description, html_title, or_null, url_key, urls, ustrip
 from korbwerk.operators.audit import contact_gaps
 from korbwerk.operators.enrich import on_partner, on_portal, website_type
@@ -41,7 +41,7 @@ def action_link(links: list[Column], texts: list[Column], site: Column) -> Colum
     return F.coalesce(F.get(good, F.lit(0)), F.lit(""))
 
 
-def fragments(listings: DataFrame, sites: DataFrame) -> DataFrame:
+def fragments(listings: DataFrame, sites: DataFrame, residence: str = "") -> DataFrame:
     """Research structs. listings: with with_workflow(); sites: url and html of fetched pages, at most one row for each url."""
     listing = listings.withColumn("_site", company_site(F.col("link_website_perusahaan_resmi"), F.col("link_website_perusahaan"), F.col("alamat_email_bewerbung")))
     page = sites.select(F.col("url").alias("_url"), html_title(F.col("html")).alias("_title"), html_description(F.col("html")).alias("_about"))
@@ -50,10 +50,24 @@ def fragments(listings: DataFrame, sites: DataFrame) -> DataFrame:
     joined = joined.withColumn("ansprechpartner", contact_person(texts, F.col("alamat_email_bewerbung"), F.col("kontak_penanggung_jawab")))
     p = F.col("ansprechpartner")
     joined = joined.withColumn("kontakt_luecken", contact_gaps(F.col("kontak_penanggung_jawab"), F.col("alamat_email_bewerbung"), F.lit(""), p["name"], p["email"], p["telefon"]))
-    about = F.struct(industry(F.col("detail_deskripsi")).alias("branche"), first_filled(F.col("_about"), F.col("_title")).alias("website_insights"), F.col("_site").alias("website"))
+    place, home = F.col("posisi_kota"), F.lit(residence)
+    relevance = F.concat(blank(F.col("nama_perusahaan")), F.lit(" bietet eine Ausbildung in Anwendungsentwicklung. Wohnort "), home, F.lit(". Standort "), blank(place), F.lit("."))
+    about = F.struct(
+        industry(F.col("detail_deskripsi")).alias("branche"), culture(F.col("deskripsi_perusahaan"), F.col("apa_yang_ditawarkan"), place).alias("kultur"), motto(F.col("detail_deskripsi")).alias("motto"), projects(F.col("detail_deskripsi")).alias("projekte"),
+        F.substring(relevance, 1, 600).alias("relevanz_profil"), first_filled(F.col("_about"), F.col("_title")).alias("website_insights"), F.col("_site").alias("website"),
+    )
     return joined.withColumn("firmen_recherche", about).withColumn("portal_only", portal_only(F.col("cara_apply"), F.col("alamat_email_bewerbung"), F.col("detail_deskripsi"))).drop("_site", "_url", "_title", "_about")
 
 
+# What stands before each part of a research record in its companion.
+COMPANION = {"branche": ("Bidang: ", None), "kultur": ("Budaya perusahaan berdasarkan deskripsi lowongan: ", 400), "motto": ("", None), "projekte": ("Proyek/fokus kerja: ", 400), "website_insights": ("", None), "relevanz_profil": ("Relevansi: ", 400)}
+
+
+def companion(record: Column) -> Column:
+    """D3: the structured companion of a research struct: its parts, cut and introduced in the second language."""
+    return F.struct(*(F.concat(F.lit(lead), F.substring(blank(record[k]), 1, most) if most else blank(record[k])).alias(k) for k, (lead, most) in COMPANION.items()))
+
+
 def start_hint(year: Column, month: Column) -> Column:
     """P38."""
     return F.when(year.isNotNull() & month.isNotNull(), F.format_string("%02d.%d", month, year)).when(year.isNotNull(), year.cast("string")).otherwise("nächstmöglichen Zeitpunkt")

@@ -59,6 +59,20 @@ def search(df: DataFrame, query: str) -> DataFrame:
     return df.withColumn("score", search_score(F.col("_fields"), F.col("_text"), query)).where("score is not null").drop("_fields", "_text")
 
 
+def match_count(df: DataFrame, query: str) -> DataFrame:
+    """Q-7: how many rows match; all for an empty query. df: from searchable()."""
+    return df.agg(F.count_if(search_score(F.col("_fields"), F.col("_text"), query).isNotNull()).alias("n"))
+
+
+def application_filter(df: DataFrame, query: str = "", status: str = "", ae_only: bool = False, email_only: bool = False) -> DataFrame:
+    """F15, Q-11: applications of one state, of one type, with an address, and with the query in company, city, address or reference."""
+    text = F.lower(F.concat_ws(" ", *(blank(F.col(c)) for c in ("nama_perusahaan", "posisi_kota", "alamat_email_bewerbung", "referenznummer"))))
+    tests = [(ae_only, F.col("beruf_typ") == "ae"), (email_only, blank(F.col("alamat_email_bewerbung")) != ""), (bool(status), F.col("bewerbung_status") == status), (bool(query.strip()), F.contains(text, F.lit(query.strip().lower())))]
+    for wanted, test in tests:
+        df = df.where(test) if wanted else df
+    return df
+
+
 def suggestions(df: DataFrame, kinds: dict[str, Column], ordinal: str = "ordinal") -> DataFrame:
     """Type, norm, value (the first in input order) and n for every distinct normalised value of each kind."""
     pairs = F.array(*(F.struct(F.lit(k).alias("type"), blank(c.cast("string")).alias("value")) for k, c in kinds.items()))

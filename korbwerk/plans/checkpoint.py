@@ -1,4 +1,4 @@
-"""Cutting lineage in iterative operators."""
+"""Cutting lineage, and folders that all executors share."""
 
 from __future__ import annotations
 
@@ -8,13 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """The folder that the cluster names in spark.checkpoint.dir, or our own where none is set."""
+    """Uses the folder that the cluster names in spark.checkpoint.dir; only a local master, where none is set, gets a folder of our own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="korbwerk-checkpoint-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="korbwerk-checkpoint-"))
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """The rows written once to the checkpoint folder."""
+    """The rows written once to the shared checkpoint folder: cuts lineage and survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that we wrote and need no more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from korbwerk.functions import classify
 from korbwerk.functions.text import LEGAL_FORMS
-from korbwerk.operators import audit, dedup, enrich, ranking
+from korbwerk.operators import audit, dedup, enrich, progress, ranking
 from korbwerk.plans.checkpoint import materialise
 from korbwerk.plans.queries import register, table
 from korbwerk.schema import CATEGORY_PRIORITY, JOB_TYPES, LISTING, PARTNER_DOMAINS, PORTAL_MARKERS, SCORE_FIELDS
@@ -60,7 +60,7 @@ def letters(x: str) -> str:
     return f"regexp_replace(lower({x}), '[^a-z0-9]+', '', 'g')"
 
 
-_PRIORITY = "CASE category_id " + " ".join(f"WHEN '{c}' THEN {p}" for p, names in CATEGORY_PRIORITY.items() for c in names) + " ELSE 0 END"
+_PRIORITY = "CASE category_id " + " ".join(f"WHEN '{c}' THEN {p}" for c, p in CATEGORY_PRIORITY.items()) + " ELSE 0 END"
 _BOTH = "lower(jenis_ausbildung || ' ' || substr(detail_deskripsi, 1, 120))"
 _FAMILY = f"CASE WHEN contains({_BOTH}, 'daten') AND contains({_BOTH}, 'prozess') THEN 'dpa' WHEN contains({_BOTH}, 'anwendungsentwicklung') THEN 'ae' ELSE {letters('substr(CASE WHEN length(jenis_ausbildung) > 0 THEN jenis_ausbildung ELSE detail_deskripsi END, 1, 80)')} END"
 _NEAR = [low(c) for c in ("nama_perusahaan", "jenis_ausbildung", "posisi_kota", "alamat_detail")]
@@ -117,6 +117,20 @@ def listing_dedup_stats(spark, sf_dir):
     return dedup.deduplicate(listings(spark, sf_dir))[1]
 
 
+@register(f"WITH {KEYED}, {collapse('d', 'k')}, n AS (SELECT sumber_data, count(*) AS n_before, count(*) FILTER (EXISTS (SELECT 1 FROM d WHERE d.ordinal = k.ordinal)) AS n_after FROM k GROUP BY 1) SELECT trim(sumber_data) AS source, n_before, n_after, n_before - n_after AS n_removed FROM n")
+def dedup_stats_by_source(spark, sf_dir):
+    """Listings by source before and after the three phases."""
+    rows = listings(spark, sf_dir)
+    counts = dedup.counts_before_after(rows, dedup.deduplicate(rows)[0], "sumber_data")
+    return counts.select(F.trim("sumber_data").alias("source"), "n_before", "n_after", (F.col("n_before") - F.col("n_after")).alias("n_removed"))
+
+
+@register(f"WITH {LISTINGS}, c AS (SELECT split_part(category_id, '_', 1) AS first, ends_with(category_id, '_ae') OR category_id = 'fachinformatiker_ae_2026' AS ae, ends_with(category_id, '_dpa') AS dpa, category_id FROM l), s AS (SELECT CASE WHEN starts_with(category_id, 'azubiyo_de') THEN 'azubiyo_de' WHEN starts_with(category_id, 'backinjob_') THEN 'backinjob_de' ELSE first END AS source, ae, dpa FROM c) SELECT source, count(*) AS n, count(*) FILTER (ae) AS n_ae, count(*) FILTER (dpa) AS n_dpa, grouping(source)::INT AS overall FROM s GROUP BY GROUPING SETS ((source), ())")
+def listing_totals(spark, sf_dir):
+    """Listings by source and over all, with those of both job families."""
+    return progress.totals(listings(spark, sf_dir)).withColumn("overall", F.col("overall").cast("int"))
+
+
 _SPLIT = f"{KEYED}, p AS (SELECT * FROM k WHERE pub), t AS (SELECT * FROM k WHERE third)"
 
 

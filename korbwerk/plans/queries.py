@@ -5,10 +5,10 @@ The tables hold no listings, so each operator runs on columns of the same shape:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korbwerk.functions import classify, dates, text
+from korbwerk.functions import dates, text
 from korbwerk.operators import audit, dedup, enrich, merge, ranking, search
 
 QUERIES: dict = {}
@@ -29,57 +29,11 @@ def register(sql: str | None = None):
     return keep
 
 
-def prefix_key() -> Column:
-    return F.sha2(F.substring(F.lower(F.trim(F.coalesce("text", F.lit("")))), 1, 200).cast("binary"), 256)
-
-
-_DOC_KEYS = "SELECT d.*, sha256(substr(lower(trim(coalesce(text, ''))), 1, 200)) AS k, coalesce(q, 0) AS q FROM documents d LEFT JOIN (SELECT doc_id AS l, max(quality) AS q FROM labels GROUP BY 1) ON doc_id = l"
-
-
-def _ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("l")).agg(F.max("quality").alias("q"))
-    return table(spark, sf_dir, "documents").join(labels, F.col("doc_id") == F.col("l"), "left").withColumn("q", F.coalesce("q", F.lit(0)))
-
-
-@register(f"SELECT k, doc_id, source, n FROM (SELECT *, count(*) OVER (PARTITION BY k) AS n, row_number() OVER (PARTITION BY k ORDER BY q DESC, length(text) DESC, doc_id) AS r FROM ({_DOC_KEYS})) WHERE r = 1")
-def dedup_exact_winner(spark, sf_dir):
-    """The best document of each hash. Only ids and ranks are shuffled."""
-    docs = _ranked_documents(spark, sf_dir).select(prefix_key().alias("k"), "doc_id", "source", F.struct("q", F.length("text"), -F.col("doc_id")).alias("o"))
-    return docs.groupBy("k").agg(F.max_by("doc_id", "o").alias("doc_id"), F.max_by("source", "o").alias("source"), F.count("*").alias("n"))
-
-
-@register(f"""WITH w AS (SELECT source, row_number() OVER (PARTITION BY k ORDER BY q DESC, length(text) DESC, doc_id) AS r FROM ({_DOC_KEYS}))
-SELECT source, count(*) AS n_before, count(*) FILTER (r = 1) AS n_after, count(*) FILTER (r > 1) AS n_removed FROM w GROUP BY source""")
-def dedup_stats_by_source(spark, sf_dir):
-    """Documents by source before and after the collapse."""
-    joined = dedup.counts_before_after(table(spark, sf_dir, "documents"), dedup_exact_winner(spark, sf_dir), "source")
-    return joined.withColumn("n_removed", F.col("n_before") - F.col("n_after"))
-
-
-@register("""WITH k AS (SELECT c_custkey, c_nationkey || '|' || c_mktsegment || '|' || (c_custkey % 50) AS k, c_acctbal FROM customer)
-SELECT k, arg_max(c_custkey, (c_acctbal, -c_custkey)) AS winner, count(*) AS n, count(DISTINCT c_custkey) AS n_refs FROM k GROUP BY k HAVING count(DISTINCT c_custkey) > 1""")
-def near_dup_multi_ref(spark, sf_dir):
-    """Groups of one near key with several references, and their winners."""
-    rows = table(spark, sf_dir, "customer").select(F.concat_ws("|", "c_nationkey", "c_mktsegment", F.col("c_custkey") % 50).alias("k"), "c_custkey", "c_acctbal")
-    groups = rows.groupBy("k").agg(F.max_by("c_custkey", F.struct("c_acctbal", -F.col("c_custkey"))).alias("winner"), F.count("*").alias("n"), F.count_distinct("c_custkey").alias("n_refs"))
-    return groups.where("n_refs > 1")
-
-
-@register("SELECT o_custkey, o_orderkey, n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY (o_orderstatus = 'O')::INT DESC, o_totalprice DESC, o_orderkey) AS r, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) WHERE r = 1")
+@register("SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY (o_orderstatus = 'O')::INT DESC, o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r = 1")
 def best_per_group(spark, sf_dir):
-    """The best order of each customer."""
+    """The best order of each customer."""
     order = F.struct((F.col("o_orderstatus") == "O").cast("int"), "o_totalprice", -F.col("o_orderkey"))
-    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", order).alias("o_orderkey"), F.count("*").alias("n"))
-
-
-@register("SELECT o_orderkey, row_number() OVER (ORDER BY (CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END), o_orderpriority, -o_totalprice, o_custkey, o_orderkey) AS rank FROM orders QUALIFY rank <= 100")
-def canonical_sort_topk(spark, sf_dir):
-    """O1, O2: the first 100 orders of a five-key order, with their places."""
-    order = [F.when(F.col("o_orderstatus") == "O", 0).otherwise(1), "o_orderpriority", -F.col("o_totalprice"), "o_custkey", "o_orderkey"]
-    rows = table(spark, sf_dir, "orders").orderBy(*order).limit(100).select("o_orderkey", F.struct(*order).alias("o"))
-    from pyspark.sql import Window
-
-    return rows.select("o_orderkey", F.row_number().over(Window.orderBy("o")).alias("rank"))  # 100 rows
+    return merge.latest(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice"), ["o_custkey"], order).select("o_custkey", "o_orderkey", "o_totalprice")
 
 
 @register("SELECT c_nationkey, c_custkey, rank FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS rank FROM customer) WHERE rank <= 5")
@@ -132,13 +86,6 @@ def bucket_priority(spark, sf_dir):
     return c.select("c_custkey", enrich.bucket(F.col("c_acctbal") / 100).alias("bucket"), enrich.priority(how, s, email).alias("prio"), enrich.manual(how, s, email).alias("manual"))
 
 
-@register("SELECT o_orderpriority, count(*) AS n, count(*) FILTER (o_orderstatus = 'O') AS n_open, count(*) FILTER (o_orderstatus = 'F') AS n_done, count(*) FILTER (o_orderstatus NOT IN ('O', 'F')) AS n_other FROM orders GROUP BY 1")
-def conditional_counts(spark, sf_dir):
-    """A5."""
-    s = F.col("o_orderstatus")
-    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.count_if(s == "O").alias("n_open"), F.count_if(s == "F").alias("n_done"), F.count_if(~s.isin("O", "F")).alias("n_other"))
-
-
 @register("SELECT c_mktsegment, CASE c_mktsegment WHEN 'BUILDING' THEN 4 WHEN 'MACHINERY' THEN 3 ELSE 0 END AS prio, count(*) AS n FROM customer GROUP BY ALL")
 def category_rank_lookup(spark, sf_dir):
     """Priorities from a small mapping."""
@@ -154,43 +101,34 @@ def override_join(spark, sf_dir):
     return merge.override(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), values, "c_custkey", ["c_mktsegment"])
 
 
-@register("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@register("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
 def anti_join_master(spark, sf_dir):
-    """J1 phase A, U2, F12: customers without orders."""
-    return merge.pending(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    """J1 phase A, U2, F12: customers without a large order."""
+    large = table(spark, sf_dir, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
+    return merge.pending(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), large, "c_custkey")
 
 
-@register("""WITH m AS (SELECT sha256(lower(trim(text))) AS k, min(doc_id) AS first_id FROM documents WHERE doc_id % 2 = 0 GROUP BY 1)
-SELECT doc_id, first_id IS NOT NULL AS is_dup, first_id FROM documents LEFT JOIN m ON sha256(lower(trim(text))) = k WHERE doc_id % 2 = 1""")
-def mark_duplicates_first_ref(spark, sf_dir):
-    """Odd documents marked with the first even document of the same text; the halves stand for new rows and master."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.lower(F.trim("text")).cast("binary"), 256).alias("k"))
-    first = docs.where("doc_id % 2 = 0").groupBy("k").agg(F.min("doc_id").alias("first_id"))
-    return docs.where("doc_id % 2 = 1").join(first, "k", "left").select("doc_id", F.col("first_id").isNotNull().alias("is_dup"), "first_id")
-
-
-@register("SELECT DISTINCT page_id AS ordinal FROM pages JOIN (SELECT DISTINCT regexp_extract(url, '://([^/?#]+)', 1) AS token FROM pages WHERE page_id % 5 = 0) ON contains(lower(url), lower(token)) WHERE length(token) > 8")
+@register("SELECT DISTINCT page_id AS ordinal FROM pages JOIN (SELECT DISTINCT regexp_extract(url, '://([^/?#]+)', 1) AS token FROM pages) ON contains(lower(url), lower(token)) WHERE length(token) > 8")
 def substring_theta_join(spark, sf_dir):
-    """Pages whose URL contains a host of every fifth page; the join runs by key on pieces of the strings."""
+    """Pages whose URL contains a host of any page; the join runs by key on pieces of the strings."""
     pages = table(spark, sf_dir, "pages")
-    tokens = pages.where("page_id % 5 = 0").select(F.lower(F.regexp_extract("url", "://([^/?#]+)", 1)).alias("token")).where("length(token) > 8").distinct()
+    tokens = pages.select(F.lower(F.regexp_extract("url", "://([^/?#]+)", 1)).alias("token")).where("length(token) > 8").distinct()
     new = pages.select(F.col("page_id").alias("ordinal"), F.col("url").alias("link_bewerbung"), F.lit("").alias("ba_job_url"), F.lit("").alias("link_bewerbung_externe"))
     return dedup.holds_token(new, tokens)
 
 
-@register()
+@register("""WITH k AS (SELECT doc_id, list_filter(['t' || sha256(lower(trim(text))), 'l' || n_chars || '|' || source], lambda x: x IS NOT NULL) AS k FROM documents)
+SELECT unnest(list_reduce(list({'k': k, 'ok': [doc_id]} ORDER BY doc_id), lambda a, b: CASE WHEN list_has_any(a.k, b.k) THEN a ELSE {'k': list_concat(a.k, b.k), 'ok': list_concat(a.ok, b.ok)} END).ok) AS ordinal FROM k""")
 def greedy_merge(spark, sf_dir):
-    """J1 phase B: documents accepted in order of id, where no accepted one before has the same begin, the same end or the same length and source."""
-    t = F.lower(F.trim("text"))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ordinal"), F.xxhash64(F.substring(t, 1, 60)).alias("_ref"), F.xxhash64(F.right(t, F.lit(60))).alias("_near"), F.concat_ws("|", "n_chars", "source").alias("_cross"))
-    return dedup.greedy(docs)
+    """J1 phase B: documents accepted in order of id, where no accepted one before has the same text, or the same length and source."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ordinal"), F.sha2(F.lower(F.trim("text")).cast("binary"), 256).alias("_ref"), F.concat(F.col("n_chars").cast("string"), F.lit("|"), F.col("source")).alias("_cross"))
+    return dedup.greedy(docs, ("_ref", "_cross"))
 
 
 @register("SELECT doc_id, list_aggregate(list_distinct(list_transform(regexp_extract_all(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}'), lambda x: lower(x))), 'count') AS n_emails FROM documents WHERE regexp_matches(text, '[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}')")
 def emails_distinct(spark, sf_dir):
     """E22, W6."""
-    docs = table(spark, sf_dir, "documents").where(F.col("text").rlike(text.EMAIL))
-    return docs.select("doc_id", F.size(text.emails(F.col("text"))).cast("long").alias("n_emails"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(text.emails(F.col("text"))).cast("long").alias("n_emails")).where("n_emails > 0")
 
 
 @register("SELECT doc_id, len(list_distinct(list_transform(regexp_extract_all(text, '(?:\\+49|0)[\\s\\d/()-]{6,20}\\d'), lambda x: regexp_replace(trim(x), '\\s+', ' ', 'g')))) AS n_phones FROM documents WHERE regexp_matches(text, '(?:\\+49|0)[\\s\\d/()-]{6,20}\\d')")
@@ -228,45 +166,86 @@ def line_normalise(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.normalise_space(F.col("text")).alias("t")).select("doc_id", F.length("t").cast("long").alias("n_chars"), F.sha2(F.col("t").cast("binary"), 256).alias("digest"))
 
 
-@register()
+_LINES = r"regexp_split_to_array(text, '\r\n|[\n\x0b\x0c\r\x{85}\x{2028}\x{2029}]')"
+
+
+@register(f"""WITH l AS (SELECT doc_id, unnest({_LINES}) AS line, generate_subscripts({_LINES}, 1) AS i FROM documents WHERE text IS NOT NULL),
+m AS (SELECT doc_id, trim(line) AS t, i, last_value(CASE WHEN starts_with(line, 'E') THEN 'e' WHEN starts_with(line, 'T') THEN 't' END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i) AS mk FROM l)
+SELECT doc_id, coalesce(length(string_agg(t, chr(10) ORDER BY i) FILTER (mk = 'e' AND t <> '')), 0) AS n_e, coalesce(length(string_agg(t, chr(10) ORDER BY i) FILTER (mk = 't' AND t <> '')), 0) AS n_t FROM m GROUP BY doc_id""")
 def section_split(spark, sf_dir):
     """Lines of documents by the last line that begins with a capital E or T."""
     s = text.sections(F.col("text"), {"e": "^E", "t": "^T"})
-    return table(spark, sf_dir, "documents").select("doc_id", s.alias("s")).select("doc_id", F.length(F.col("s")["e"]).alias("n_e"), F.length(F.col("s")["t"]).alias("n_t"))
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", s.alias("s")).select("doc_id", F.length(F.col("s")["e"]).cast("long").alias("n_e"), F.length(F.col("s")["t"]).cast("long").alias("n_t"))
+
 
+_STOP = r"a.on AND NOT b.hit AND ((b.t = '' AND len(a.kept) > 1) OR starts_with(b.t, '#') OR (len(a.kept) >= 3 AND NOT b.bullet))"
 
-@register()
+
+@register(rf"""SELECT doc_id, sha256(array_to_string(list_reduce(list_transform({_LINES}, lambda x: {{'on': false, 'done': false, 'kept': []::VARCHAR[], 't': trim(x), 'hit': ends_with(x, '.'), 'bullet': regexp_matches(x, '^[\s\x0b]*[-*•]')}}),
+lambda a, b: {{'on': a.on OR b.hit, 'done': a.done OR ({_STOP}), 'kept': CASE WHEN NOT a.done AND (b.hit OR (a.on AND NOT ({_STOP}) AND b.t <> '')) THEN list_append(a.kept, b.t) ELSE a.kept END, 't': '', 'hit': false, 'bullet': false}},
+{{'on': false, 'done': false, 'kept': []::VARCHAR[], 't': '', 'hit': false, 'bullet': false}}).kept, chr(10))) AS digest FROM documents WHERE text IS NOT NULL""")
 def marker_capture(spark, sf_dir):
-    """E5: three lines from the first that ends with a full stop."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.section(F.col("text"), r"\.$", 3).cast("binary"), 256).alias("digest"))
+    """E5: lines from the first that ends with a full stop, by the rules of a section of three lines."""
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.sha2(text.section(F.col("text"), r"\.$", 3).cast("binary"), 256).alias("digest"))
 
 
-@register("SELECT event_id, json_extract_string(props, '$.' || k) AS v, k FROM (SELECT event_id, props, list_sort(json_keys(props))[1] AS k FROM events)")
-def json_variant_pick(spark, sf_dir):
-    """The first key of a JSON object and its value, by way of a map."""
-    m = F.from_json("props", "map<string,string>")
-    return table(spark, sf_dir, "events").select("event_id", m.alias("m")).select("event_id", F.array_sort(F.map_keys("m"))[0].alias("k"), "m").select("event_id", F.col("m")[F.col("k")].alias("v"), "k")
+_ENTITY = "t"
+for _name, _char in text.ENTITIES.items():
+    _ENTITY = f"replace({_ENTITY}, '&{_name};', '{_char.replace(chr(39), chr(39) * 2)}')"
 
 
-@register()
-def classify_first_match(spark, sf_dir):
-    """Job types of documents, whose source stands for the category."""
-    return table(spark, sf_dir, "documents").groupBy(classify.job_type(F.substring("text", 1, 60), F.col("text"), F.col("source")).alias("job_type")).agg(F.count("*").alias("n"))
+@register(rf"""WITH a AS (SELECT page_id, html AS t FROM pages), b AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace({_ENTITY}, '(?s)<!--.*?-->', '', 'g'), '(?i)<li\b[^>]*>', chr(10) || '- ', 'g'), '(?i)<br\s*/?>|</p\s*>|</h[1-6]>', chr(10), 'g'), '(?s)</?[A-Za-z!][^>]*>', '', 'g') AS t FROM a),
+c AS (SELECT page_id, {_ENTITY} AS t FROM b), d AS (SELECT page_id, array_to_string(list_filter(list_transform(string_split(replace(replace(t, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)), lambda x: regexp_replace(regexp_replace(x, '[ \t\x{{a0}}]+', ' ', 'g'), '^[\s\x0b\p{{Z}}]+|[\s\x0b\p{{Z}}]+$', '', 'g')), lambda x: x <> ''), chr(10)) AS t FROM c)
+SELECT page_id, length(t) AS n_chars, sha256(t) AS digest FROM d""")
+def html_lines(spark, sf_dir):
+    """Pages as lines of text, with their characters resolved."""
+    return table(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("t")).select("page_id", F.length("t").cast("long").alias("n_chars"), F.sha2(F.col("t").cast("binary"), 256).alias("digest"))
 
 
-@register("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 2026 END AS year, CASE WHEN o_orderkey % 3 = 0 THEN extract(month FROM o_orderdate)::INT END AS month, CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '2026-%m-%d') END AS date FROM orders""")
+@register("SELECT event_id, json_extract_string(props, '$.k') AS v, '' AS missing FROM events")
+def json_variant_pick(spark, sf_dir):
+    """The first path that a JSON object has."""
+    from korbwerk.sources import portals
+
+    v = portals.ld_objects(F.array("props"))[0]
+    return table(spark, sf_dir, "events").select("event_id", v.alias("v")).select("event_id", portals.pick(F.col("v"), "$.nothing", "$.k").alias("v"), portals.pick(F.col("v"), "$.nothing").alias("missing"))
+
+
+@register("""WITH o AS (SELECT o_orderkey, o_orderkey % 7 AS c, extract(month FROM o_orderdate)::INT AS m, strftime(o_orderdate, '2026-%m-%d') AS d FROM orders)
+SELECT o_orderkey, CASE WHEN c IN (0, 1, 5) THEN 2026 WHEN c IN (2, 4) THEN 2027 END AS year, CASE WHEN c IN (0, 1, 5) THEN m WHEN c = 2 THEN 9 END AS month, CASE WHEN c IN (0, 1, 5) THEN d END AS date FROM o""")
 def date_extract(spark, sf_dir):
-    """Start dates in sentences made of order dates; every third announces a start, the others a deadline."""
-    lead = F.when(F.col("o_orderkey") % 3 == 0, "Beginn: ").otherwise("Bewerbungsschluss ist am ")
-    line = F.concat(lead, F.date_format("o_orderdate", "dd.MM."), F.lit("2026"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", dates.text_start(line).alias("s")).select("o_orderkey", "s.*")
+    """Start dates of order dates in an ISO field, announced in a text, by a month's name in the second text, before a deadline, only in the category, after a full stop, and glued to letters."""
+    day, c = F.concat(F.date_format("o_orderdate", "dd.MM."), F.lit("2026")), F.col("o_orderkey") % 7
+    iso = F.when(c == 0, F.date_format("o_orderdate", "'2026-'MM-dd")).otherwise("")
+    first = F.when(c == 1, F.concat(F.lit("Wir freuen uns.\nBeginn: "), day)).when(c == 3, F.concat(F.lit("Bewerbungsschluss ist am "), day)).when(c == 5, F.concat(F.lit("Los geht es."), day)).when(c == 6, F.concat(F.lit("Nummer A"), day)).otherwise("")
+    second = F.when(c == 2, F.lit("Ausbildungsstart ist im September 2027")).otherwise("")
+    start = dates.start_date(iso, [first, second], F.when(c == 4, "azubiyo_2027").otherwise("azubiyo"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", start.alias("s")).select("o_orderkey", "s.*")
+
+
+def _scored(field: str, token: str) -> str:
+    """SQL of one token's score in one field."""
+    words = f"list_filter(string_split({field}, ' '), lambda w: starts_with(w, '{token}'))"
+    return f"(CASE WHEN {field} = '{token}' THEN 110 WHEN {words}[1] = '{token}' THEN 95 WHEN len({words}) > 0 THEN 80 WHEN length('{token}') > 2 AND contains({field}, '{token}') THEN 100 - least(strpos({field}, '{token}') - 1, 40) ELSE 0 END)"
 
 
-@register("""WITH b AS (SELECT p_partkey, lower(p_name) AS f FROM part), s AS (SELECT p_partkey, f, string_split(f, ' ') AS ws FROM b)
-SELECT p_partkey, (CASE WHEN f = 'part' THEN 110 WHEN list_filter(ws, lambda w: starts_with(w, 'part'))[1] = 'part' THEN 95 WHEN len(list_filter(ws, lambda w: starts_with(w, 'part'))) > 0 THEN 80 WHEN contains(f, 'part') THEN 100 - least(strpos(f, 'part') - 1, 40) ELSE 0 END)::INT AS score FROM s WHERE score > 0""")
+@register(f"WITH b AS (SELECT p_partkey, greatest({_scored('lower(p_name)', 'ring')}, {_scored('lower(p_type)', 'ring')})::INT AS score FROM part) SELECT * FROM b WHERE score > 0")
 def search_ranked(spark, sf_dir):
-    """Q-3 to Q-6: parts for one token."""
-    return search.search(search.searchable(table(spark, sf_dir, "part"), ["p_name"]), "Part").select("p_partkey", F.col("score").cast("int").alias("score"))
+    """Q-3 to Q-6: parts for one token, in two fields."""
+    return search.search(search.searchable(table(spark, sf_dir, "part"), ["p_name", "p_type"]), "Ring").select("p_partkey", F.col("score").cast("int").alias("score"))
+
+
+@register(f"WITH b AS (SELECT p_partkey, greatest({_scored('lower(p_name)', 'e')}, {_scored('lower(p_type)', 'e')}) AS s1, greatest({_scored('lower(p_name)', 'idg')}, {_scored('lower(p_type)', 'idg')}) AS s2 FROM part) SELECT p_partkey, (s1 + s2)::INT AS score FROM b WHERE s1 > 0 AND s2 > 0")
+def search_tokens(spark, sf_dir):
+    """Q-5, Q-6: parts for two tokens, both of which must be found; a short one only at a word's begin."""
+    return search.search(search.searchable(table(spark, sf_dir, "part"), ["p_name", "p_type"]), " É  idg").select("p_partkey", F.col("score").cast("int").alias("score"))
+
+
+@register(f"SELECT count(*) FILTER (greatest({_scored('lower(p_name)', 'red')}, {_scored('lower(p_type)', 'red')}) > 0) AS n, (SELECT count(*) FROM part) AS n_all FROM part")
+def search_count(spark, sf_dir):
+    """Q-7: how many parts match a query, and an empty one."""
+    rows = search.searchable(table(spark, sf_dir, "part"), ["p_name", "p_type"])
+    return search.match_count(rows, "red").crossJoin(search.match_count(rows, " ").withColumnRenamed("n", "n_all"))  # one row each
 
 
 @register("SELECT 'segment' AS type, lower(c_mktsegment) AS norm, arg_min(c_mktsegment, c_custkey) AS value, count(*) AS n FROM customer GROUP BY 2")
@@ -275,7 +254,10 @@ def suggest_index(spark, sf_dir):
     return search.suggestions(table(spark, sf_dir, "customer"), {"segment": F.col("c_mktsegment")}, "c_custkey")
 
 
-@register()
+@register("""WITH i AS (SELECT 'type' AS type, lower(p_type) AS norm, arg_min(p_type, p_partkey) AS value, count(*) AS n FROM part GROUP BY 2 UNION ALL
+SELECT 'brand', trim(regexp_replace(lower(p_brand), '[^a-z0-9@.\\s-]+', ' ', 'g')), arg_min(p_brand, p_partkey), count(*) FROM part GROUP BY 2),
+s AS (SELECT *, (CASE WHEN norm = 'br' THEN 200 WHEN starts_with(norm, 'br') THEN 150 - least(length(norm) - 2, 30) WHEN contains(norm, 'br') THEN 120 - (strpos(norm, 'br') - 1) WHEN regexp_matches(norm, ' br') THEN 90 WHEN regexp_matches(norm, 'b.*r') THEN 50 ELSE 0 END + least(n, 20))::INT AS score FROM i),
+r AS (SELECT type, norm, n, score, row_number() OVER (PARTITION BY type ORDER BY score DESC, n DESC, value) AS rank FROM s WHERE score > 0) SELECT * FROM r WHERE rank <= 5 ORDER BY type, rank LIMIT 18""")
 def suggest_topk(spark, sf_dir):
     """O5, Q-8."""
     index = search.suggestions(table(spark, sf_dir, "part"), {"type": F.col("p_type"), "brand": F.col("p_brand")}, "p_partkey")
@@ -288,10 +270,10 @@ def facets(spark, sf_dir):
     return search.facets(table(spark, sf_dir, "documents"), ["lang", "source"])
 
 
-@register("SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, count(*) AS n FROM events GROUP BY 1")
+@register("SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY 1")
 def newest_snapshot(spark, sf_dir):
     """The latest event of each user."""
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"), F.count("*").alias("n"))
+    return merge.latest(table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts"), ["user_id"], F.struct("ts", "event_id")).drop("ts")
 
 
 @register("""WITH e AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS state FROM events GROUP BY 1) SELECT coalesce(c_custkey, user_id) AS c_custkey, c_name, coalesce(nullif(state, ''), CASE WHEN c_custkey IS NOT NULL THEN 'pending' END) AS state FROM customer FULL JOIN e ON c_custkey = user_id""")
@@ -336,7 +318,7 @@ def event_windows_stream(spark, sf_dir):
     """Structured Streaming over the events file: tumbling windows, all input read once, the complete result of the last micro-batch."""
     from uuid import uuid4
 
-    from korbwerk.plans.checkpoint import ensure_checkpoint_dir
+    from korbwerk.plans.checkpoint import ensure_checkpoint_dir, remove
     from korbwerk.streaming import ingest
 
     ensure_checkpoint_dir(spark)
@@ -344,6 +326,7 @@ def event_windows_stream(spark, sf_dir):
     events = spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
     counts = ingest.windowed_counts(events, "ts", "event_type")
     counts.writeStream.outputMode("complete").foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{folder}/out")).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    remove(spark, f"{folder}/state")
     return spark.read.parquet(f"{folder}/out").select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n")
 
 

@@ -8,10 +8,11 @@ from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField,
 
 # The columns of a listing, in the order of every export.
 _TEXT_BEFORE = (
-    "referenznummer category_id nama_perusahaan titik_data_di_peta posisi_kota alamat_detail detail_deskripsi gaji persyaratan jenis_ausbildung beruf_typ deskripsi_perusahaan "
-    "apa_yang_ditawarkan link_website_perusahaan link_website_perusahaan_resmi website_type alamat_email_bewerbung link_bewerbung link_bewerbung_externe link_bewerbung_efektif "
-    "bewerbung_sumber kontak_penanggung_jawab dokumen_yang_harus_dipenuhi ba_job_url sumber_data ausbildung_de_url"
-).split()
+    "referenznummer", "category_id", "nama_perusahaan", "titik_data_di_peta", "posisi_kota", "alamat_detail", "detail_deskripsi",
+    "gaji", "persyaratan", "jenis_ausbildung", "beruf_typ", "deskripsi_perusahaan", "apa_yang_ditawarkan", "link_website_perusahaan",
+    "link_website_perusahaan_resmi", "website_type", "alamat_email_bewerbung", "link_bewerbung", "link_bewerbung_externe", "link_bewerbung_efektif", "bewerbung_sumber",
+    "kontak_penanggung_jawab", "dokumen_yang_harus_dipenuhi", "ba_job_url", "sumber_data", "ausbildung_de_url",
+)
 LISTING = StructType(
     [StructField(c, StringType()) for c in _TEXT_BEFORE]
     + [StructField("is_duplicate_of_arbeitsagentur", BooleanType()), StructField("duplicate_of_refnr", StringType())]
@@ -34,16 +35,13 @@ JOB_TYPE_LABELS = {
     "non_fi": "Bukan Fachinformatiker", "dual": "Duales Studium", "skip": "Non-target",
 }
 
-# Categories by priority; all others have 0.
+# Priorities of categories; all others have 0.
 CATEGORY_PRIORITY = {
-    4: ("fachinformatiker_ae_2026",),
-    3: (
-        "ausbildung_de_ae", "ausbildung_de_dpa", "meine_ausbildung_ae", "meine_ausbildung_dpa", "ausbildung_nrw_ae", "ausbildung_nrw_dpa", "azubiyo_de_ae", "azubiyo_de_dpa", "stepstone_de_ae",
-        "stepstone_de_dpa", "indeed_de_ae", "indeed_de_dpa", "ausbildungsstellen_ae", "ausbildungsstellen_dpa", "ausbildungsstellen_dv", "ausbildungsstellen_si", "meinestadt_ae", "meinestadt_dpa",
-        "meinestadt_dv", "meinestadt_si", "backinjob_ae", "backinjob_dpa", "backinjob_dv", "backinjob_si", "karriere_sw_ae", "azubi_de_fi", "ausbildungsmarkt_fi", "aubi_plus_fi", "wir_sind_bund_fi",
-    ),
-    2: ("fachinformatiker_dpa",),
-    1: ("fachinformatiker_ae",),
+    "fachinformatiker_ae_2026": 4, "ausbildung_de_ae": 3, "ausbildung_de_dpa": 3, "meine_ausbildung_ae": 3, "meine_ausbildung_dpa": 3, "ausbildung_nrw_ae": 3, "ausbildung_nrw_dpa": 3,
+    "azubiyo_de_ae": 3, "azubiyo_de_dpa": 3, "stepstone_de_ae": 3, "stepstone_de_dpa": 3, "indeed_de_ae": 3, "indeed_de_dpa": 3, "ausbildungsstellen_ae": 3,
+    "ausbildungsstellen_dpa": 3, "ausbildungsstellen_dv": 3, "ausbildungsstellen_si": 3, "meinestadt_ae": 3, "meinestadt_dpa": 3, "meinestadt_dv": 3, "meinestadt_si": 3,
+    "backinjob_ae": 3, "backinjob_dpa": 3, "backinjob_dv": 3, "backinjob_si": 3, "karriere_sw_ae": 3, "azubi_de_fi": 3, "ausbildungsmarkt_fi": 3,
+    "aubi_plus_fi": 3, "wir_sind_bund_fi": 3, "fachinformatiker_dpa": 2, "fachinformatiker_ae": 1,
 }
 
 # Job boards that aren't employers' sites, and marks of the public job portal.
@@ -52,6 +50,8 @@ PARTNER_DOMAINS = (
     "trainee-gefluester.de", "yourfirm.de", "indeed.com", "xing.com", "linkedin.com",
 )
 PORTAL_MARKERS = ("arbeitsagentur.de", "jobboerse.de")
+# Fixed value: address of a listing's page on the public portal.
+DETAIL_URL = "https://www.arbeitsagentur.de/jobsuche/jobdetail/"
 
 # Columns and headers of the workflow export.
 EXPORT_COLUMNS = (
@@ -71,7 +71,7 @@ def lookup(mapping: dict, key: Column, default: object) -> Column:
 
 def category_priority(category: Column, priorities: dict[str, int] | None = None) -> Column:
     """Priority of a category; an empty mapping means the default one."""
-    return lookup(priorities or {c: p for p, names in CATEGORY_PRIORITY.items() for c in names}, category, 0)
+    return lookup(priorities or CATEGORY_PRIORITY, category, 0)
 
 
 def conform(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@
     spark.read.format("paged_api").options(url="https://host/jobs", query="x", size=25, pages=40).load()
 
 Each page is a partition, so the number of tasks that run bounds the number of requests at once; each task waits `interval` seconds before a request and tries again, with growing waits, after
-answers that say so. A page that can't be had is a row with its error, so that one failure doesn't end the run.
+answers that say so. With `stop_at_total` the first page is asked while planning and tells how many pages there are; `parallel` is how many tasks run at once, so that the interval holds for all of them. A page that can't be had is a row with its error, so that one failure doesn't end the run.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import json
 import time
 from collections.abc import Iterator
 from urllib.error import HTTPError, URLError
-from urllib.parse import urlencode
+from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 from urllib.request import Request, urlopen
 
 from pyspark.sql import DataFrame
@@ -49,14 +49,24 @@ class PagedApiReader(DataSourceReader):
         self.options = options
 
     def partitions(self) -> list[InputPartition]:
-        return [Page(i) for i in range(1, int(self.options.get("pages", "1")) + 1)]
+        o = self.options
+        pages, first = int(o.get("pages", "1")), None
+        if o.get("stop_at_total", "").lower() == "true":
+            # The first page tells how many there are
+            first = json.loads(self.ask(1, float(o.get("interval", INTERVAL)))).get("maxErgebnisse")
+        return [Page(i) for i in range(1, (pages if first is None else min(pages, -(-int(first) // int(o.get("size", PAGE_SIZE))))) + 1)]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
+    def ask(self, page: int, interval: float) -> str:
         o = self.options
-        asked = {"was": o.get("query", ""), "angebotsart": o.get("kind", ""), "page": partition.number, "size": o.get("size", str(PAGE_SIZE))}
+        asked = {"was": o.get("query", ""), "angebotsart": o.get("kind", ""), "page": page, "size": o.get("size", str(PAGE_SIZE))}
         url = o["url"].format(**asked) if "{" in o["url"] else f"{o['url']}?{urlencode({k: v for k, v in asked.items() if v != ''})}"
+        return fetch(url, {"X-API-Key": o["key"]} if "key" in o else {}, interval, int(o.get("retries", RETRIES)), float(o.get("backoff", BACKOFF)))
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        o = self.options
         try:
-            found = json.loads(fetch(url, {"X-API-Key": o["key"]} if "key" in o else {}, float(o.get("interval", INTERVAL)), int(o.get("retries", RETRIES)), float(o.get("backoff", BACKOFF))))
+            # `parallel` tasks that each wait that much longer keep the interval between all requests
+            found = json.loads(self.ask(partition.number, float(o.get("interval", INTERVAL)) * int(o.get("parallel", "1"))))
             for i, row in enumerate(found.get("ergebnisliste") or []):
                 yield partition.number, i, found.get("maxErgebnisse"), row.get("referenznummer"), json.dumps(row, ensure_ascii=False), None
         except (HTTPError, URLError, TimeoutError, ValueError) as e:
@@ -77,6 +87,35 @@ class PagedApi(DataSource):
         return PagedApiReader(dict(self.options))
 
 
+def fetch_details(refs: DataFrame, url: str, headers: dict[str, str] | None = None, parallel: int = 1, interval: float = INTERVAL, retries: int = RETRIES, backoff: float = BACKOFF) -> DataFrame:
+    """Ordinal, referenznummer, payload and error of each reference, by `parallel` tasks; `{id}` in the URL is the reference in base64. A reference that stands there twice is asked once, at its first place; order by ordinal."""
+    wanted = refs.where("referenznummer is not null").groupBy("referenznummer").agg(F.min("ordinal").cast("long").alias("ordinal")).select("ordinal", "referenznummer")
+
+    def run(batches: Iterator) -> Iterator:
+        from base64 import b64encode
+
+        for batch in batches:
+            payloads, errors = [], []
+            for ref in batch["referenznummer"]:
+                try:
+                    payloads.append(fetch(url.replace("{id}", b64encode(ref.encode()).decode()), headers or {}, interval * parallel, retries, backoff))
+                    errors.append(None)
+                except (HTTPError, URLError, TimeoutError, ValueError) as e:
+                    payloads.append(None)
+                    errors.append(str(e)[:500])
+            yield batch.assign(payload=payloads, error=errors)
+
+    return wanted.repartition(parallel).mapInPandas(run, "ordinal long, referenznummer string, payload string, error string")
+
+
+def page_url(url: str, page: int, defaults: dict[str, str] | None = None) -> str:
+    """A search URL for one page: its query with the page set and the defaults that it lacks."""
+    parts = urlsplit(url)
+    query = dict(reversed(parse_qsl(parts.query, keep_blank_values=True)))  # of a name that stands there twice, the first
+    asked = {k: query[k] for k, _ in parse_qsl(parts.query, keep_blank_values=True)} | {"page": str(page)}
+    return urlunsplit(parts._replace(query=urlencode({**asked, **{k: v for k, v in (defaults or {}).items() if k not in asked}}), fragment=""))
+
+
 def first_shard(rows: DataFrame, key: str, shard: str) -> DataFrame:
     """Rows of several searches, of each key that of the first search."""
     return rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), shard).alias("_row")).select("_row.*")

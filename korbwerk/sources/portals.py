@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from korbwerk.functions import extract
-from korbwerk.functions.classify import skipped
-from korbwerk.functions.text import EMAIL, blank, first_filled, html_text, main_text, normalise_space, or_null, sections, ustrip
+from korbwerk.functions.classify import skipped, title_fits
+from korbwerk.functions.text import EMAIL, blank, filled, first_filled, html_text, main_text, or_null, sections, strip_html, ustrip
 from korbwerk.operators.enrich import enrich
-from korbwerk.schema import conform
+from korbwerk.schema import DETAIL_URL, LISTING_COLUMNS, conform
 
 # Words that begin the sections of a portal page, by section, in order of trial.
 SECTIONS = {
@@ -122,7 +122,7 @@ def parse_pages(pages: DataFrame, portal: Portal, keep_all: bool = False) -> Dat
     df = pages.select(F.col("url"), F.col("html"), F.coalesce("category_id", F.lit("")).alias("category_id"), main_text(F.col("html")).alias("main"), ld_objects(ld_blocks(F.col("html"))).alias("objects"), anchors(F.col("html")).alias("anchors"))
     df = df.withColumns({"job": of_type(F.col("objects"), "JobPosting"), "firm": of_type(F.col("objects"), "Corporation", "Organization")})
     job, main = F.col("job"), F.col("main")
-    df = df.withColumn("body", normalise_space(F.regexp_replace(F.regexp_replace(pick(job, "$.description"), r"(?i)<li[^>]*>", "\n- "), r"(?s)<[^>]+>", "\n")))
+    df = df.withColumn("body", strip_html(pick(job, "$.description")))
     df = df.withColumn("parts", sections(F.when(F.col("body") != "", F.col("body")).otherwise(main), {k: extract.any_of(words) for k, words in portal.sections.items()}))
     part = {k: blank(F.col("parts")[k]) for k in portal.sections}
     title = html_text(pick(job, "$.title"))
@@ -154,10 +154,6 @@ def with_start(listings: DataFrame) -> DataFrame:
     return conform(kept).withColumn("eintrittsdatum", F.col("tanggal_mulai")).withColumn("tanggal_mulai", F.lit(""))
 
 
-# Fixed value: address of a listing's page on the public portal.
-DETAIL_URL = "https://www.arbeitsagentur.de/jobsuche/jobdetail/"
-
-
 def parse_details(details: DataFrame) -> DataFrame:
     """2.11, P16 to P22: listings out of API details (one row each, as its JSON reads, with category_id)."""
     where, text = F.get("stellenlokationen", F.lit(0)), F.col("stellenangebotsBeschreibung")
@@ -166,7 +162,7 @@ def parse_details(details: DataFrame) -> DataFrame:
         extract.address(where["adresse"]["strasse"], where["adresse"]["hausnummer"], where["adresse"]["plz"], where["adresse"]["ort"]).alias("alamat_detail"), text.alias("detail_deskripsi"),
         first_filled(extract.yearly_salary([F.col(f"ausbildungsverguetungJahr{i}") for i in (1, 2, 3)], F.col("verguetungsangabe")), extract.salary(text)).alias("gaji"),
         extract.requirement_lines(text, F.col("geforderterBildungsabschluss")).alias("persyaratan"), extract.job_title(F.col("ausbildungsart"), F.col("hauptberuf"), F.col("alleBerufe")).alias("jenis_ausbildung"),
-        extract.offers(text).alias("apa_yang_ditawarkan"), extract.website(F.col("allianzpartnerUrl")).alias("link_website_perusahaan"), extract.application_email(text).alias("alamat_email_bewerbung"), F.col("externeURL").alias("link_bewerbung"),
+        extract.company_description(text).alias("deskripsi_perusahaan"), extract.offers(text).alias("apa_yang_ditawarkan"), extract.website(F.col("allianzpartnerUrl")).alias("link_website_perusahaan"), extract.application_email(text).alias("alamat_email_bewerbung"), F.col("externeURL").alias("link_bewerbung"),
         extract.contact(text).alias("kontak_penanggung_jawab"), extract.documents(text).alias("dokumen_yang_harus_dipenuhi"), F.concat(F.lit(DETAIL_URL), "referenznummer").alias("ba_job_url"), F.lit("arbeitsagentur").alias("sumber_data"), F.col("eintrittsdatum"),
     )
     return conform(enrich(with_start(listings)))
@@ -183,3 +179,47 @@ def company_tree(rows: DataFrame) -> DataFrame:
     each = rows.select(F.col("id").alias("company_id"), "name", "address", F.explode("apprenticeships").alias("a"))
     place = F.coalesce(F.get("a.addresses", F.lit(0)), F.col("address"))
     return each.select("company_id", F.col("name").alias("nama_perusahaan"), F.col("a.id").alias("apprenticeship_id"), F.col("a.apprenticeship.name").alias("jenis_ausbildung"), place["city"].alias("posisi_kota"), extract.address(place["street"], F.lit(""), place["zip"], place["city"]).alias("alamat_detail"))
+
+
+def detail_or_card(cards: DataFrame, details: DataFrame, key: str, portal: Portal) -> DataFrame:
+    """A listing for each card (or stub) of a search: its detail where there is one, blanks filled from the card, else the card alone; id and source are the portal's.
+
+    cards: `key`, `id` and any canonical columns; details: `key` (at most one row for each) and listings.
+    """
+    side = details.select(F.col(key).alias("_key"), F.lit(True).alias("_found"), *(F.col(c).alias(f"_detail_{c}") for c in LISTING_COLUMNS if c in details.columns))
+    joined = cards.join(side, F.col(key) == F.col("_key"), "left")
+    out = {}
+    for c in LISTING_COLUMNS:
+        own, detail = c in cards.columns, c in details.columns
+        if own or detail:
+            card = F.col(c) if own else F.lit(None)
+            out[c] = F.when(filled(F.col(f"_detail_{c}").cast("string")), F.col(f"_detail_{c}")).otherwise(card) if detail else card
+    rows = joined.select("id", *(v.alias(k) for k, v in out.items()))
+    named = rows.withColumns({"referenznummer": F.concat(F.lit(portal.prefix), F.col("id").cast("string")), "sumber_data": F.lit(portal.source)})
+    return conform(enrich(conform(named)))
+
+
+def card_hint(html: Column, href: Column) -> Column:
+    """F8: the text within 400 characters around a link's first place, 240 characters at most; blank if it isn't there."""
+    at = F.call_function("locate", href, blank(html))
+    begin = F.greatest(at - 400, F.lit(1))
+    around = F.substring(blank(html), begin, at - begin + 400)
+    text = F.trim(F.regexp_replace(F.regexp_replace(around, "(?s)<[^>]+>", " "), r"\s+", " "))
+    return F.when(at > 0, F.substring(text, 1, 240)).otherwise("")
+
+
+# Ids that pages show as placeholders.
+PLACEHOLDERS = ("abcdef0123456789", "789abcdef0123456", "123456789abcdef0", "456789abcdef0123", "0123456789abcdef", "fedcba9876543210")
+
+
+def real_key(c: Column) -> Column:
+    """an id of 16 hexadecimal digits that isn't a placeholder."""
+    return blank(c).rlike("^[a-f0-9]{16}$") & ~blank(c).isin(*PLACEHOLDERS)
+
+
+def fitting_stubs(stubs: DataFrame, kind: str | None) -> tuple[DataFrame, DataFrame]:
+    """stubs whose title fits, and one row with the number of those dropped."""
+    if not kind:
+        return stubs, stubs.limit(0).agg(F.count("*").alias("dropped"))
+    fits = F.coalesce(title_fits(F.col("title"), kind), F.lit(False))
+    return stubs.where(fits), stubs.agg(F.count_if(~fits).alias("dropped"))

@@ -24,6 +24,12 @@ def export_rows(df: DataFrame) -> DataFrame:
     return df.select(*(text_or_blank(F.col(c), kinds[c]).alias(h) for c, h in EXPORT_COLUMNS))
 
 
+def write_excel(df: DataFrame, path: str) -> None:
+    """K7: the workflow export as CSV that spreadsheets read: one file whose first character, in the first header, is the byte order mark."""
+    rows = export_rows(df)
+    rows.withColumnRenamed(rows.columns[0], f"\ufeff{rows.columns[0]}").coalesce(1).write.mode("overwrite").options(header=True, escape='"', emptyValue="").csv(path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """K1: one JSON object a line, in the canonical columns if it has them."""
     own = set(df.columns)

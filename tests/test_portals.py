@@ -5,7 +5,7 @@ import json
 from korbwerk.sources.portals import PORTALS, parse_details, parse_pages
 
 JOB = {
-    "@type": ["JobPosting"], "title": "Ausbildung Fachinformatiker Anwendungsentwicklung", "description": "<p>Das erwartet dich</p><ul><li>Code</li></ul><p>Dein Profil</p><p>Neugier</p><p>Wir bieten</p><p>Obst</p>",
+    "@type": ["JobPosting"], "title": "Ausbildung Fachinformatiker Anwendungsentwicklung", "description": "<p>Das erwartet dich</p><ul><li>Code</li></ul>\n<p>Dein Profil</p><p>Neugier</p><p>Wir bieten</p><p>Obst</p>",
     "jobLocation": [{"address": {"addressLocality": "Aachen", "streetAddress": "Weg 1", "postalCode": "52062"}, "geo": {"latitude": 50.7, "longitude": 6.1}}],
     "hiringOrganization": {"name": "Foo GmbH"}, "baseSalary": {"minValue": 900, "maxValue": 1100, "currency": "EUR"}, "jobStartDate": "2026-08-01T00:00", "identifier": {"value": "77"},
 }
