@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
 from collections.abc import Callable, Iterator
 from uuid import uuid4
@@ -26,22 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder that the cluster names in spark.checkpoint.dir; only a local master, where none is set, gets a folder of our own."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if folder is None and not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="korbwerk-checkpoint-"))
-
-
-def materialise(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared checkpoint folder: cuts lineage and survives lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def small(rows: DataFrame) -> DataFrame:
     """rows, marked for broadcast if they are BROADCAST_ROWS at most. rows: materialised, of a few numbers or short words."""
     return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows

@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korbwerk.llm.common import materialise, shielded, small, table
+from korbwerk.llm.common import shielded, small, table
+from korbwerk.plans.checkpoint import materialise
 
 # A match may begin where the last one ended or where no longer match could have begun; with possessive repeats this keeps scans linear.
 PATTERNS = {

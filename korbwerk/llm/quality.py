@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from korbwerk.llm.common import materialise, shielded, slices, small, split_codes, sums, table, words_of
+from korbwerk.llm.common import shielded, slices, small, split_codes, sums, table, words_of
+from korbwerk.plans.checkpoint import materialise
 
 WINDOW = 5
 BIN, REACH, PRIOR, NOISE = 0.02, 3.0, 50.0, 2.0

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from korbwerk.llm import jaccard
-from korbwerk.llm.common import materialise, shielded, slices, small, table, words_of
+from korbwerk.llm.common import shielded, slices, small, table, words_of
+from korbwerk.plans.checkpoint import materialise
 
 WIDTH, SEED, BITS = 3, 42, 3
 FAN, CHUNK = 8, 8192

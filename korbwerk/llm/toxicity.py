@@ -24,7 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korbwerk.llm.common import CACHE_BYTES, for_worker, materialise, slices, sums, table, words_of
+from korbwerk.llm.common import CACHE_BYTES, for_worker, slices, sums, table, words_of
+from korbwerk.plans.checkpoint import materialise
 
 TRAIN_ROWS = 30_000
 THRESHOLD = 0.3
