@@ -30,14 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korbwerk.llm.common import materialise, slices, table, words_of
+from korbwerk.llm.common import slices, table, words_of
+from korbwerk.plans.checkpoint import materialise
 
 BLOCK_BYTES = 12 << 20
 BUCKET_TOKENS = 1 << 20
 HOT_CONTEXT = 1 << 19
 DEPTH, MIN_CONTEXT, MIN_SYMBOL, DISCOUNT, COST_BITS = 4, 2, 2, 0.75, 6.0
 #: Parts of a bit in which logarithms of probabilities travel.
-STEP = 1024
+STEP = 256
 END = b"\n"
 U64 = np.uint64
 MIX = U64(0x9E3779B97F4A7C15)
@@ -165,7 +166,7 @@ class Level:
 
     def __init__(self, places: np.ndarray, contexts: np.ndarray, of: np.ndarray, total: np.ndarray, size: np.ndarray, symbol: np.ndarray):
         self.places, self.contexts, self.of, self.total, self.size = places, contexts, of, total, size
-        pairs, self.first, self.pair = np.unique(of << 32 | symbol, return_index=True, return_inverse=True)
+        pairs, self.first, self.pair = np.unique(of.astype(np.int64) << 32 | symbol, return_index=True, return_inverse=True)
         self.context, self.symbol = pairs >> 32, pairs & 0xFFFFFFFF
         self.seen, self.every = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
 
@@ -175,12 +176,12 @@ class Block:
 
     def __init__(self, payload: bytes, bits: int, depth: int, n: int, v: int, discount: float):
         number, count, every, ids, end, self.doc_ids, self.null, self.held_out = unpack(payload)
-        self.number, self.count, self.every, self.ids = np.cumsum(number, dtype=np.int64), count.astype(np.int64), every.astype(np.int64), ids.astype(np.int64)
+        self.number, self.count, self.every, self.ids = slim(np.cumsum(number, dtype=np.int64)), count.astype(np.int64), every.astype(np.int64), ids.astype(np.int32)
         self.shift, self.depth, self.n, self.v = U64(64 - bits), depth, n, v
         ends = np.flatnonzero(self.ids == end[0])
         sizes = np.diff(ends, prepend=-1)
-        self.text = np.repeat(np.arange(len(ends)), sizes)
-        self.before = np.arange(len(self.ids)) - np.repeat(ends + 1 - sizes, sizes)  # words before each place in its text
+        self.text = np.repeat(np.arange(len(ends), dtype=np.int32), sizes)
+        self.before = (np.arange(len(self.ids)) - np.repeat(ends + 1 - sizes, sizes)).astype(np.int32)  # words before each place in its text
         self.train = ~self.held_out[self.text]
         p = decoded(coded(np.where(self.count > 0, self.count - discount, discount * max(v, 1)) / max(n, 1)))
         self.p = p[self.ids]
@@ -278,7 +279,7 @@ class Block:
             for j in range(1, self.depth + 1):
                 word = self.ids[np.maximum(places - j, 0)]
                 there &= (self.before[places] >= j) & (self.count[word] >= MIN_CONTEXT)  # a longer context is no more frequent than any of its words
-                words.append(np.where(there, self.number[word], 0))
+                words.append(np.where(there, self.number[word], self.number.dtype.type(0)))
             key = np.full(len(places), k, U64)
             for w in words[:k]:
                 key = mixed(key + w.astype(U64))

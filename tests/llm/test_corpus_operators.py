@@ -58,7 +58,7 @@ def _same_scores(rows, want, ids):
     got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), r.score) for r in rows)
     want = sorted((str(i), *w[:4], round(w[4], 4), w[5]) for i, w in zip(ids, want, strict=True))
     assert [x[:5] for x in got] == [x[:5] for x in want]
-    np.testing.assert_allclose([x[5:] for x in got], [x[5:] for x in want], rtol=2e-4)
+    np.testing.assert_allclose([x[5:] for x in got], [x[5:] for x in want], rtol=2e-3)
 
 
 def test_suffix_tree(spark, monkeypatch):
@@ -136,8 +136,59 @@ def test_pii(spark):
     texts = [f"number {i} please ask Grumblefax about it at grum@example.org today" for i in range(5)] + [f"please ask number {i} about it today" for i in range(400)] + ["we saw Grumblefax again"]
     rows = {r.doc_id: r for r in pii.score_documents(docs_of(spark, texts)).collect()}
     assert rows[405].spans == "term:7:17" and rows[0].spans.count("term") == 1 and rows[100].spans == ""
-    clean = {r.doc_id: r.text for r in pii.sanitise(docs_of(spark, [*texts, None])).collect()}
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs_of(spark, [*texts, None]).withColumnRenamed("score", "_p_text")).collect()}
     assert clean[405] == "we saw [TERM] again" and clean[0] == "number 0 please ask [TERM] about it at [EMAIL] today" and clean[406] is None
+    assert pii.score_documents(docs_of(spark, [])).count() == pii.sanitise(docs_of(spark, [])).count() == 0
+
+
+def _terms(texts):
+    """Disclosing terms, by plain counting over distinct texts."""
+    import regex
+
+    edge = r"[\p{L}\p{N}'-]"
+    word = regex.compile(rf"(?<!{edge})\p{{L}}[\p{{L}}\p{{N}}'-]{{3,}}+")
+    near, holds = defaultdict(set), defaultdict(set)
+    for n, text in enumerate(set(texts)):
+        words = [(m.start(), m.end(), "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in m[0])) for m in word.finditer(text)]
+        for _, _, w in words:
+            holds[w].add(n)
+        valid = set(_base(text))
+        for kind, pattern in PATTERNS.items():
+            at = [m for m in re.finditer(pattern, text)]
+            for i, m in enumerate(at):
+                if f"{kind}:{m.start()}:{m.end()}" not in valid:
+                    continue
+                left, right = at[i - 1].end() if i else 0, at[i + 1].start() if i + 1 < len(at) else len(text)
+                own = [w for a, _, w in words if left <= a < m.start()][-pii.NEAR :] + [w for a, _, w in words if m.end() <= a < right][: pii.NEAR]
+                name = kind + ":" + (re.sub("[^0-9]", "", m[0]) if kind in ("card", "phone") else m[0].lower())
+                for w in own:
+                    near[w, name].add(n)
+                near[None, name].add(n)
+    out = set()
+    for (w, name), own in near.items():
+        if w and len(own) >= pii.SUPPORT and len(own) / (len(holds[w]) + 0.5) >= pii.SHARE and math.log2(len(own) * len(set(texts)) / len(holds[w]) / len(near[None, name])) >= 1:
+            out.add((w, name))
+    return out
+
+
+def test_disclosing_terms_are_brute_force_s(spark):
+    rng = random.Random(16)
+    names = [f"name{chr(97 + i)}x" for i in range(8)]
+    entities = ["anna@x.de", "10.1.2.3", "+49 30 1234567", "4111 1111 1111 1111", "999.1.2.3", "bob-b@y.org"]
+    parts = [*names, "word" + "y" * 170, "this", "that's", "Über-all", "row", "7", ",", "é", "Namea", "x1", "@", "name"]
+    texts = ["".join(rng.choice((x, x + " ", x + " ")) for x in rng.choices([*parts, *entities], k=rng.randint(1, 14))) for _ in range(300)]
+    texts += [f"{names[i]} wrote to {entities[i % 3]} {j}" for i in range(4) for j in range(3)] + [f"nothing in text {i}" for i in range(200)]
+    texts += [f"row 7grumble {entities[0]} {i}" for i in range(4)] + ["a grumble here", f"farnamex {'w' * 170} {entities[5]}", f"farnamex {'v' * 170} {entities[5]}"]
+    pairs, _ = pii.disclosing_terms(docs_of(spark, texts), bits=1)
+    want = _terms(texts)
+    assert {(r.term, r.entity) for r in pairs.collect()} == want and len(want) > 3
+    assert "grumble" not in {w for w, _ in want} and ("farnamex", "email:bob-b@y.org") in want
+
+
+def test_a_sanitised_text_has_each_span_once(spark):
+    texts = [f"email zorbus: q@b.de {i}" for i in range(4)] + [f"other text {i}" for i in range(300)] + ["4111111111111111@x.de and +4111111111111 ok 1.2.3.4"]
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs_of(spark, texts)).collect()}
+    assert clean[0] == "[TERM] [TERM]: [EMAIL] 0" and clean[304] == "[EMAIL] and [PHONE] ok [IP]"
 
 
 def test_simhash(spark, monkeypatch):
