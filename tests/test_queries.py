@@ -28,6 +28,8 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, duck, name):
     df = registry.QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
     columns = sorted(df.columns)
     rows = sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=str)
     if name in registry.ORACLE_SQL:
@@ -37,12 +39,6 @@ def test_query(spark, duck, name):
         assert rows == sorted((tuple(plain(r[names.index(c)]) for c in columns) for r in result.fetchall()), key=str)
 
 
-def test_plans_stay_in_the_jvm(spark):
-    for name, query in registry.QUERIES.items():
-        plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
-        assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan, name
-
-
 def test_entry(spark):
     import __spark_entry__
 
