@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korbwerk.llm.common import CACHE_BYTES, for_worker, slices, sums, table, words_of
+from korbwerk.llm.common import for_worker, slices, sums, table, words_of
 from korbwerk.plans.checkpoint import materialise
 
 TRAIN_ROWS = 30_000
@@ -32,6 +32,8 @@ THRESHOLD = 0.3
 TREES, DEPTH, RATE, BINS, LEAF = 60, 3, 0.2, 32, 5
 STEMS, LEXICON, LEAST, LIFT, STRONG = (3, 4, 5, 6, 7), 4000, 4, 8.0, 40.0
 NEAR = 6
+#: Bytes of word features that a worker keeps: some 400,000 words.
+FEATURE_BYTES = 160 << 20
 #: Insults and words of the second person that the lexicon begins with.
 INSULTS = frozenset("idiot idiots moron morons stupid loser losers pathetic worthless scum trash garbage clown disgusting dumb fool ugly hate hateful vermin filth filthy jerk freak bastard idioten dumm abschaum versager imbécile crétin débile idiota estúpido estúpida imbécil basura asqueroso".split())
 SECOND = frozenset("you your yours yourself u ur du dich dir dein deine deiner ihr euch euer tu te toi ton ta tes vous votre vos tú ti tuyo usted ustedes vosotros".split())
@@ -47,7 +49,7 @@ def term(word: str) -> str:
 class Features:
     """Dense features of texts; words are looked at once for each cache."""
 
-    def __init__(self, lexicon: dict[str, float], stems: dict[str, float], cached: int = CACHE_BYTES):
+    def __init__(self, lexicon: dict[str, float], stems: dict[str, float], cached: int = FEATURE_BYTES):
         self.lexicon, self.stems, self.cached = lexicon, stems, cached
         self.known: dict[bytes, tuple[float, ...]] = {}
         self.held = 0
