@@ -1,4 +1,4 @@
-"""Ranked search, suggestions and facets over listings (Q-1 to Q-9, A16, A17, O4, O5, F14)."""
+"""Ranked search, suggestions, facets and highlights over listings (Q-1 to Q-11, A16, A17, O4, O5, F14, F15)."""
 
 from __future__ import annotations
 
@@ -64,6 +64,32 @@ def match_count(df: DataFrame, query: str) -> DataFrame:
     return df.agg(F.count_if(search_score(F.col("_fields"), F.col("_text"), query).isNotNull()).alias("n"))
 
 
+def highlights(text: Column, query: str | Column) -> Column:
+    """Q-10: ranges of characters (from 0, `to` exclusive) that hold a token of the query, in order; ranges that touch are one.
+
+    Tokens are looked for in the text without blanks and marks, so a token may run over a gap.
+    """
+    raw, q = blank(text), normalise(F.lit(query) if isinstance(query, str) else query)
+    numbers = F.when(F.length(raw) > 0, F.sequence(F.lit(1), F.length(raw))).otherwise(F.array().cast("array<int>"))
+    kept = F.filter(F.transform(numbers, lambda i: F.struct((i - 1).alias("at"), normalise(F.substring(raw, i, F.lit(1))).alias("c"))), lambda x: x["c"] != "")
+    joined = F.array_join(F.transform(kept, lambda x: x["c"]), "")
+
+    def places(token: Column) -> Column:
+        last = F.length(joined) - F.length(token)
+        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        found = F.filter(starts, lambda p: F.substring(joined, p + 1, F.length(token)) == token)
+        return F.transform(found, lambda p: F.struct(F.get(kept, p)["at"].alias("from"), (F.get(kept, p + F.length(token) - 1)["at"] + 1).alias("to")))
+
+    ranges = F.array_sort(F.flatten(F.transform(F.filter(F.split(q, " "), lambda t: t != ""), places)))
+
+    def join(done: Column, r: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        longer = F.struct(last["from"].alias("from"), F.greatest(last["to"], r["to"]).alias("to"))
+        return F.when((F.size(done) == 0) | (r["from"] > last["to"]), F.concat(done, F.array(r))).otherwise(F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer)))
+
+    return F.aggregate(ranges, F.array().cast("array<struct<from:int,to:int>>"), join)
+
+
 def application_filter(df: DataFrame, query: str = "", status: str = "", ae_only: bool = False, email_only: bool = False) -> DataFrame:
     """F15, Q-11: applications of one state, of one type, with an address, and with the query in company, city, address or reference."""
     text = F.lower(F.concat_ws(" ", *(blank(F.col(c)) for c in ("nama_perusahaan", "posisi_kota", "alamat_email_bewerbung", "referenznummer"))))

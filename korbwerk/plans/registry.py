@@ -1,6 +1,6 @@
 """Registered queries, and the SQL that gives the same rows."""
 
-from korbwerk.plans import listings  # noqa: F401  registers its queries
+from korbwerk.plans import exchange, listings  # noqa: F401  they register their queries
 from korbwerk.plans.queries import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -1,4 +1,4 @@
-"""A paged JSON API as a Spark source.
+"""A paged JSON API as a Spark source, and fetching behind a cache.
 
     spark.dataSource.register(PagedApi)
     spark.read.format("paged_api").options(url="https://host/jobs", query="x", size=25, pages=40).load()
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from urllib.error import HTTPError, URLError
 from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 from urllib.request import Request, urlopen
@@ -20,9 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from korbwerk.functions.text import emails, host, html_description, html_text, html_title, phones
+
 # Pauses and limits of the public API, answers after which a request is tried again.
 INTERVAL, TIMEOUT, RETRIES, BACKOFF, PAGE_SIZE = 0.3, 30, 3, 2.0, 25
 AGAIN = (429, 500, 502, 503, 504)
+# How much of a fetched page is read, and what is kept of it.
+PAGE_CHARS, SAMPLE_CHARS, PAGE_EMAILS, PAGE_PHONES = 500_000, 3000, 5, 3
 
 
 def fetch(url: str, headers: dict[str, str], interval: float = INTERVAL, retries: int = RETRIES, backoff: float = BACKOFF) -> str:
@@ -119,3 +123,52 @@ def page_url(url: str, page: int, defaults: dict[str, str] | None = None) -> str
 def first_shard(rows: DataFrame, key: str, shard: str) -> DataFrame:
     """Rows of several searches, of each key that of the first search."""
     return rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), shard).alias("_row")).select("_row.*")
+
+
+def fetch_sites(urls: DataFrame, cache: DataFrame, headers: dict[str, str] | None = None, parallel: int = 1, interval: float = INTERVAL, retries: int = 0) -> DataFrame:
+    """Sites that the cache lacks, each fetched once: url, ok, title, meta_description, text_sample, emails, phones, error. Append the result to the cache.
+
+    urls, cache: with `url`. All URLs of a host are fetched by one task, one after the other, so the interval holds for each host.
+    """
+    missing = urls.select("url").where("url is not null").distinct().join(cache.select("url"), "url", "left_anti")
+
+    def run(batches: Iterator) -> Iterator:
+        for batch in batches:
+            pages, errors = [], []
+            for url in batch["url"]:
+                try:
+                    pages.append(fetch(url, headers or {}, interval, retries)[:PAGE_CHARS])
+                    errors.append("")
+                except (HTTPError, URLError, TimeoutError, ValueError) as e:
+                    pages.append(None)
+                    errors.append(str(e)[:200])
+            yield batch.assign(html=pages, error=errors)
+
+    pages = missing.repartition(parallel, host(F.col("url"))).mapInPandas(run, "url string, html string, error string")
+    read = pages.select("url", "html", "error", html_text(F.col("html")).alias("_text"))
+    return read.select(
+        "url", F.col("html").isNotNull().alias("ok"), html_title(F.col("html")).alias("title"), html_description(F.col("html")).alias("meta_description"), F.substring("_text", 1, SAMPLE_CHARS).alias("text_sample"),
+        F.slice(emails(F.col("_text")), 1, PAGE_EMAILS).alias("emails"), F.slice(phones(F.col("_text")), 1, PAGE_PHONES).alias("phones"), "error",
+    )
+
+
+def discover(ask: Callable[[int], Iterable[str]], pages: int, stagnant: int = 1, expected: int | None = None) -> list[str]:
+    """The ids that result pages name, in order: asks page after page until `pages`, a page without ids, `stagnant` pages in a row without new ids, or as many ids as expected.
+
+    It plans what is fetched, so it runs on the driver and holds ids only; details are fetched by tasks.
+    """
+    known: set[str] = set()
+    idle = 0
+    for page in range(1, pages + 1):
+        found = set(ask(page))
+        idle = 0 if found - known else idle + 1
+        known |= found
+        if not found or idle >= stagnant or (expected is not None and len(known) >= expected):
+            break
+    return sorted(known)
+
+
+def last_records(records: DataFrame, path: str = "$.id") -> DataFrame:
+    """Of JSON records that were caught while a page was scrolled (ordinal, payload) the last one of each id; without an id they are left out."""
+    keyed = records.select(F.get_json_object("payload", path).alias("id"), "ordinal", "payload").where("id is not null")
+    return keyed.groupBy("id").agg(F.max_by("payload", "ordinal").alias("payload"))

@@ -1,8 +1,9 @@
-"""Sinks (K1 to K7, K9, K12)."""
+"""Sinks (K1 to K10, K12, K14)."""
 
 from __future__ import annotations
 
 from functools import reduce
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,17 @@ from pyspark.sql import functions as F
 from korbwerk.functions.text import blank, file_slug
 from korbwerk.schema import EXPORT_COLUMNS, JOB_TYPES, LISTING_COLUMNS
 
+#: Cells that a spreadsheet holds at most.
+SHEET_CELLS = 10_000_000
+
+
+class Tab(Protocol):
+    """A tab of a spreadsheet, as a client library gives it."""
+
+    def clear(self) -> object: ...
+
+    def append_rows(self, values: list[list], value_input_option: str) -> object: ...
+
 
 def text_or_blank(c: Column, kind: str) -> Column:
     """A value as export text: null, 0 and false are blank."""
@@ -72,6 +84,36 @@ def read_alias(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(spark.read.text(f"{folder}/{name}.alias").first()[0])
 
 
+def write_tab(df: DataFrame, tab: Tab, block: int = 5000) -> int:
+    """K8: a tab cleared and filled with a header and the rows, unparsed, nulls blank; `block` rows at a time, so the driver holds no more than a partition. More than SHEET_CELLS cells are an error, before anything is cleared."""
+    n = df.count()
+    if (n + 1) * len(df.columns) > SHEET_CELLS:
+        raise ValueError(f"{n} rows don't fit in a tab")
+    tab.clear()
+    held: list[list] = [df.columns]
+    for row in df.toLocalIterator():
+        held.append(["" if v is None else v for v in row])
+        if len(held) >= block:
+            tab.append_rows(held, value_input_option="RAW")
+            held = []
+    if held:
+        tab.append_rows(held, value_input_option="RAW")
+    return n
+
+
+def write_status(spark: SparkSession, path: str, state: str, done: int, total: int, workers: int, target: str, at: str, last: str = "") -> None:
+    """The state of a run as lines `name=value` in one small file, on whatever store Spark writes."""
+    share = 100 * done / total if total else 0.0
+    said = [f"state={state}", f"updated_utc={at}", f"progress={done}/{total} ({share:.1f}%)", f"workers={workers}", f"target={target}", *([f"last_ref={last}"] if last else [])]
+    spark.createDataFrame([(line,) for line in said], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_status(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of write_status() as name and value."""
+    at = F.locate("=", "value")
+    return spark.read.text(path).select(F.substring("value", F.lit(1), at - 1).alias("name"), F.substring("value", at + 1, F.length("value")).alias("value"))
+
+
 def upsert_progress(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     """K9: progress rows by category, fresh ones instead of stored ones, and a row `total` that sums them."""
     rows = stored.where("category_id <> 'total'").join(fresh.select("category_id"), "category_id", "left_anti").unionByName(fresh.select(*stored.columns))
