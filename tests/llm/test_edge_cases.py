@@ -1,11 +1,11 @@
-"""Null ids, repeated rows, empty tables and clashing columns, for operators 2 and 9 and the pipeline's stages; what may not move."""
+"""Null ids, repeated rows, empty tables and clashing columns, for operators 2, 3, 4 and 9 and the pipeline's stages; what may not move."""
 
 import random
 
 import corpus_pipeline
 import duckdb
 import pyarrow as pa
-from korbwerk.llm import perspectives, pii, simhash
+from korbwerk.llm import decontaminate, perspectives, pii, simhash, toxicity
 from tests.llm.test_text_operators import DOCS, ODD, docs_of
 
 BENCHMARK = "item_id long, text string"
@@ -81,3 +81,31 @@ def test_sanitise_leaves_null_and_repeated_rows(spark):
     assert sorted(str((r.doc_id, r.text, r.n_chars)) for r in got) == ["(1, None, None)", "(None, 'mail [EMAIL]', 12)", "(None, 'mail [EMAIL]', 12)"]
     rows = pii.score_documents(docs).collect()
     assert len(rows) == 3 and {r.n_email for r in rows} == {0, 1}
+
+
+def test_toxicity_of_null_ids_repeated_rows_and_no_rows(spark):
+    texts = [f"you stupid idiot number {i}" if i % 2 else f"a calm letter about garden {i}" for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[1]), (None, None), (1, texts[1]), (200, ""), (201, None)]
+    docs = spark.createDataFrame([(*r, 7, "x", True, 1) for r in rows], "doc_id long, text string, toxic int, x string, held_out boolean, l_id long")
+    labels = spark.createDataFrame([(i, i % 2, "other") for i in range(60)] + [(None, 1, "other"), (2, None, "other")], "doc_id long, toxic int, text string")
+    got = toxicity.score_documents(docs, toxicity.fit(docs, labels)).collect()
+    assert len(got) == len(rows) and got[0].asDict().keys() == {"doc_id", "held_out", "score", "predicted"}
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= toxicity.THRESHOLD) for r in got)
+    assert {r.held_out for r in got if r.doc_id is None} == {False}
+    assert len({r.score for r in got if r.doc_id == 1}) == 1
+    assert len({r.score for r in got if r.doc_id in (200, 201)}) == 1
+    assert toxicity.score_documents(docs.limit(0), toxicity.fit(docs, labels)).count() == 0
+    for none in (toxicity.fit(docs.limit(0), labels), toxicity.fit(docs, labels.limit(0))):
+        assert {r.predicted for r in toxicity.score_documents(docs, none).collect()} == {0}
+
+
+def test_decontamination_of_null_ids_and_repeated_rows(spark):
+    item = " ".join(f"w{i}" for i in range(13))
+    rows = [(None, item), (None, None), (4, f"{item} more"), (4, f"{item} more"), (5, "quite other words")]
+    docs = spark.createDataFrame([(*r, "held", 3) for r in rows], "doc_id long, text string, _d_items string, n_hit long")
+    benchmark = spark.createDataFrame([(1, item, "x")], "item_id long, text string, _d_hit string")
+    got = sorted(((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.contaminated) for r in decontaminate.score_documents(docs, benchmark).collect()))
+    assert got == [("4", 14, 13, 1, True)] * 2 + [("5", 3, 0, 0, False), ("None", 0, 0, 0, False), ("None", 13, 13, 1, True)]
+    kept = decontaminate.remove_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["5", "None"]
+    assert decontaminate.score_documents(docs.limit(0), benchmark).count() == 0
