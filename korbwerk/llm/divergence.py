@@ -129,8 +129,8 @@ def compare_shard(batches: Iterator[pa.RecordBatch], best: int = BEST) -> Iterat
     for rows in whole_terms(batches):
         con.execute("DROP TABLE IF EXISTS shares")
         ask(con, "CREATE TABLE shares AS SELECT lang, source, term, n, share(n, total, v) AS p, share(0, total, v) AS z, share(lang_n, lang_total, v) AS q FROM rows", rows)
-        n_sources = con.execute("SELECT coalesce(sum(k * k), 0)::BIGINT FROM (SELECT count(DISTINCT source) AS k FROM shares GROUP BY lang)").fetchone()[0]
-        parts = n_sources // CHUNK_PAIRS + 1
+        n_pairs = con.sql("SELECT coalesce(sum(k * k), 0)::BIGINT FROM (SELECT count(DISTINCT source) AS k FROM shares GROUP BY lang)").fetchall()[0][0]
+        parts = n_pairs // CHUNK_PAIRS + 1
         asked = [f"""SELECT 'both' AS kind, lang, a.source AS source, b.source AS item, 0::BIGINT AS n, sum(apart(a.p, b.p) - apart(a.p, b.z) - apart(a.z, b.p) + apart(a.z, b.z))::BIGINT AS value
             FROM shares a JOIN shares b USING (lang, term) WHERE a.source < b.source AND hash(a.source) % {parts} = {i} GROUP BY ALL""" for i in range(parts)]
         asked.append("SELECT 'alone' AS kind, lang, source, '' AS item, n, count(*)::BIGINT AS value FROM shares GROUP BY ALL")

@@ -194,7 +194,7 @@ def turn_of(rows: DataFrame, dims: int) -> np.ndarray:
             x = whole(batch.column(0), dims)
             x /= max(np.abs(x).max(initial=0), 1.0)  # each batch to its own scale: any sums give a right turn
             total += x.T @ x
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(dims * dims)), pa.array(total.ravel())], ["at", "x"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(dims * dims, dtype=np.int32)), pa.array(total.ravel())], ["at", "x"])
 
     found = rows.select("vector").mapInArrow(moments, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
     matrix = np.zeros(dims * dims)

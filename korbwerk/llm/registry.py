@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from korbwerk.llm import bpe, decontaminate, divergence, negatives, perspectives, pii, quality, simhash, suffix_tree, token_counts, toxicity, url_filter
+from korbwerk.llm import bpe, decontaminate, divergence, negatives, perspectives, pii, quality, simhash, suffix_tree, token_counts, toxicity, url_filter, weighted_fingerprint
 
 QUERIES = {
     "op1_suffix_tree": suffix_tree.query,
@@ -17,5 +17,6 @@ QUERIES = {
     "op10_quality": quality.query,
     "op11_divergence": divergence.query,
     "op12_hard_negatives": negatives.query,
+    "op13_fingerprints": weighted_fingerprint.query,
 }
 ORACLE_SQL = {"op2_perspectives": perspectives.ORACLE_SQL, "op5_url_filter": url_filter.ORACLE_SQL, "op11_divergence": divergence.ORACLE_SQL, "op12_hard_negatives": negatives.ORACLE_SQL}
