@@ -30,34 +30,58 @@ from korbwerk.llm.common import slices, table, words_of
 from korbwerk.plans.checkpoint import materialise
 
 SAMPLES = 128
-#: Rows of the table of drawn values that are held, and of those gathered, at once.
-TABLE_ROWS, GATHER_ROWS = 8192, 8192
+#: Rows of the table of drawn values that are computed, and of those gathered, at once. CHUNK_BYTES of text give a table of some 130 MB at most, but for a longer text.
+CHUNK_BYTES = 1 << 20
+TABLE_ROWS, GATHER_ROWS = 256, 2048
 U64 = np.uint64
 LOW = U64(0xFFFF)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    """Well mixed bits of each number."""
-    x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
-    return x ^ (x >> U64(31))
-
-
-def drawn(hashes: np.ndarray, sample: np.ndarray, which: int) -> np.ndarray:
-    """A uniform number in (0, 1) for each term and sample."""
-    return ((mix(hashes[:, None] + sample[None, :] * U64(0x9E3779B97F4A7C15) + U64(which * 0xD1B54A32D192ED03 % 2**64)) >> U64(12)).astype(np.float64) + 0.5) * 2.0**-52
+    """Well mixed bits of each number, in place."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> U64(shift)
+        x *= U64(factor)
+    x ^= x >> U64(31)
+    return x
+
+
+def uniform(bits: np.ndarray, shift: int) -> np.ndarray:
+    """Numbers in (0, 1) from 23 of the bits."""
+    out = ((bits >> U64(shift)) & U64(0x7FFFFF)).astype(np.float32)
+    out += np.float32(0.5)
+    out *= np.float32(2.0**-23)
+    return out
 
 
 def sample_table(hashes: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
-    """For each term and weight, and each sample: a in the high bits, and the 16 bits of (term, t), never 0, in the low ones."""
-    number = np.arange(1, samples + 1, dtype=U64)
-    r = -np.log(drawn(hashes, number, 1) * drawn(hashes, number, 2))
-    c = -np.log(drawn(hashes, number, 3) * drawn(hashes, number, 4))
-    b = drawn(hashes, number, 5)
-    t = np.floor(np.log(weights)[:, None] / r + b)
-    a = np.maximum(c * np.exp(-r * (t - b) - r), np.finfo(np.float64).tiny)
-    name = mix(hashes[:, None] ^ mix(t.astype(np.int64).view(U64) + number[None, :] * U64(0x9E3779B97F4A7C15))) % U64(65535) + U64(1)
-    return (a.view(U64) & ~LOW) | name
+    """For each term and weight, and each sample: a in the high bits, and 16 bits of (term, t), never 0, in the low ones."""
+    out = np.empty((len(hashes), samples), U64)
+    steps = [np.arange(3 * k, 3 * k + 3, dtype=U64) * U64(0x9E3779B97F4A7C15) for k in range(1, samples + 1)]
+    first, second, third = (np.array([x[i] for x in steps], U64)[None, :] for i in range(3))
+    logs = np.log(weights).astype(np.float32)
+    for at in range(0, len(hashes), TABLE_ROWS):  # as much as stays in a core's cache
+        h, log_w = hashes[at : at + TABLE_ROWS, None], logs[at : at + TABLE_ROWS, None]
+        x = mix(h + first)
+        r = np.log(uniform(x, 41) * uniform(x, 18))  # of the opposite sign
+        x = mix(h + second)
+        c = np.log(uniform(x, 41) * uniform(x, 18))
+        name = mix(h + third)
+        b = uniform(name, 41)
+        t = np.floor(b - log_w / r)
+        b -= t
+        b -= np.float32(1)
+        b *= r
+        a = np.exp(-b, out=b)
+        a *= -c
+        np.maximum(a, np.finfo(np.float32).tiny, out=a)
+        name += t.astype(np.int64).view(U64) * U64(0xD1B54A32D192ED03)
+        name *= U64(0xBF58476D1CE4E5B9)
+        name >>= U64(48)
+        np.maximum(name, U64(1), out=name)
+        np.left_shift(a.view(np.uint32), U64(16), out=out[at : at + TABLE_ROWS], dtype=U64)
+        out[at : at + TABLE_ROWS] |= name
+    return out
 
 
 def fingerprints(texts: pa.Array, samples: int = SAMPLES) -> np.ndarray:
@@ -74,16 +98,13 @@ def fingerprints(texts: pa.Array, samples: int = SAMPLES) -> np.ndarray:
     doc, code = own // len(words), own % len(words)
     most = int(weight.max()) + 1
     distinct, row = np.unique(code * most + weight, return_inverse=True)
+    values = sample_table(hashes[distinct // most], (distinct % most).astype(np.float64), samples)
     least = np.full((len(out), samples), ~U64(0))
-    for s in range(0, len(distinct), TABLE_ROWS):
-        part = distinct[s : s + TABLE_ROWS]
-        values = sample_table(hashes[part // most], (part % most).astype(np.float64), samples)
-        here = np.flatnonzero((row >= s) & (row < s + TABLE_ROWS))
-        for at in range(0, len(here), GATHER_ROWS):
-            pairs = here[at : at + GATHER_ROWS]
-            first = np.flatnonzero(np.concatenate([[True], doc[pairs][1:] != doc[pairs][:-1]]))
-            of = doc[pairs][first]
-            least[of] = np.minimum(least[of], np.minimum.reduceat(values[row[pairs] - s], first, axis=0))
+    for at in range(0, len(row), GATHER_ROWS):
+        of = doc[at : at + GATHER_ROWS]
+        first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        # a text that goes on meets its own minimum
+        least[of[first]] = np.minimum(least[of[first]], np.minimum.reduceat(values[row[at : at + GATHER_ROWS]], first, axis=0))
     held = np.unique(doc)
     out[held] = (least[held] & LOW).astype(np.uint16)
     return out
@@ -94,8 +115,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=1)
 
 
-def as_hex(prints: np.ndarray) -> list[str]:
-    return [row.tobytes().hex() for row in prints.astype(">u2")]
+def as_bytes(prints: np.ndarray) -> list[bytes]:
+    return [row.tobytes() for row in prints.astype(">u2")]
 
 
 def spliced(text: str, following: str) -> str:
@@ -104,8 +125,8 @@ def spliced(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-FIELDS = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
-RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+FIELDS = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
+RESULT = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def compare(ids: list[int | None], texts: list[str], following: list[str], samples: int) -> pa.RecordBatch:
@@ -115,8 +136,8 @@ def compare(ids: list[int | None], texts: list[str], following: list[str], sampl
     all_texts = pa.array(texts + following + edited, pa.large_string()).dictionary_encode()
     prints = fingerprints(all_texts.dictionary.cast(pa.string()), samples)[all_texts.indices.to_numpy()]
     own, other, changed = prints[: len(texts)], prints[len(texts) : 2 * len(texts)], prints[2 * len(texts) :]
-    shas = [hashlib.sha256(t.encode()).hexdigest() for t in edited]
-    columns = [ids, [len(t) for t in texts], shas, as_hex(own), as_hex(changed), likeness(own, changed), likeness(own, other)]
+    shas = [hashlib.sha256(t.encode()).digest() for t in edited]
+    columns = [ids, [len(t) for t in texts], shas, as_bytes(own), as_bytes(changed), likeness(own, changed), likeness(own, other)]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, FIELDS, strict=True)], schema=pa.schema(FIELDS))
 
 
@@ -129,7 +150,7 @@ def pair_up(batches: Iterator[pa.RecordBatch], samples: int = SAMPLES) -> Iterat
         fields = [pa.array([own[0]] if n == "doc_id" else [None], t) for n, t in FIELDS]
         return pa.RecordBatch.from_arrays([*fields, pa.array([kind], pa.int32()), pa.array([task], pa.int32()), pa.array([own[1]])], [n for n, _ in FIELDS] + ["edge", "task", "text"])
 
-    for batch in slices(batches, text=2):
+    for batch in slices(batches, text=2, most=CHUNK_BYTES):
         ids, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         if last is None:
             task = batch.column(0)[0].as_py()
@@ -147,7 +168,7 @@ def pair_up(batches: Iterator[pa.RecordBatch], samples: int = SAMPLES) -> Iterat
 
 def finish(batches: Iterator[pa.RecordBatch], samples: int = SAMPLES) -> Iterator[pa.RecordBatch]:
     """Results of documents with the successor beside them: doc_id, text, following."""
-    for batch in slices(batches):
+    for batch in slices(batches, most=CHUNK_BYTES):
         yield compare(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), samples)
 
 
@@ -161,7 +182,8 @@ def likeness_of_neighbours(docs: DataFrame, samples: int = SAMPLES) -> DataFrame
     # one number for each task: the next task that has documents, and after the last one the first
     order = firsts.select("task").withColumn("then", F.coalesce(F.lead("task").over(Window.orderBy("task")), F.min("task").over(Window.partitionBy(F.lit(0)))))
     ends = lasts.select("doc_id", "text", "task").join(order, "task").join(firsts.select(F.col("task").alias("then"), F.col("text").alias("following")), "then").select("doc_id", "text", "following")
-    return found.where("edge is null").drop("edge", "task", "text").unionByName(ends.mapInArrow(lambda b: finish(b, samples), RESULT))
+    whole = found.where("edge is null").drop("edge", "task", "text").unionByName(ends.mapInArrow(lambda b: finish(b, samples), RESULT))
+    return whole.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
