@@ -119,27 +119,119 @@ def with_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({"_ref": F.nullif(ustrip(F.col("referenznummer")), F.lit("")), "_near": near_key(), "_cross": cross_key()})
 
 
-def greedy(rows: DataFrame, names: tuple[str, ...] = tuple(f"_{k}" for k in KEYS)) -> DataFrame:
+#: Rows of a component up to which one task folds it in order; rounds of contraction before components are looked for.
+FOLD_ROWS, ROUNDS = 200_000, 3
+
+
+def greedy(rows: DataFrame, names: tuple[str, ...] = tuple(f"_{k}" for k in KEYS), fold_rows: int = FOLD_ROWS) -> DataFrame:
     """Ordinals of the rows that are accepted: no accepted row before them shares one of their keys.
 
-    Rounds: a row is accepted if it is the first undecided one under each of its keys; what shares a key with an accepted row is rejected. Each round is a few aggregates by key (pairs are never
-    made) and is checkpointed. A chain of n rows that each collide with the next takes n / 2 rounds, real batches few.
+    A row that is the first undecided one under each of its keys is accepted. A row that only one undecided row stands before is accepted if and only if that one isn't, so rows that hang on each other
+    in a chain are decided together, by doubling pointers; and below such a row its key is taken in any case. What shares a key with an accepted row is rejected. Rounds consist of aggregates and joins
+    by key (pairs are never made). A chain of n rows takes log2(n) doublings. What is undecided after ROUNDS rounds falls into components of rows that share keys; each of up to `fold_rows` rows is folded in
+    order by one task, the larger ones go on by rounds. Null keys meet nothing. Ordinals must be distinct.
     """
-    open_rows = materialise(rows.select("ordinal", *names))
-    accepted = None
+    open_rows = materialise(rows.select("ordinal", *(F.col(k).cast("string").alias(k) for k in names)))
+    accepted, done = [], 0
     while not open_rows.isEmpty():
-        first = open_rows
-        for k in names:
-            least = open_rows.where(F.col(k).isNotNull()).groupBy(F.col(k).cast("string").alias("_k")).agg(F.min("ordinal").alias(f"{k}_min"))
-            first = first.join(least, spread(k) == F.col("_k"), "left").drop("_k")
-        ok = reduce(lambda a, b: a & b, (F.col(k).isNull() | (F.col(f"{k}_min") == F.col("ordinal")) for k in names))
-        now = materialise(first.where(ok).select("ordinal", *names))
-        accepted = now.select("ordinal") if accepted is None else accepted.unionByName(now.select("ordinal"))
-        rest = open_rows.join(now.select("ordinal"), "ordinal", "left_anti")
-        for k in names:
-            rest = rest.join(now.where(F.col(k).isNotNull()).select(F.col(k).cast("string").alias("_k")).distinct(), spread(k) == F.col("_k"), "left_anti")
-        open_rows = materialise(rest.select("ordinal", *names))
-    return accepted if accepted is not None else open_rows.select("ordinal")
+        if done == ROUNDS:
+            found, open_rows = fold_components(open_rows, names, fold_rows)
+            accepted.append(found)
+            done = 0
+        else:
+            now, open_rows = decide(open_rows, names)
+            accepted.append(now)
+            done += 1
+    return reduce(DataFrame.unionByName, accepted, open_rows.select("ordinal").limit(0))
+
+
+def decide(open_rows: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """One round: ordinals that are accepted, and the rows that are still undecided."""
+    own = open_rows
+    for k in names:
+        keyed = open_rows.where(F.col(k).isNotNull()).select(F.col(k).alias("_k"), "ordinal")
+        first = keyed.groupBy("_k").agg(F.min("ordinal").alias(f"{k}_1"))
+        second = keyed.join(first, "_k").where(F.col("ordinal") > F.col(f"{k}_1")).groupBy("_k").agg(F.min("ordinal").alias(f"{k}_2"))
+        own = own.join(first.join(second, "_k", "left"), spread(k) == F.col("_k"), "left").drop("_k")
+    # what stands before a row: nothing, one row (whose ordinal it is), or more (-1)
+    before = [F.when(F.col(k).isNull() | (F.col("ordinal") == F.col(f"{k}_1")), F.lit(None)).when(F.col("ordinal") == F.col(f"{k}_2"), F.col(f"{k}_1")).otherwise(F.lit(-1)).cast("long") for k in names]
+    state = own.withColumn("_before", F.array_compact(F.array_distinct(F.array(*before))))
+    one = (F.size("_before") == 1) & (F.element_at("_before", 1) >= 0)
+    kind = F.when(F.size("_before") == 0, "free").when(one, "one").otherwise("more")
+    state = materialise(state.withColumn("_kind", kind).withColumn("_on", F.when(F.col("_kind") == "one", F.element_at("_before", 1))).drop("_before"))
+    free = state.where("_kind = 'free'").select("ordinal")
+    chain = chase(state.where("_kind = 'one'").select("ordinal", F.col("_on").alias("head"), F.lit(True).alias("odd")))
+    even = chain.where(~F.col("odd")).join(free.withColumnRenamed("ordinal", "head"), "head", "left_semi").select("ordinal")
+    now = materialise(free.unionByName(even))
+    rest = state.join(now, "ordinal", "left_anti")
+    taken_rows = state.join(now, "ordinal", "left_semi")
+    for k in names:
+        later = F.col(k).isNotNull() & (F.col("ordinal") > F.col(f"{k}_2"))
+        # of a row and the one that hangs on it alone, one is accepted: their key is taken for all later rows
+        hanging = state.where((F.col("_kind") == "one") & (F.col("ordinal") == F.col(f"{k}_2"))).select(F.col(k).alias("_k"), F.lit(False).alias("_all"))
+        closed = taken_rows.where(F.col(k).isNotNull()).select(F.col(k).alias("_k"), F.lit(True).alias("_all")).unionByName(hanging).groupBy("_k").agg(F.max("_all").alias("_all"))
+        rest = rest.join(closed, spread(k) == F.col("_k"), "left").where(F.col("_all").isNull() | (~F.col("_all") & ~F.coalesce(later, F.lit(False)))).drop("_k", "_all")
+    return now, materialise(rest.select("ordinal", *names))
+
+
+def chase(links: DataFrame) -> DataFrame:
+    """ordinal, head and whether an odd number of steps leads there, for rows that each hang on one other: pointers are doubled until every head hangs on nothing."""
+    own = materialise(links)
+    while True:
+        other = own.select(F.col("ordinal").alias("head"), F.col("head").alias("_head"), F.col("odd").alias("_odd"))
+        if own.join(other, "head", "left_semi").isEmpty():
+            return own
+        step = own.join(other, "head", "left")
+        own = materialise(step.select("ordinal", F.coalesce("_head", "head").alias("head"), F.when(F.col("_head").isNull(), F.col("odd")).otherwise(F.col("odd") != F.col("_odd")).alias("odd")))
+
+
+def fold_components(open_rows: DataFrame, names: tuple[str, ...], fold_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Ordinals that are accepted in components of up to `fold_rows` rows, and the rows of larger ones."""
+    edges = None
+    for k in names:
+        keyed = open_rows.where(F.col(k).isNotNull())
+        first = keyed.groupBy(F.col(k).alias("_k")).agg(F.min("ordinal").alias("b"))
+        own = keyed.join(first, F.col(k) == F.col("_k")).where("ordinal > b").select(F.col("ordinal").alias("a"), "b")
+        edges = own if edges is None else edges.unionByName(own)
+    named = materialise(open_rows.join(components(edges), F.col("ordinal") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "ordinal")).drop("node", "root"))
+    large = named.groupBy("_root").count().where(F.col("count") > fold_rows).select("_root")
+    small = named.join(large, "_root", "left_anti").select("_root", "ordinal", *names)
+    folded = small.repartition("_root").sortWithinPartitions("_root", "ordinal").mapInArrow(fold_in_order, "ordinal long")
+    return materialise(folded), materialise(named.join(large, "_root", "left_semi").select("ordinal", *names))
+
+
+def fold_in_order(batches):
+    """Ordinals of accepted rows. batches: component, ordinal and keys, by component and ordinal."""
+    import pyarrow as pa
+
+    component, taken = None, set()
+    for batch in batches:
+        out = []
+        for root, ordinal, *keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if root != component:
+                component, taken = root, set()
+            own = [x for x in enumerate(keys) if x[1] is not None]
+            if taken.isdisjoint(own):
+                taken.update(own)
+                out.append(ordinal)
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["ordinal"])
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node and root (the smallest node that can be reached) of all nodes that edges (a, b) join. In turn, the larger neighbours of a node are hung on its smallest one, and all its smaller ones too, until nothing changes."""
+    now = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    seen = None
+    while True:
+        ways = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        smallest = ways.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        up = ways.where("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        lowest = up.groupBy("a").agg(F.min("b").alias("m"))
+        down = up.join(lowest, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(lowest.select("a", F.col("m").alias("b")))
+        now = materialise(down.distinct())
+        mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if mark == seen:
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        seen = mark
 
 
 def filter_against(new: DataFrame, master: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -21,6 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def register(sql: str | None = None):
     def keep(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"{f.__name__} is registered already")
         QUERIES[f.__name__] = f
         if sql:
             ORACLE_SQL[f.__name__] = sql
@@ -242,7 +244,7 @@ def search_tokens(spark, sf_dir):
 
 
 @register(f"SELECT count(*) FILTER (greatest({_scored('lower(p_name)', 'red')}, {_scored('lower(p_type)', 'red')}) > 0) AS n, (SELECT count(*) FROM part) AS n_all FROM part")
-def search_count(spark, sf_dir):
+def search_count_empty(spark, sf_dir):
     """Q-7: how many parts match a query, and an empty one."""
     rows = search.searchable(table(spark, sf_dir, "part"), ["p_name", "p_type"])
     return search.match_count(rows, "red").crossJoin(search.match_count(rows, " ").withColumnRenamed("n", "n_all"))  # one row each
