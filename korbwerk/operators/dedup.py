@@ -119,7 +119,7 @@ def with_keys(df: DataFrame) -> DataFrame:
     return df.withColumns({"_ref": F.nullif(ustrip(F.col("referenznummer")), F.lit("")), "_near": near_key(), "_cross": cross_key()})
 
 
-#: Rows of a component up to which one task folds it in order; rounds of contraction before components are looked for.
+#: Undecided rows, or rows of a component, up to which one task folds them in order; rounds of contraction before components are looked for.
 FOLD_ROWS, ROUNDS = 200_000, 3
 
 
@@ -128,55 +128,48 @@ def greedy(rows: DataFrame, names: tuple[str, ...] = tuple(f"_{k}" for k in KEYS
 
     A row that is the first undecided one under each of its keys is accepted. A row that only one undecided row stands before is accepted if and only if that one isn't, so rows that hang on each other
     in a chain are decided together, by doubling pointers; and below such a row its key is taken in any case. What shares a key with an accepted row is rejected. Rounds consist of aggregates and joins
-    by key (pairs are never made). A chain of n rows takes log2(n) doublings. What is undecided after ROUNDS rounds falls into components of rows that share keys; each of up to `fold_rows` rows is folded in
-    order by one task, the larger ones go on by rounds. Null keys meet nothing. Ordinals must be distinct.
+    by key (pairs are never made). A chain of n rows takes log2(n) doublings. When `fold_rows` or fewer are undecided, one task folds them in order. What more than that is undecided after ROUNDS rounds falls
+    into components of rows that share keys; each of up to `fold_rows` rows is folded by one task, the larger ones go on by rounds. Null keys meet nothing. Ordinals must be distinct.
     """
-    open_rows = materialise(rows.select("ordinal", *(F.col(k).cast("string").alias(k) for k in names)))
-    accepted, done = [], 0
-    while not open_rows.isEmpty():
-        if done == ROUNDS:
-            found, open_rows = fold_components(open_rows, names, fold_rows)
-            accepted.append(found)
-            done = 0
-        else:
-            now, open_rows = decide(open_rows, names)
-            accepted.append(now)
-            done += 1
-    return reduce(DataFrame.unionByName, accepted, open_rows.select("ordinal").limit(0))
-
-
-def decide(open_rows: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """One round: ordinals that are accepted, and the rows that are still undecided."""
-    own = open_rows
-    for k in names:
-        keyed = open_rows.where(F.col(k).isNotNull()).select(F.col(k).alias("_k"), "ordinal")
-        first = keyed.groupBy("_k").agg(F.min("ordinal").alias(f"{k}_1"))
-        second = keyed.join(first, "_k").where(F.col("ordinal") > F.col(f"{k}_1")).groupBy("_k").agg(F.min("ordinal").alias(f"{k}_2"))
-        own = own.join(first.join(second, "_k", "left"), spread(k) == F.col("_k"), "left").drop("_k")
-    # what stands before a row: nothing, one row (whose ordinal it is), or more (-1)
-    before = [F.when(F.col(k).isNull() | (F.col("ordinal") == F.col(f"{k}_1")), F.lit(None)).when(F.col("ordinal") == F.col(f"{k}_2"), F.col(f"{k}_1")).otherwise(F.lit(-1)).cast("long") for k in names]
-    state = own.withColumn("_before", F.array_compact(F.array_distinct(F.array(*before))))
-    one = (F.size("_before") == 1) & (F.element_at("_before", 1) >= 0)
-    kind = F.when(F.size("_before") == 0, "free").when(one, "one").otherwise("more")
-    state = materialise(state.withColumn("_kind", kind).withColumn("_on", F.when(F.col("_kind") == "one", F.element_at("_before", 1))).drop("_before"))
-    free = state.where("_kind = 'free'").select("ordinal")
-    chain = chase(state.where("_kind = 'one'").select("ordinal", F.col("_on").alias("head"), F.lit(True).alias("odd")))
+    tagged = F.array_compact(F.array(*(F.concat(F.lit(f"{i}:"), F.col(k).cast("string")) for i, k in enumerate(names))))
+    rows = rows.select("ordinal", tagged.alias("k"))
+    accepted, done = [rows.where(F.size("k") == 0).select("ordinal")], 0
+    flat = materialise(rows.select("ordinal", F.explode("k").alias("k")))
+    while left := flat.select("ordinal").distinct().count():
+        if done and left <= fold_rows:
+            accepted.append(materialise(flat.withColumn("root", F.lit(0).cast("long")).select("root", "ordinal", "k").coalesce(1).sortWithinPartitions("ordinal").mapInArrow(fold_in_order, "ordinal long")))
+            break
+        done += 1
+        now, flat = fold_components(flat, fold_rows) if done % (ROUNDS + 1) == 0 else decide(flat)
+        accepted.append(now)
+    return reduce(DataFrame.unionByName, accepted)
+
+
+def decide(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round: ordinals that are accepted, and the keys (ordinal, k) of the rows that are still undecided."""
+    first = flat.groupBy("k").agg(F.min("ordinal").alias("first"))
+    placed = flat.join(first, "k")
+    second = placed.where("ordinal > first").groupBy("k").agg(F.min("ordinal").alias("second"))
+    # what stands before a row under a key: nothing, one row (`head`), or more
+    marks = placed.join(second, "k", "left").select("ordinal", "k", F.when(F.col("ordinal") == F.col("second"), F.col("first")).alias("head"), F.coalesce(F.col("ordinal") > F.col("second"), F.lit(False)).alias("later"))
+    marks = materialise(marks)
+    kinds = materialise(marks.groupBy("ordinal").agg(F.min("head").alias("head"), F.max("head").alias("other"), F.max("later").alias("later")))
+    free = kinds.where("not later and head is null").select("ordinal")
+    hung = kinds.where("not later and head = other")
+    chain = chase(hung.select("ordinal", "head", F.lit(True).alias("odd")))
     even = chain.where(~F.col("odd")).join(free.withColumnRenamed("ordinal", "head"), "head", "left_semi").select("ordinal")
     now = materialise(free.unionByName(even))
-    rest = state.join(now, "ordinal", "left_anti")
-    taken_rows = state.join(now, "ordinal", "left_semi")
-    for k in names:
-        later = F.col(k).isNotNull() & (F.col("ordinal") > F.col(f"{k}_2"))
-        # of a row and the one that hangs on it alone, one is accepted: their key is taken for all later rows
-        hanging = state.where((F.col("_kind") == "one") & (F.col("ordinal") == F.col(f"{k}_2"))).select(F.col(k).alias("_k"), F.lit(False).alias("_all"))
-        closed = taken_rows.where(F.col(k).isNotNull()).select(F.col(k).alias("_k"), F.lit(True).alias("_all")).unionByName(hanging).groupBy("_k").agg(F.max("_all").alias("_all"))
-        rest = rest.join(closed, spread(k) == F.col("_k"), "left").where(F.col("_all").isNull() | (~F.col("_all") & ~F.coalesce(later, F.lit(False)))).drop("_k", "_all")
-    return now, materialise(rest.select("ordinal", *names))
+    taken = marks.join(now, "ordinal", "left_semi").select("k", F.lit(True).alias("for_all"))
+    # of a row and the one that hangs on it alone, one is accepted: their key is taken for all later rows
+    hanging = marks.where("head is not null").join(hung.select("ordinal"), "ordinal", "left_semi").select("k", F.lit(False).alias("for_all"))
+    closed = taken.unionByName(hanging).groupBy("k").agg(F.max("for_all").alias("for_all"))
+    gone = marks.join(closed, "k").where("for_all or later").select("ordinal").distinct()
+    return now, materialise(marks.select("ordinal", "k").join(gone, "ordinal", "left_anti"))
 
 
 def chase(links: DataFrame) -> DataFrame:
     """ordinal, head and whether an odd number of steps leads there, for rows that each hang on one other: pointers are doubled until every head hangs on nothing."""
-    own = materialise(links)
+    own = links
     while True:
         other = own.select(F.col("ordinal").alias("head"), F.col("head").alias("_head"), F.col("odd").alias("_odd"))
         if own.join(other, "head", "left_semi").isEmpty():
@@ -185,36 +178,35 @@ def chase(links: DataFrame) -> DataFrame:
         own = materialise(step.select("ordinal", F.coalesce("_head", "head").alias("head"), F.when(F.col("_head").isNull(), F.col("odd")).otherwise(F.col("odd") != F.col("_odd")).alias("odd")))
 
 
-def fold_components(open_rows: DataFrame, names: tuple[str, ...], fold_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Ordinals that are accepted in components of up to `fold_rows` rows, and the rows of larger ones."""
-    edges = None
-    for k in names:
-        keyed = open_rows.where(F.col(k).isNotNull())
-        first = keyed.groupBy(F.col(k).alias("_k")).agg(F.min("ordinal").alias("b"))
-        own = keyed.join(first, F.col(k) == F.col("_k")).where("ordinal > b").select(F.col("ordinal").alias("a"), "b")
-        edges = own if edges is None else edges.unionByName(own)
-    named = materialise(open_rows.join(components(edges), F.col("ordinal") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "ordinal")).drop("node", "root"))
-    large = named.groupBy("_root").count().where(F.col("count") > fold_rows).select("_root")
-    small = named.join(large, "_root", "left_anti").select("_root", "ordinal", *names)
-    folded = small.repartition("_root").sortWithinPartitions("_root", "ordinal").mapInArrow(fold_in_order, "ordinal long")
-    return materialise(folded), materialise(named.join(large, "_root", "left_semi").select("ordinal", *names))
+def fold_components(flat: DataFrame, fold_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Ordinals that are accepted in components of up to `fold_rows` rows, and the keys of the rows of larger ones."""
+    first = flat.groupBy("k").agg(F.min("ordinal").alias("b"))
+    found = components(flat.join(first, "k").where("ordinal > b").select(F.col("ordinal").alias("a"), "b"))
+    named = materialise(flat.join(found, F.col("ordinal") == F.col("node"), "left").select(F.coalesce("root", "ordinal").alias("root"), "ordinal", "k"))
+    large = named.groupBy("root").agg(F.count_distinct("ordinal").alias("n")).where(F.col("n") > fold_rows).select("root")
+    small = named.join(large, "root", "left_anti").repartition("root").sortWithinPartitions("root", "ordinal")
+    return materialise(small.mapInArrow(fold_in_order, "ordinal long")), materialise(named.join(large, "root", "left_semi").select("ordinal", "k"))
 
 
 def fold_in_order(batches):
-    """Ordinals of accepted rows. batches: component, ordinal and keys, by component and ordinal."""
+    """Ordinals of accepted rows. batches: component, ordinal and key, by component and ordinal."""
     import pyarrow as pa
 
-    component, taken = None, set()
+    component = row = None
+    taken, own, out = set(), [], []
     for batch in batches:
-        out = []
-        for root, ordinal, *keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if root != component:
-                component, taken = root, set()
-            own = [x for x in enumerate(keys) if x[1] is not None]
-            if taken.isdisjoint(own):
-                taken.update(own)
-                out.append(ordinal)
+        for root, ordinal, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if ordinal != row or root != component:
+                if own and taken.isdisjoint(own):
+                    taken.update(own)
+                    out.append(row)
+                taken = taken if root == component else set()
+                component, row, own = root, ordinal, []
+            own.append(key)
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["ordinal"])
+        out = []
+    if own and taken.isdisjoint(own):
+        yield pa.RecordBatch.from_arrays([pa.array([row], pa.int64())], ["ordinal"])
 
 
 def components(edges: DataFrame) -> DataFrame:
