@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from korbwerk.operators import search
+from korbwerk.operators.index import SearchIndex, SuggestionIndex
 from korbwerk.plans.exchange import through
 from korbwerk.plans.listings import KEYED, LISTINGS, _REASONS, collapse, listings, removed
-from korbwerk.plans.queries import register
+from korbwerk.plans.queries import _scored, register, table
 from korbwerk.streaming.deltas import Deltas
 from korbwerk.streaming.master import Master, Winners
 
@@ -74,3 +76,45 @@ def listing_source_refreshed(spark, sf_dir):
     return through(spark, use)
 
 
+
+
+def _part_scores(*tokens: str) -> str:
+    scores = ", ".join(f"greatest({_scored('lower(p_name)', t)}, {_scored('lower(p_type)', t)}) AS s{i}" for i, t in enumerate(tokens))
+    found = [f"s{i}" for i in range(len(tokens))]
+    return f"SELECT p_partkey, ({' + '.join(found)})::INT AS score FROM (SELECT p_partkey, {scores} FROM part) WHERE {' AND '.join(f'{s} > 0' for s in found)}"
+
+
+_QUERIES = {"Ring": ("ring",), " É  idg": ("e", "idg"), "ed, ST": ("ed", "st"), "anodized": ("anodized",)}
+
+
+@register(" UNION ALL ".join(f"SELECT {i} AS query, * FROM ({_part_scores(*tokens)})" for i, tokens in enumerate(_QUERIES.values())))
+def search_by_index(spark, sf_dir):
+    """Q-3 to Q-6: parts for four queries, from the postings of their grams; the parts come in two batches."""
+
+    def use(folder: str):
+        rows, index = search.searchable(table(spark, sf_dir, "part"), ["p_name", "p_type"]), SearchIndex(spark, folder, "p_partkey")
+        index.add(0, rows.where("p_partkey % 2 = 0"))
+        index.add(1, rows.where("p_partkey % 2 = 1"))
+        found = [index.search(q).withColumn("query", F.lit(i)) for i, q in enumerate(_QUERIES)]
+        return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3]).select("query", "p_partkey", "score")
+
+    return through(spark, use)
+
+
+_SUGGESTED = """SELECT type, norm, n, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY type ORDER BY score DESC, n DESC, value) AS rank
+FROM (SELECT *, (CASE WHEN norm = '{q}' THEN 200 WHEN starts_with(norm, '{q}') THEN 150 - least(length(norm) - {n}, 30) WHEN contains(norm, '{q}') THEN 120 - (strpos(norm, '{q}') - 1) WHEN {n} >= 2 AND regexp_matches(norm, '{p}') THEN 50 ELSE 0 END + least(n, 20))::INT AS score, n AS k FROM i) WHERE score > 0) WHERE rank <= 5"""
+
+
+@register("""WITH i AS (SELECT 'type' AS type, lower(p_type) AS norm, arg_min(p_type, p_partkey) AS value, count(*) AS n FROM part GROUP BY 2 UNION ALL
+SELECT 'brand', trim(regexp_replace(lower(p_brand), '[^a-z0-9@.\\s-]+', ' ', 'g')), arg_min(p_brand, p_partkey), count(*) FROM part GROUP BY 2) """
+    + " UNION ALL ".join(f"SELECT {k} AS query, * FROM ({_SUGGESTED.format(q=q, n=len(q), p='.*'.join(q))})" for k, q in enumerate(("b", "br", "polished"))))
+def suggest_by_index(spark, sf_dir):
+    """A17, O5, Q-8: suggestions for short queries (kept, where nothing else can come in) and for a longer one (of all values)."""
+
+    def use(folder: str):
+        index = SuggestionIndex(spark, folder)
+        index.build(search.suggestions(table(spark, sf_dir, "part"), {"type": F.col("p_type"), "brand": F.col("p_brand")}, "p_partkey"))
+        found = [index.suggest(q).select(F.lit(k).alias("query"), "type", "norm", "n", "score", "rank") for k, q in enumerate(("b", "br", "Polished"))]
+        return found[0].unionByName(found[1]).unionByName(found[2])
+
+    return through(spark, use)
