@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,31 +61,37 @@ def normalise_space(c: Column) -> Column:
     return F.array_join(F.filter(each, lambda x: x != ""), "\n")
 
 
-# Named characters of HTML that German pages use; the ampersand comes last.
-ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "shy": "\u00ad", "auml": "ä", "ouml": "ö", "uuml": "ü", "Auml": "Ä", "Ouml": "Ö", "Uuml": "Ü", "szlig": "ß", "euro": "€", "sect": "§", "copy": "©", "reg": "®",
-    "deg": "°", "middot": "·", "bull": "•", "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "sbquo": "‚", "ldquo": "“", "rdquo": "”", "bdquo": "„", "laquo": "«", "raquo": "»", "trade": "™",
-    "eacute": "é", "egrave": "è", "ecirc": "ê", "agrave": "à", "acirc": "â", "ccedil": "ç", "ocirc": "ô", "ntilde": "ñ", "times": "×", "amp": "&",
-}
+def bind(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c), where c is computed once, however often it is used."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+#: A character of HTML by number or by name.
+CHARACTER = r"&(?:#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7})|[A-Za-z][A-Za-z0-9]{0,31});"
+
+
+def named_characters() -> Column:
+    """Map of all names of HTML to their characters; folded to one literal."""
+    return F.from_json(F.lit(json.dumps({name[:-1]: value for name, value in html5.items() if name.endswith(";")})), "map<string,string>")
 
 
 def unescape(c: Column) -> Column:
-    """Text with the named (ENTITIES) and numbered characters of HTML resolved, once."""
-    number = r"&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
-    t = blank(c)
+    """Text with the named and numbered characters of HTML resolved, once. Names that HTML doesn't have stay."""
 
-    def char(m: Column) -> Column:
-        digits = F.regexp_replace(m, "[&#;]", "")
+    def numbered(digits: Column) -> Column:
         code = F.when(F.lower(digits).startswith("x"), F.conv(F.substring(digits, F.lit(2), F.length(digits)), 16, 10)).otherwise(digits).try_cast("int")
-        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
-
-    found = F.concat(F.transform(F.regexp_extract_all(t, F.lit(number), F.lit(0)), char), F.array(F.lit("")))
-    out = F.when(F.contains(t, F.lit("&#")), F.array_join(F.zip_with(F.split(t, number, -1), found, lambda a, b: F.concat(a, b)), "")).otherwise(t)
-    named = out
-    for name, value in ENTITIES.items():
-        named = F.replace(named, F.lit(f"&{name};"), F.lit(value))
-    return F.when(F.contains(out, F.lit("&")), named).otherwise(out)
+        valid = lambda n: n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        return bind(code, lambda n: F.when(valid(n), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise("\ufffd"))
+
+    def char(m: Column) -> Column:
+        named = F.coalesce(F.try_element_at(named_characters(), F.regexp_replace(m, "[&;]", "")), m)
+        return F.when(F.startswith(m, F.lit("&#")), numbered(F.regexp_replace(m, "[&#;]", ""))).otherwise(named)
+
+    def resolve(t: Column) -> Column:
+        found = F.concat(F.transform(F.regexp_extract_all(t, F.lit(CHARACTER), F.lit(0)), char), F.array(F.lit("")))
+        return F.array_join(F.zip_with(F.split(t, CHARACTER, -1), found, lambda a, b: F.concat(a, b)), "")
+
+    return bind(blank(c), lambda t: F.when(F.contains(t, F.lit("&")), resolve(t)).otherwise(t))
 
 
 def strip_html(c: Column) -> Column:

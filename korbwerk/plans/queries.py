@@ -5,6 +5,8 @@ The tables hold no listings, so each operator runs on columns of the same shape:
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -191,9 +193,14 @@ def marker_capture(spark, sf_dir):
     return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.sha2(text.section(F.col("text"), r"\.$", 3).cast("binary"), 256).alias("digest"))
 
 
+#: Names of characters that the pages may hold; the ampersand comes last.
+_NAMES = (
+    "lt gt quot apos nbsp shy auml ouml uuml Auml Ouml Uuml szlig euro sect copy reg deg middot bull hellip ndash mdash lsquo rsquo sbquo ldquo rdquo bdquo laquo raquo trade "
+    "eacute egrave ecirc agrave acirc ccedil ocirc ntilde times amp"
+).split()
 _ENTITY = "t"
-for _name, _char in text.ENTITIES.items():
-    _ENTITY = f"replace({_ENTITY}, '&{_name};', '{_char.replace(chr(39), chr(39) * 2)}')"
+for _name in _NAMES:
+    _ENTITY = f"replace({_ENTITY}, '&{_name};', '{html5[_name + ';'].replace(chr(39), chr(39) * 2)}')"
 
 
 @register(rf"""WITH a AS (SELECT page_id, html AS t FROM pages), b AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace({_ENTITY}, '(?s)<!--.*?-->', '', 'g'), '(?i)<li\b[^>]*>', chr(10) || '- ', 'g'), '(?i)<br\s*/?>|</p\s*>|</h[1-6]>', chr(10), 'g'), '(?s)</?[A-Za-z!][^>]*>', '', 'g') AS t FROM a),
