@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from html.entities import html5
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -71,12 +71,12 @@ CHARACTER = r"&(?:#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7})|[A-Za-z][A-Za-z0-9]{0,31}
 
 
 def named_characters() -> Column:
-    """Map of all names of HTML to their characters; folded to one literal."""
-    return F.from_json(F.lit(json.dumps({name[:-1]: value for name, value in html5.items() if name.endswith(";")})), "map<string,string>")
+    """Map of the names of HTML 4 (and apos) to their characters; folded to one literal."""
+    return F.from_json(F.lit(json.dumps({name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"})), "map<string,string>")
 
 
 def unescape(c: Column) -> Column:
-    """Text with the named and numbered characters of HTML resolved, once. Names that HTML doesn't have stay."""
+    """Text with the named and numbered characters of HTML resolved, once. Other names than those of HTML 4 stay."""
 
     def numbered(digits: Column) -> Column:
         code = F.when(F.lower(digits).startswith("x"), F.conv(F.substring(digits, F.lit(2), F.length(digits)), 16, 10)).otherwise(digits).try_cast("int")

@@ -81,3 +81,16 @@ def test_job_types(spark, row, want):
 def test_job_type_without_parity(spark):
     assert values(spark, [("Ausbildung Fachinformatiker", "", "wir_sind_bund_fi")], classify.job_type(F.col("a"), F.col("b"), F.col("c"), parity=False)) == ["fi_other"]
     assert values(spark, [None, "", "4", "1", "x"], classify.apprenticeship(F.col("a"))) == [True, True, True, False, False]
+
+
+def test_characters_are_resolved_once(spark):
+    from pyspark.sql import functions as F
+
+    from korbwerk.functions.text import strip_html, unescape
+
+    t = "a &amp; b &lt;x&gt; &#65;&#x41; &auml;&Auml; &nosuch; &hearts; &apos; &amp;lt; &#38;lt; &#0; &#xD800; & plain &;"
+    rows = spark.createDataFrame([(t,), ("",), (None,), ("&amp;",)], "t string")
+    assert [r.u for r in rows.select(unescape(F.col("t")).alias("u")).collect()] == ["a & b <x> AA äÄ &nosuch; ♥ ' &lt; &lt; � � & plain &;", "", "", "&"]
+    # the input is computed once
+    plan = spark.range(1).select(strip_html(F.concat(F.lit("marked"), F.col("id").cast("string"))).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("marked") == 1
