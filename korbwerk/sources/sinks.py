@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 from typing import Protocol
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,17 +72,47 @@ def write_by_type(df: DataFrame, path: str) -> None:
         write_csv(export_rows(df.where(kind == t)), f"{path}/{t}")
 
 
+def _pointers(spark: SparkSession, folder: str, name: str):
+    """File system, path class and numbers of an alias's pointers, in order."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    home = at(f"{folder}/{name}.alias")
+    fs = home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(home)] if fs.exists(home) else []
+    return fs, at, sorted(int(n) for n in names if n.isdigit())
+
+
 def publish(df: DataFrame, folder: str, name: str, stamp: str) -> str:
-    """K3: writes a snapshot `name_stamp` and then points the alias `name` at it, in one small file that readers follow."""
+    """K3: writes a snapshot `name_stamp` and then points the alias `name` at it.
+
+    A pointer is a small file with a number, put in place by a rename; readers follow the largest number, so between two publishes they always find a whole snapshot, and one that fails before its pointer is there changes nothing.
+    A stamp that was published already gets a folder of its own, beside the one that readers may still use.
+    """
+    spark = df.sparkSession
+    fs, at, numbers = _pointers(spark, folder, name)
+    number = numbers[-1] + 1 if numbers else 1
     target = f"{folder}/{name}_{stamp}"
+    target = f"{target}-{number}" if fs.exists(at(target)) else target
     df.write.mode("overwrite").parquet(target)
-    df.sparkSession.createDataFrame([(target,)], "path string").coalesce(1).write.mode("overwrite").text(f"{folder}/{name}.alias")
+    draft = at(f"{folder}/{name}.alias/{uuid4().hex}.draft")
+    stream = fs.create(draft, True)
+    stream.write(bytearray(target.encode()))
+    stream.close()
+    final = lambda n: at(f"{folder}/{name}.alias/{n}")
+    while fs.exists(final(number)):  # another publish took it
+        number += 1
+    if not fs.rename(draft, final(number)):
+        raise OSError(f"could not point {name} at {target}")
     return target
 
 
 def read_alias(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The snapshot that an alias points at."""
-    return spark.read.parquet(spark.read.text(f"{folder}/{name}.alias").first()[0])
+    fs, at, numbers = _pointers(spark, folder, name)
+    stream = fs.open(at(f"{folder}/{name}.alias/{numbers[-1]}"))
+    try:
+        return spark.read.parquet(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
 
 
 def write_tab(df: DataFrame, tab: Tab, block: int = 5000) -> int:

@@ -75,3 +75,23 @@ def test_highlights(spark):
     rows = spark.createDataFrame([(i, t, q) for i, (t, q, _) in enumerate(cases)], "i int, t string, q string")
     got = {r.i: [(x["from"], x["to"]) for x in r.h] for r in rows.select("i", highlights(F.col("t"), F.col("q")).alias("h")).collect()}
     assert got == {i: want for i, (_, _, want) in enumerate(cases)}
+
+
+def test_readers_of_an_alias_always_find_a_whole_snapshot(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from korbwerk.sources import sinks
+
+    at, rows = str(tmp_path), spark.range(5).withColumn("x", F.lit(1))
+    sinks.publish(rows, at, "snap", "1")
+    held = sinks.read_alias(spark, at, "snap")
+    sinks.publish(rows.withColumn("x", F.lit(2)), at, "snap", "1")  # the same stamp
+    assert held.agg(F.sum("x")).first()[0] == 5 and sinks.read_alias(spark, at, "snap").agg(F.sum("x")).first()[0] == 10
+    with pytest.raises(Exception):  # noqa: B017, PT011  fails while it writes
+        sinks.publish(rows.withColumn("x", F.raise_error(F.lit("lost"))), at, "snap", "2")
+    (tmp_path / "snap.alias" / "abc.draft").write_text("/nowhere")
+    assert sinks.read_alias(spark, at, "snap").count() == 5
+    for n in range(3, 13):
+        sinks.publish(rows.limit(1), at, "snap", str(n))
+    assert sinks.read_alias(spark, at, "snap").count() == 1 and sinks._pointers(spark, at, "snap")[2] == list(range(1, 13))
