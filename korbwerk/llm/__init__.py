@@ -1 +1 @@
-"""Training-data operators: ten operators over documents, pages and conversations."""
+"""Training-data operators over documents, pages, conversations and embeddings."""
