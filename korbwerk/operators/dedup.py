@@ -91,20 +91,37 @@ def url_tokens(master: DataFrame) -> DataFrame:
     return master.select(F.explode(tokens).alias("token")).where(F.length("token") > 8).distinct()
 
 
+#: Bits of a filter of pieces for each piece, tests of a piece, and bits at most (8 MB, sent with the tasks). A fuller filter lets more pieces through; none is lost.
+PIECE_BITS, PIECE_TESTS, MOST_BITS = 32, 3, 1 << 26
+
+
+def among(pieces: DataFrame) -> Column:
+    """Whether the column `piece` may be one of `pieces`: a Bloom filter as wide as their number asks for, built by one aggregate and written once."""
+    wide = -(-min(max(pieces.count() * PIECE_BITS, 1024), MOST_BITS) // 64) * 64
+    hashes = [F.pmod(F.xxhash64("piece", F.lit(i)), F.lit(wide)) for i in range(PIECE_TESTS)]
+    placed = pieces.select(F.explode(F.array(*hashes)).alias("at")).select(F.floor(F.col("at") / 64).alias("word"), F.expr("shiftleft(1L, int(at % 64))").alias("bits"))
+    empty = pieces.sparkSession.range(wide // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    filled = placed.unionByName(empty).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    bits = materialise(filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("bits"))).scalar()
+    return reduce(lambda a, b: a & b, (F.getbit(F.element_at(bits, (F.floor(h / 64) + 1).cast("int")), (h % 64).cast("int")) == 1 for h in hashes))
+
+
 def holds_token(new: DataFrame, tokens: DataFrame) -> DataFrame:
     """Ordinals of the rows one of whose links contains a token.
 
-    A token is found by its first 9 characters: the links' 9-character pieces are joined with them by key, and the whole token is then tested where they meet. So the join is by
-    key, and nothing is compared all with all. Common beginnings (scheme and host) meet often; a token is keyed by its rarest piece instead, counted over all links and tokens.
+    A token is found by one of its 9-character pieces: the links' pieces are joined with them by key, and the whole token is then tested where they meet. So the join is by key, and nothing is compared
+    all with all. Common beginnings (scheme and host) meet often; a token is keyed by its rarest piece instead, counted over all links. Only pieces that a filter of the tokens' pieces lets through are
+    counted, and only those that a filter of the rarest ones lets through are shuffled with their links: a link without a token sends hardly a row.
     """
     pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.length("link") - 8, F.lit(1))), lambda i: F.substring(F.col("link"), i, F.lit(9)))
     links = new.select("ordinal", F.explode(F.array_distinct(F.array(*(lowered(c) for c in LINKS)))).alias("link")).where(F.length("link") > 8)
     by_piece = links.select("ordinal", "link", F.explode(F.array_distinct(pieces)).alias("piece"))
     token_pieces = F.transform(F.sequence(F.lit(1), F.length("token") - 8), lambda i: F.substring(F.col("token"), i, F.lit(9)))
-    of_tokens = tokens.select("token", F.explode(F.array_distinct(token_pieces)).alias("piece"))
-    often = by_piece.groupBy("piece").agg(F.count("*").alias("n"))
-    rarest = of_tokens.join(often, "piece", "left").groupBy("token").agg(F.min_by(F.col("piece"), F.struct(F.coalesce("n", F.lit(0)), F.col("piece"))).alias("piece"))
-    return by_piece.join(rarest, "piece").where(F.contains("link", F.col("token"))).select("ordinal").distinct()
+    of_tokens = materialise(tokens.select("token", F.explode(F.array_distinct(token_pieces)).alias("piece")))
+    often = by_piece.where(among(of_tokens.select("piece"))).groupBy("piece").agg(F.count("*").alias("n"))
+    rarest = materialise(of_tokens.join(often, "piece", "left").groupBy("token").agg(F.min_by(F.col("piece"), F.struct(F.coalesce("n", F.lit(0)), F.col("piece"))).alias("piece")))
+    met = by_piece.where(among(rarest.select("piece"))).join(rarest, "piece")
+    return met.where(F.contains("link", F.col("token"))).select("ordinal").distinct()
 
 
 KEYS = ("ref", "near", "cross")
