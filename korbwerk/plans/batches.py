@@ -10,6 +10,7 @@ from korbwerk.plans.exchange import through
 from korbwerk.plans.listings import KEYED, LISTINGS, _REASONS, collapse, listings, removed
 from korbwerk.plans.queries import _scored, register, table
 from korbwerk.streaming.deltas import Deltas
+from korbwerk.streaming.discovery import Discovery
 from korbwerk.streaming.master import Master, Winners
 
 BATCHES = 3
@@ -118,3 +119,24 @@ def suggest_by_index(spark, sf_dir):
         return found[0].unionByName(found[1]).unionByName(found[2])
 
     return through(spark, use)
+
+
+#: Links of a result page.
+PAGE_LINKS = 2000
+
+
+@register(f"""WITH p AS (SELECT o_custkey, o_orderkey // {PAGE_LINKS} + 1 AS page FROM orders), f AS (SELECT o_custkey, min(page) AS page FROM p GROUP BY 1),
+n AS (SELECT page, f.n IS NULL AS stale FROM (SELECT DISTINCT page FROM p) LEFT JOIN (SELECT page, count(*) AS n FROM f GROUP BY 1) f USING (page)),
+e AS (SELECT min(page) AS last FROM (SELECT page, stale AND lag(stale) OVER (ORDER BY page) AS ended FROM n) WHERE ended)
+SELECT o_custkey::VARCHAR AS id, page::INT AS page FROM f, e WHERE last IS NULL OR page <= last""")
+def pages_discovered(spark, sf_dir):
+    """Customers that result pages of orders link to, page after page until two in a row name no new one."""
+
+    def use(folder: str):
+        links = F.concat(F.lit('<a href="/kunde/'), "o_custkey", F.lit('">')).alias("value")
+        table(spark, sf_dir, "orders").select(links, (F.floor(F.col("o_orderkey") / PAGE_LINKS) + 1).cast("int").alias("page")).write.partitionBy("page").text(f"{folder}/site")
+        last = spark.read.text(f"{folder}/site").agg(F.max("page")).first()[0]
+        found = Discovery(spark, f"{folder}/ids", stagnant=2).run(f"{folder}/site/page={{page}}", r'href="/kunde/([^"]+)"', last, f"{folder}/checkpoint", ahead="32")
+        return found.select("id", "page")
+
+    return through(spark, use)

@@ -1,4 +1,4 @@
-"""A paged JSON API as a Spark source, and fetching behind a cache.
+"""A paged JSON API as a Spark source, and fetching behind a cache (S7 to S10, S13, S14, S19); discovery page after page is in streaming/discovery.py.
 
     spark.dataSource.register(PagedApi)
     spark.read.format("paged_api").options(url="https://host/jobs", query="x", size=25, pages=40).load()
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 from urllib.error import HTTPError, URLError
 from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
 from urllib.request import Request, urlopen
@@ -152,22 +152,6 @@ def fetch_sites(urls: DataFrame, cache: DataFrame, headers: dict[str, str] | Non
     )
 
 
-def discover(ask: Callable[[int], Iterable[str]], pages: int, stagnant: int = 1, expected: int | None = None) -> list[str]:
-    """The ids that result pages name, in order: asks page after page until `pages`, a page without ids, `stagnant` pages in a row without new ids, or as many ids as expected.
-
-    It plans what is fetched, so it runs on the driver and holds ids only; details are fetched by tasks.
-    """
-    known: set[str] = set()
-    idle = 0
-    for page in range(1, pages + 1):
-        found = set(ask(page))
-        idle = 0 if found - known else idle + 1
-        known |= found
-        if not found or idle >= stagnant or (expected is not None and len(known) >= expected):
-            break
-    return sorted(known)
-
-
 def last_records(records: DataFrame, path: str = "$.id") -> DataFrame:
     """Of JSON records that were caught while a page was scrolled (ordinal, payload) the last one of each id; without an id they are left out."""
     keyed = records.select(F.get_json_object("payload", path).alias("id"), "ordinal", "payload").where("id is not null")

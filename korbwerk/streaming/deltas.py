@@ -63,14 +63,14 @@ class Deltas:
         # ranges split a bucket that holds many rows; few rows give few files
         rows.withColumn("bucket", self.bucket()).repartitionByRange("bucket", F.xxhash64(*rows.columns)).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/{folder}")
 
-    def append(self, batch: int, rows: DataFrame, gone: dict[str, str] | None = None) -> None:
-        """Adds a batch's rows. gone: values of columns; rows of earlier batches that have all of them go."""
+    def append(self, batch: int, rows: DataFrame, gone: dict[str, str] | None = None, mark: dict | None = None) -> None:
+        """Adds a batch's rows. gone: values of columns; rows of earlier batches that have all of them go (J12). mark: what the manifest says besides, committed with the rows."""
         name = f"{batch:012d}-0.json"
         if name in self.names():
             return
         known = self.manifest(batch) or {"parts": [], "gone": []}
         self._write(f"delta={batch}", rows)
-        self._commit(name, {"schema": json.loads(rows.schema.json()), "parts": [*known["parts"], [batch, f"delta={batch}"]], "gone": [*known["gone"], *([[batch, gone]] if gone else [])]})
+        self._commit(name, {"schema": json.loads(rows.schema.json()), "parts": [*known["parts"], [batch, f"delta={batch}"]], "gone": [*known["gone"], *([[batch, gone]] if gone else [])], "mark": mark})
 
     def touched(self, rows: DataFrame) -> list[int]:
         """Buckets of the rows' keys."""
@@ -110,7 +110,7 @@ class Deltas:
         found, rows = self._load(names[-1]), self.read(newest=newest)
         rows = rows.where(f"not ({drop})") if drop else rows
         self._write(f"base={batch}", rows.drop("v"))
-        self._commit(f"{batch:012d}-1.json", {"schema": found["schema"], "parts": [[batch, f"base={batch}"]], "gone": []})
+        self._commit(f"{batch:012d}-1.json", {"schema": found["schema"], "parts": [[batch, f"base={batch}"]], "gone": [], "mark": found.get("mark")})
         names = self.names()
         kept = {folder for n in names[-KEPT_MANIFESTS:] for _, folder in self._load(n)["parts"]}
         for n in names[:-KEPT_MANIFESTS]:

@@ -1,4 +1,4 @@
-"""Sheet tabs, status files, fetched sites, discovery and highlights."""
+"""Sheet tabs, status files, fetched sites and highlights."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,21 +50,6 @@ def test_sites_are_fetched_once_and_not_if_cached(spark, tmp_path):
     assert not bad.ok and bad.error and not bad.emails
 
 
-def test_discovery_stops(spark):
-    pages = {1: ["b", "a"], 2: ["b"], 3: ["c"], 4: [], 5: ["d"]}
-    asked = []
-
-    def ask(page):
-        asked.append(page)
-        return pages[page]
-
-    assert api.discover(ask, 5) == ["a", "b"] and asked == [1, 2]
-    assert api.discover(ask, 5, stagnant=2) == ["a", "b", "c"]
-    assert api.discover(ask, 1) == ["a", "b"]
-    asked.clear()
-    assert api.discover(ask, 5, expected=2) == ["a", "b"] and asked == [1]
-
-
 def test_last_records(spark):
     rows = spark.createDataFrame([(0, '{"id": 1, "v": "a"}'), (2, '{"id": 1, "v": "b"}'), (1, '{"id": 1}'), (3, "no json"), (4, None), (5, '{"v": 1}')], "ordinal long, payload string")
     assert [(r.id, r.payload) for r in api.last_records(rows).collect()] == [("1", '{"id": 1, "v": "b"}')]
