@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from korbwerk.llm.common import slices, table, words_of
-from korbwerk.plans.checkpoint import materialise
+from korbwerk.plans.checkpoint import ensure_checkpoint_dir, materialise, remove
 
 BLOCK_BYTES = 12 << 20
 BUCKET_TOKENS = 1 << 20
@@ -408,12 +408,19 @@ def solve(key: tuple, requests: pa.Table) -> pa.Table:
 
 
 def keep_by_block(blocks: DataFrame) -> str:
-    """The name of a new table of the blocks, bucketed so that groupings by block find them in place."""
+    """The name of a new table of the blocks, bucketed so that groupings by block find them in place. Its files lie in the checkpoint folder, under that name."""
     name, n = f"korbwerk_{uuid4().hex}", 2 * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks.write.bucketBy(n, "block").sortBy("block").saveAsTable(name)
+    ensure_checkpoint_dir(blocks.sparkSession)
+    blocks.write.bucketBy(n, "block").sortBy("block").option("path", f"{blocks.sparkSession.sparkContext.getCheckpointDir()}/{name}").saveAsTable(name)
     return name
 
 
+def forget(spark: SparkSession, name: str) -> None:
+    """Drops a table of blocks and its files."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    remove(spark, f"{spark.sparkContext.getCheckpointDir()}/{name}")
+
+
 def told(left: pa.Table, right: pa.Table) -> tuple[int, bytes, dict[int, dict[int, bytes]]]:
     """A block's number and payload, and its answers by kind and bucket."""
     got: dict[int, dict[int, bytes]] = {}
@@ -452,7 +459,7 @@ def score_documents(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
         answers = words.where("block is not null").select("block", "kind", "bucket", "payload")
         names.append(keep_by_block(raw.select("block", "payload").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(learn_words, "block long, payload binary")))
-        spark.sql(f"DROP TABLE {names.pop(0)}")
+        forget(spark, names.pop(0))
         blocks = spark.table(names[0]).select("block", "payload")
 
         def informed(answers: DataFrame, levels: int, ask: str, schema: str) -> DataFrame:
@@ -489,7 +496,7 @@ def score_documents(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         return materialise(informed(answers, level, "scores", SCORES))
     finally:
         for name in names:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            forget(spark, name)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

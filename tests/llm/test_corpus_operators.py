@@ -76,6 +76,16 @@ def test_suffix_tree(spark, monkeypatch):
     assert spark.sql("SHOW TABLES").count() == 0
 
 
+def test_blocks_lie_in_the_checkpoint_folder(spark):
+    kept = suffix_tree.keep_by_block(spark.range(20).selectExpr("id as block", "cast('x' as binary) as payload"))
+    folder = f"{spark.sparkContext.getCheckpointDir()}/{kept}"
+    assert all(f.startswith(folder.replace("file:///", "file:/")) or f.startswith(folder) for f in (f.replace("file:///", "file:/") for f in spark.table(kept).inputFiles()))
+    assert "Exchange" not in spark.table(kept).groupBy("block").count()._jdf.queryExecution().executedPlan().toString()
+    suffix_tree.forget(spark, kept)
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not spark.catalog.tableExists(kept) and not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def test_suffix_tree_of_repeated_rows_null_ids_and_no_rows(spark):
     rows = [(None, "a b c a b c"), (None, None), *[(7, "a b c d")] * 6, *[(10, "b c d")] * 3, (3, "x")]
     docs = spark.createDataFrame([(i, t, "en", "s", 1, 0.5) for i, t in rows], "doc_id long, text string, lang string, payload string, block long, score double")
