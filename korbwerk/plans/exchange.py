@@ -168,12 +168,13 @@ def run_states(spark, sf_dir):
 
 @register("SELECT 'state' AS name, 'running' AS value UNION ALL SELECT 'updated_utc', '2026-01-01T00:00:00Z' UNION ALL SELECT 'progress', d || '/' || n || printf(' (%.1f%%)', 100 * d / n) FROM (SELECT count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS d FROM orders) UNION ALL SELECT 'workers', '4' UNION ALL SELECT 'target', 'orders'")
 def run_status(spark, sf_dir):
-    """The status file of a run over the orders."""
-    n = table(spark, sf_dir, "orders").agg(F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("d")).first()
+    """The status file of a run that exports the orders, counted while they are written."""
 
     def use(folder: str) -> DataFrame:
-        sinks.write_status(spark, folder, "running", n["d"], n["n"], 4, "orders", "2026-01-01T00:00:00Z")
-        return sinks.read_status(spark, folder)
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+        done, total = sinks.counted(orders, F.col("o_orderstatus") == "F", lambda rows: sinks.write_csv(rows, f"{folder}/rows"))
+        sinks.write_status(spark, f"{folder}/status", "running", done, total, 4, "orders", "2026-01-01T00:00:00Z")
+        return sinks.read_status(spark, f"{folder}/status")
 
     return through(spark, use)
 

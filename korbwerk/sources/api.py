@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import time
+from codecs import getincrementaldecoder
 from collections.abc import Iterator
 from urllib.error import HTTPError, URLError
 from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
@@ -29,13 +30,15 @@ AGAIN = (429, 500, 502, 503, 504)
 PAGE_CHARS, SAMPLE_CHARS, PAGE_EMAILS, PAGE_PHONES = 500_000, 3000, 5, 3
 
 
-def fetch(url: str, headers: dict[str, str], interval: float = INTERVAL, retries: int = RETRIES, backoff: float = BACKOFF) -> str:
-    """The text behind a URL."""
+def fetch(url: str, headers: dict[str, str], interval: float = INTERVAL, retries: int = RETRIES, backoff: float = BACKOFF, most: int | None = None) -> str:
+    """The text behind a URL, or its first `most` characters; no more is read than they can take."""
     for attempt in range(retries + 1):
         time.sleep(interval)
         try:
             with urlopen(Request(url, headers=headers), timeout=TIMEOUT) as answer:  # noqa: S310
-                return answer.read().decode()
+                data = answer.read() if most is None else answer.read(4 * most)
+                # a character that the end cuts is left out
+                return getincrementaldecoder("utf-8")().decode(data, final=most is None or len(data) < 4 * most)[:most]
         except (HTTPError, URLError, TimeoutError) as e:
             if attempt == retries or (isinstance(e, HTTPError) and e.code not in AGAIN):
                 raise
@@ -137,7 +140,7 @@ def fetch_sites(urls: DataFrame, cache: DataFrame, headers: dict[str, str] | Non
             pages, errors = [], []
             for url in batch["url"]:
                 try:
-                    pages.append(fetch(url, headers or {}, interval, retries)[:PAGE_CHARS])
+                    pages.append(fetch(url, headers or {}, interval, retries, most=PAGE_CHARS))
                     errors.append("")
                 except (HTTPError, URLError, TimeoutError, ValueError) as e:
                     pages.append(None)

@@ -50,6 +50,34 @@ def test_sites_are_fetched_once_and_not_if_cached(spark, tmp_path):
     assert not bad.ok and bad.error and not bad.emails
 
 
+def test_counted_while_written(spark, tmp_path):
+    rows = spark.range(1000)
+    assert sinks.counted(rows, F.col("id") % 4 == 0, lambda r: sinks.write_json(r, str(tmp_path / "a"))) == (250, 1000)
+    assert sinks.counted(rows.where("id < 0"), F.col("id") % 4 == 0, lambda r: sinks.write_json(r, str(tmp_path / "b"))) == (0, 0)
+    assert spark.read.json(str(tmp_path / "a")).count() == 1000
+
+
+def test_a_large_category_is_split(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("id as ordinal", "case when id < 18000 then 'hot' when id < 19999 then 'b' end as category_id", "map(id, 'x') as m")
+    # partitions as small as these are put together otherwise
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_by_category(rows, str(tmp_path / "c"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "c" / "category_id=hot").glob("part-*"))) > 1
+    found = {r.category_id: r.n for r in spark.read.json(str(tmp_path / "c")).groupBy("category_id").agg(F.count("*").alias("n")).collect()}
+    assert found == {"hot": 18000, "b": 1999, None: 1}
+
+
+def test_no_more_is_read_than_is_kept(tmp_path):
+    page = tmp_path / "page.html"
+    page.write_text("ä" * 30 + "🙂" * 10)
+    assert api.fetch(page.as_uri(), {}, 0, 0, most=7) == "ä" * 7
+    assert api.fetch(page.as_uri(), {}, 0, 0, most=16) == "ä" * 16  # 64 bytes end inside a character
+    assert api.fetch(page.as_uri(), {}, 0, 0, most=40) == api.fetch(page.as_uri(), {}, 0, 0) == page.read_text()
+
+
 def test_last_records(spark):
     rows = spark.createDataFrame([(0, '{"id": 1, "v": "a"}'), (2, '{"id": 1, "v": "b"}'), (1, '{"id": 1}'), (3, "no json"), (4, None), (5, '{"v": 1}')], "ordinal long, payload string")
     assert [(r.id, r.payload) for r in api.last_records(rows).collect()] == [("1", '{"id": 1, "v": "b"}')]
