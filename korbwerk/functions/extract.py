@@ -90,24 +90,33 @@ def application_email(c: Column) -> Column:
     return F.coalesce(F.get(F.filter(found, near), F.lit(0)), F.get(found, F.lit(0)), F.lit(""))
 
 
+# An amount, what a company's name holds, documents that portals name.
+AMOUNT = r"[\d.,]+\s*€"
+COMPANY_LINE = "GmbH| AG| KG| SE"
+NAMED_DOCUMENTS = ("lebenslauf", "zeugnis", "anschreiben", "bewerbungsunterlagen")
+
+
 def salary(c: Column) -> Column:
     """E10."""
     return first_match(c, SALARIES)
 
 
-def portal_salary(main: Column, offer: Column, low: Column, high: Column, currency: Column, pay_word: str | None = None, placeholder: bool = False) -> Column:
-    """Salaries by year, else up to six amounts (of texts with `pay_word`, if given), else the range of structured data. placeholder: a range of 1 to 1 counts."""
-    t = blank(main)
-    years = F.zip_with(F.regexp_extract_all(t, F.lit(YEAR_SALARY), F.lit(1)), F.regexp_extract_all(t, F.lit(YEAR_SALARY), F.lit(2)), lambda a, b: F.concat(a, F.lit(": "), b))
-    both = F.concat_ws("\n", or_null(offer), or_null(main))
-    amounts = F.regexp_extract_all(both, F.lit(r"[\d.,]+\s*€"), F.lit(0))
-    keys = F.transform(amounts, lambda x: F.replace(x, F.lit(" "), F.lit("")))
-    unique = F.transform(F.array_distinct(keys), lambda k: F.get(amounts, (F.array_position(keys, k) - 1).cast("int")))
-    listed = F.array_join(F.slice(unique, 1, 6), ", ")
-    listed = F.when(both.rlike(pay_word), listed).otherwise("") if pay_word else listed
+def portal_salary(main: Column, offer: Column, low: Column, high: Column, currency: Column, pay_word: str | None = None, placeholder: bool = False, years: str | None = YEAR_SALARY, amount: str = AMOUNT, block: str | None = None, body: Column | None = None) -> Column:
+    """Salaries by year (pattern `years`, in main, and before it in body and offer where a body is given), else up to six amounts (of texts with `pay_word`, if given) or what `block` finds instead, else the range of structured data. placeholder: a range of 1 to 1 counts."""
+    both = F.concat_ws("\n", *([or_null(body)] if body is not None else []), or_null(offer), or_null(main))
+    t = both if body is not None else blank(main)
+    yearly = F.array_join(F.zip_with(F.regexp_extract_all(t, F.lit(years), F.lit(1)), F.regexp_extract_all(t, F.lit(years), F.lit(2)), lambda a, b: F.concat(a, F.lit(": "), b)), "\n") if years else F.lit("")
+    if block:
+        listed = normalise_space(F.regexp_extract(both, block, 1))
+    else:
+        amounts = F.regexp_extract_all(both, F.lit(amount), F.lit(0))
+        keys = F.transform(amounts, lambda x: F.replace(x, F.lit(" "), F.lit("")))
+        unique = F.transform(F.array_distinct(keys), lambda k: F.get(amounts, (F.array_position(keys, k) - 1).cast("int")))
+        listed = F.array_join(F.slice(unique, 1, 6), ", ")
+        listed = F.when(both.rlike(pay_word), listed).otherwise("") if pay_word else listed
     real = (low != 0) & (high != 0) & (F.lit(placeholder) | ~((low == 1) & (high == 1)))
     ranged = F.when(real, F.concat(low.cast("string"), F.lit(" - "), high.cast("string"), F.lit(" "), F.coalesce(currency, F.lit("EUR"))))
-    return first_filled(F.array_join(years, "\n"), listed, ranged)
+    return first_filled(yearly, listed, ranged)
 
 
 def salutation(c: Column) -> Column:
@@ -148,9 +157,34 @@ def from_line(c: Column, pattern: str) -> Column:
     return F.when(at > 0, normalise_space(F.array_join(F.slice(each, at.cast("int"), F.size(each)), "\n"))).otherwise("")
 
 
-def company_line(c: Column) -> Column:
+def line_block(c: Column, pattern: str, more: int) -> Column:
+    """The first line that fits a pattern, and those of the next `more` lines that aren't blank."""
+    each = F.transform(lines(c), ustrip)
+    at = F.array_position(F.transform(each, lambda x: x.rlike(pattern)), True).cast("int")
+    return F.when(at > 0, F.array_join(F.filter(F.slice(each, F.greatest(at, F.lit(1)), F.lit(more + 1)), lambda x: x != ""), "\n")).otherwise("")
+
+
+def contact_section(c: Column, markers: str, most: int = 13) -> Column:
+    """From the first line of less than 40 characters with "kontakt" to the next line that begins a section, `most` lines at most; without one, the first line with an address or a telephone number."""
+    each = F.filter(F.transform(lines(c), lambda x: normalise_space(x)), lambda x: x != "")
+    head = lambda x: F.lower(x).contains("kontakt") & (F.length(x) < 40)
+    begin = F.array_position(F.transform(each, head), True).cast("int")
+    rest = F.slice(each, F.greatest(begin, F.lit(1)), F.lit(most))
+    stop = F.array_position(F.transform(rest, lambda x: x.rlike(markers) & ~head(x)), True).cast("int")
+    block = F.array_join(F.when(stop > 0, F.slice(rest, F.lit(1), F.greatest(stop - 1, F.lit(0)))).otherwise(rest), "\n")
+    reached = F.get(F.filter(each, lambda x: x.rlike(EMAIL) | (F.size(phones(x)) > 0)), F.lit(0))
+    return F.when(begin > 0, block).otherwise(F.coalesce(reached, F.lit("")))
+
+
+def named_documents(c: Column) -> Column:
+    """Which documents a text names."""
+    t = F.lower(blank(c))
+    return F.array_join(F.filter(F.array(*(F.when(F.contains(t, F.lit(d)), F.lit(d.capitalize())) for d in NAMED_DOCUMENTS)), lambda x: x.isNotNull()), ", ")
+
+
+def company_line(c: Column, words: str = COMPANY_LINE) -> Column:
     """E34."""
-    return first_line(c, "GmbH| AG| KG| SE")
+    return first_line(c, words)
 
 
 def city_line(c: Column) -> Column:

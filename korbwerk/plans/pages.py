@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from korbwerk.plans.queries import register, table
 from korbwerk.schema import DETAIL_URL
+from korbwerk.sources.portal_rules import RULES, parse_sources
 from korbwerk.sources.portals import PORTALS, parse_details, parse_pages
 
 #: The portals whose rules differ; the others differ from the first in names alone, and each portal has a plan of its own, which takes seconds to compile.
@@ -47,12 +48,12 @@ _MAIN = """'<h1>Stelle</h1>' || CASE WHEN i % 7 = 2 THEN '<p>Beispiel ' || i ||
 _COLUMNS = ("referenznummer", "sumber_data", "nama_perusahaan", "titik_data_di_peta", "posisi_kota", "alamat_detail", "detail_deskripsi", "gaji", "persyaratan", "jenis_ausbildung", "apa_yang_ditawarkan", "link_website_perusahaan", "alamat_email_bewerbung", "link_bewerbung", "kontak_penanggung_jawab", "tanggal_mulai")
 
 
-def portal_pages(docs: DataFrame) -> DataFrame:
-    """url, html, category_id and source of one page for each document."""
+def portal_pages(docs: DataFrame, task: str = _TEXT.format(""), job: str = _JOB, more: str = "''") -> DataFrame:
+    """url, html, category_id and source of one page for each document; task, job and more: SQL of its list of tasks, its structured data and what ends its main text."""
     steps = [
-        f"*, doc_id AS i, {_TEXT.format('')} AS task", f"*, {_of_portal(lambda p: p.source)} AS source_, {_of_portal(lambda p: p.domain)} AS domain", "* EXCEPT (source, source_), source_ AS source",
-        f"""*, 'https://www.' || domain || '/' || {_PART} AS url, {_PLACE} AS place, '<script type="application/ld+json">' AS ld""", f"*, {_JOB} AS job",
-        f"url, source, '' AS category_id, '<html>' || {_DATA} || '<main>' || {_MAIN} || {_LINKS} || '</main></html>' AS html",
+        f"*, doc_id AS i, {task} AS task", f"*, {_of_portal(lambda p: p.source)} AS source_, {_of_portal(lambda p: p.domain)} AS domain", "* EXCEPT (source, source_), source_ AS source",
+        f"""*, 'https://www.' || domain || '/' || {_PART} AS url, {_PLACE} AS place, '<script type="application/ld+json">' AS ld""", f"*, {job} AS job",
+        f"url, source, '' AS category_id, '<html>' || {_DATA} || '<main>' || {_MAIN} || {_LINKS} || {more} || '</main></html>' AS html",
     ]
     return reduce(lambda df, s: df.selectExpr(*_split(s)), steps, docs)
 
@@ -89,6 +90,32 @@ def listing_of_page(spark, sf_dir):
     return reduce(DataFrame.unionByName, each)
 
 
+#: What the pages hold besides, for the rules of single portals: a day on which work begins, another salary, papers to send.
+_MORE = "CASE i % 4 WHEN 2 THEN '<p>Ausbildungsbeginn: 1.8.2027</p>' WHEN 3 THEN '<p>Einstieg ab 15.09.2026</p>' ELSE '' END || CASE WHEN i % 6 = 5 THEN '<p>Vergütung im Jahr: 777 €</p>' ELSE '' END"
+_PAPERS = _JOB.replace("<p>Obst</p>\"'", "<p>Obst</p>' || CASE WHEN i % 5 = 2 THEN '<p>Zeugnis und Lebenslauf</p>' ELSE '' END || '\"'")
+_RULED = (*_COLUMNS, "dokumen_yang_harus_dipenuhi")
+_LINES = "CASE i % 5 WHEN 0 THEN 'Jetzt bewerben' || chr(10) || 'hier' || chr(10) WHEN 1 THEN 'Jetzt bewerben' || chr(10) || 'Apply now' || chr(10) WHEN 2 THEN 'Start' || chr(10) || 'Zum' || chr(10) || 'Bewerben' || chr(10) WHEN 3 THEN 'Bewerben' || chr(10) || 'Bewerben' || chr(10) ELSE '' END"
+_BY_RULES = f"""WITH d AS (SELECT doc_id AS i, 'Text ' || sha256(coalesce(text, '')) AS task, {_of_portal(lambda p: p.source)} AS source, {_of_portal(lambda p: p.prefix)} AS prefix, {_of_portal(lambda p: p.domain)} AS domain FROM documents),
+p AS (SELECT *, CASE WHEN source = 'indeed_de' THEN printf('%016x', i) WHEN i % 3 = 0 THEN 'ID' || i WHEN source = 'stepstone_de' THEN i::VARCHAR WHEN i % 3 = 1 THEN '0a1b2c3d-1111-2222-3333-' || printf('%012d', i) ELSE 'job-' || i END AS id, source = 'meinestadt_de' AS city, source IN ('indeed_de', 'meinestadt_de') AS alone,
+CASE WHEN i % 5 = 2 THEN 'Zeugnis und Lebenslauf' ELSE '' END AS papers, CASE WHEN i < 100000 THEN printf('%05d', i) ELSE substr(i::VARCHAR, 1, 5) END AS code FROM d), q AS (SELECT *, 'Wir bieten' || chr(10) || 'Obst' || CASE WHEN city AND papers <> '' THEN chr(10) || papers ELSE '' END AS offers FROM p)
+SELECT prefix || id AS referenznummer, source AS sumber_data, CASE WHEN i % 4 = 2 AND NOT alone THEN 'Org ' || i WHEN i % 7 = 2 THEN 'Beispiel ' || i || ' GmbH' ELSE 'Foo ' || i END AS nama_perusahaan, CASE WHEN i % 5 = 0 AND source IN ('indeed_de', 'stepstone_de') THEN '50.5,' || (i % 90) || '.25' ELSE '' END AS titik_data_di_peta,
+CASE WHEN i % 5 <> 4 THEN 'Ort ' || (i % 9) WHEN city THEN 'Kleinstadt' ELSE '' END AS posisi_kota, CASE WHEN i % 5 <> 4 THEN CASE WHEN i % 3 = 1 THEN '' ELSE 'Weg ' || i || ' ' END || code || ' Ort ' || (i % 9) WHEN NOT city THEN '' WHEN i % 7 = 2 AND i BETWEEN 10000 AND 99999 THEN 'Beispiel ' || i || ' GmbH' ELSE 'Weg 3, 12345 Kleinstadt' END AS alamat_detail,
+'Ausbildung Koch ' || i || chr(10) || chr(10) || 'Deine Aufgaben' || chr(10) || task || chr(10) || chr(10) || 'Dein Profil' || chr(10) || 'Neugier & Mut' || chr(10) || chr(10) || offers AS detail_deskripsi,
+CASE i % 6 WHEN 0 THEN '900.0 - 1100.0 EUR' WHEN 1 THEN CASE WHEN alone THEN '1.000 €, 1.100 €' WHEN source = 'stepstone_de' THEN '' ELSE '1. Jahr: 1.000 €' || chr(10) || '2. Jahr: 1.100 €' END WHEN 4 THEN CASE WHEN alone THEN '1.0 - 1.0 EUR' ELSE '' END WHEN 5 THEN '777 €' WHEN 2 THEN CASE WHEN source = 'azubi_de' THEN '' ELSE '1.200 €, 1.300 €' END ELSE CASE WHEN source IN ('azubi_de', 'stepstone_de') THEN '' ELSE '5 €' END END AS gaji,
+'Dein Profil' || chr(10) || 'Neugier & Mut' AS persyaratan, CASE WHEN city THEN 'Ausbildung Koch ' ELSE 'Ausbildung | Koch ' END || i AS jenis_ausbildung, offers AS apa_yang_ditawarkan, CASE WHEN i % 7 <> 2 THEN 'https://foo.example' WHEN i % 4 = 2 AND NOT alone THEN 'https://org.example/' || i ELSE '' END AS link_website_perusahaan,
+CASE WHEN i % 4 = 1 THEN 'hr+jobs@firma.example' WHEN i % 4 = 2 AND source NOT IN ('ausbildung_de', 'stepstone_de') THEN 'info' || i || '@firma.example' ELSE '' END AS alamat_email_bewerbung,
+CASE i % 5 WHEN 0 THEN 'https://ats.example/direktbewerbung/' || i WHEN 1 THEN 'https://www.' || domain || '/apply/' || i WHEN 2 THEN 'https://ats.example/3?i=' || i ELSE '' END AS link_bewerbung,
+CASE WHEN i % 4 <> 1 THEN '' WHEN city THEN 'Dein Kontakt: Frau Muster' || chr(10) || {_LINES} || 'Mail' || CASE WHEN i % 6 = 5 THEN chr(10) || 'Vergütung im Jahr: 777 €' ELSE '' END ELSE 'Dein Kontakt: Frau Muster' END AS kontak_penanggung_jawab,
+CASE WHEN NOT city THEN '' WHEN i % 3 = 0 THEN '2026-09-01' WHEN i % 4 = 2 THEN '2027-08-01' WHEN i % 4 = 3 THEN '2026-09-15' ELSE '' END AS tanggal_mulai, CASE WHEN papers = '' THEN '' WHEN city THEN 'Lebenslauf, Zeugnis' ELSE papers END AS dokumen_yang_harus_dipenuhi FROM q"""
+
+
+@register(_BY_RULES)
+def listing_by_rules(spark, sf_dir):
+    """2.11, E15, E34 to E41: the listings that each portal's own rules find in its pages."""
+    pages = portal_pages(table(spark, sf_dir, "documents"), "'Text ' || sha2(coalesce(text, ''), 256)", _PAPERS, _MORE)
+    return parse_sources(pages, [RULES[p.source] for p in _PORTALS], keep_all=True).select(*_RULED)
+
+
 #: An API detail for each document: fields and text by its number.
 _DETAIL_TEXT = """CASE i % 3 WHEN 0 THEN 'Wir sind eine Firma mit Herz ' || i || '.\n\n' ELSE '' END || CASE i % 4 WHEN 0 THEN 'Dein Profil\n- Neugier ' || i || '\n- Mut\n\n' ELSE '' END || CASE i % 5 WHEN 1 THEN 'Benefits\n* Obst\n\n' ELSE '' END
 || CASE i % 6 WHEN 1 THEN 'Das Gehalt beträgt 1.' || (100 + i % 800) || ' € im Monat.\n\n' ELSE '' END || CASE i % 7 WHEN 2 THEN 'Lebenslauf und anderes\n- Foto\n\n' ELSE '' END || CASE i % 4 WHEN 1 THEN 'Ansprechpartner: Herr Muster\nTel. folgt\nbewerbung' || i || '@firma.example\nNicht mehr\n' WHEN 2 THEN 'Post an info@firma.example und noch eine allgemeine Adresse für alle anderen Fragen. Karriere: talent' || i || '@firma.example' ELSE '' END"""

@@ -43,7 +43,7 @@ PORTALS = {
     p.source: p
     for p in (
         Portal("ausbildung_de", "AD-", "ausbildung.de"), Portal("meine_ausbildung_de", "MAD-", "meine-ausbildung-in-deutschland.de"), Portal("ausbildung_nrw", "NRW-", "ausbildung.nrw"),
-        Portal("ausbildungsstellen_de", "ASD-", "ausbildungsstellen.de"), Portal("ausbildungsmarkt_de", "ASD-", "ausbildungsmarkt.de"), Portal("azubi_de", "AZDE-", "azubi.de", pay_word="(?i)gehalt|verg.tung"),
+        Portal("ausbildungsstellen_de", "ASD-", "ausbildungsstellen.de"), Portal("ausbildungsmarkt_de", "ABM-", "ausbildungsmarkt.de"), Portal("azubi_de", "AZDE-", "azubi.de", pay_word="(?i)gehalt|verg.tung"),
         Portal("azubiyo_de", "AZUB-", "azubiyo.de"), Portal("backinjob_de", "BIJ-", "backinjob.de"), Portal("indeed_de", "INDEED-", "indeed.com", ids=("jk=([0-9a-f]{16})",)),
         Portal("karriere_suedwestfalen_de", "KSW-", "karriere-suedwestfalen.de"), Portal("meinestadt_de", "MSD-", "meinestadt.de", placeholder_salary=True), Portal("stepstone_de", "STEP-", "stepstone.de", ids=(r"--(\d+)-inline",)),
         Portal("aubi_plus_de", "AUBI-", "aubi-plus.de"), Portal("wir_sind_bund_de", "WSB-", "wir-sind-bund.de"),

@@ -2,6 +2,10 @@
 
 import json
 
+from pyspark.sql import functions as F
+
+from korbwerk.functions.extract import contact_section
+from korbwerk.sources.portal_rules import RULES, parse_by_rules
 from korbwerk.sources.portals import PORTALS, parse_details, parse_pages
 
 JOB = {
@@ -37,3 +41,33 @@ def test_details(spark):
     assert (r.gaji, r.alamat_detail, r.titik_data_di_peta, r.jenis_ausbildung) == ("Jahr 1: 1100 EUR/Monat", "Weg 1, 5 Y", "1.5,2.5", "Berufsausbildung | Fachinformatiker Systemintegration | X")
     assert r.persyaratan == "Dein Profil\n- Neugier\nHauptschulabschluss" and r.alamat_email_bewerbung == "jobs@foo.example" and r.kontak_penanggung_jawab == "Kontakt: Frau Muster\njobs@foo.example"
     assert (r.beruf_typ, r.tanggal_mulai) == ("si", "2027-09-01")
+
+
+def ruled(spark, source, rows):
+    frame = spark.createDataFrame(rows, "url string, html string, category_id string")
+    return {r.referenznummer: r for r in parse_by_rules(frame, RULES[source]).collect()}
+
+
+def test_rules_of_two_portals_that_share_them(spark):
+    body = "<p>Ausbildungsbeginn: 1.9.2027</p><p>Vergütung</p><p>1. Ausbildungsjahr 1.000 €</p><p>Bewerbungsadresse:</p><p>Frau Muster</p><p>Weg 1</p><p>Ort</p><p>Land</p><p>hr@foo.example</p><p>zu weit</p>"
+    job = {**JOB, "jobStartDate": " ", "description": "<p>Deine Aufgaben</p><p>Code und Anschreiben</p>", "hiringOrganization": {"name": "A &amp; B", "sameAs": "https://www.ausbildungsstellen.de/x", "url": "foo.example"}}
+    firm = '<script type="application/ld+json">{"@type": "Organization", "url": "nichts", "sameAs": ["ftp://x", "https://org.example "], "description": "<p>Wir</p>"}</script>'
+    r = ruled(spark, "ausbildungsstellen_de", [("https://www.ausbildungsstellen.de/a", firm + page(job, body), None)])["ASD-77"]
+    assert (r.tanggal_mulai, r.gaji, r.dokumen_yang_harus_dipenuhi, r.link_website_perusahaan) == ("2027-09-01", "1. Ausbildungsjahr: 1.000 €", "Anschreiben", "https://org.example")
+    assert r.kontak_penanggung_jawab == "Bewerbungsadresse:\nFrau Muster\nWeg 1\nOrt\nLand\nhr@foo.example" and (r.nama_perusahaan, r.alamat_email_bewerbung, r.deskripsi_perusahaan) == ("A & B", "hr@foo.example", "Wir")
+    assert (r.jenis_ausbildung, r.alamat_detail, r.titik_data_di_peta) == ("Ausbildung Fachinformatiker Anwendungsentwicklung", "Weg 1 52062 Aachen", "")
+    assert set(ruled(spark, "ausbildungsmarkt_de", [("u", page(job), None), (None, None, None)])) == {"ABM-77", "ABM-"}
+
+
+def test_filters_of_portals(spark):
+    data = {**JOB, "identifier": {}, "title": "Ausbildung Fachinformatiker Daten- und Prozessanalyse"}
+    rows = [("https://a.example/viewjob?jk=000000000000000a", page(JOB), "x_ae"), ("https://a.example/viewjob?jk=000000000000000b", page(data), "x_ae"), ("https://a.example/viewjob?jk=000000000000000c", page(data), "x_dpa"), ("https://a.example/viewjob?jk=000000000000000d", page({**JOB, "title": "Praktikum"}), "x")]
+    assert set(ruled(spark, "indeed_de", rows)) == {"INDEED-000000000000000a", "INDEED-000000000000000c", "INDEED-000000000000000d"}
+    rows = [("https://a.example/?id=1", page(JOB), "x_ae"), ("https://a.example/?id=2", page(data), "x_ae"), ("https://a.example/?id=3", page(data), "x_dpa"), ("https://a.example/?id=4", page({**JOB, "title": "Praktikum"}), "x")]
+    assert set(ruled(spark, "meinestadt_de", rows)) == {"MSD-1", "MSD-3"}
+
+
+def test_contact_section(spark):
+    texts = ["Start\nDein Kontakt\nFrau Muster\nTel\nDein Profil\nNeugier", "Hier\n0241 123456 oder x@y.example\nKontakt und noch sehr viele andere Wörter dazu", None, "\n".join(["Kontakt", *(f"z{i}" for i in range(20))])]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(contact_section(F.col("t"), "(?i)dein profil")).collect()]
+    assert got == ["Dein Kontakt\nFrau Muster\nTel", "0241 123456 oder x@y.example", "", "\n".join(["Kontakt", *(f"z{i}" for i in range(12))])]
