@@ -30,6 +30,13 @@ def test_pages(spark):
     assert (r.beruf_typ, r.tanggal_mulai, r.gaji) == ("ae", "2026-08-01", "900.0 - 1100.0 EUR")
 
 
+def test_a_number_in_a_companys_name_is_no_postcode(spark):
+    lines = {"a": "<p>Beispiel 20029 GmbH</p><p>Weg 3, 12345 Kleinstadt</p>", "b": "<p>Foo GmbH, Weg 3, 12345 SEELOW</p>", "c": "<p>Verein 20029 e. V.</p>", "d": "<p>Postfach 12345</p>"}
+    rows = [(f"https://www.ausbildung.de/stellen/{k}", f"<main>{v}</main>", "c") for k, v in lines.items()]
+    got = {r.referenznummer: r.alamat_detail for r in parse_pages(spark.createDataFrame(rows, "url string, html string, category_id string"), PORTALS["ausbildung_de"], keep_all=True).collect()}
+    assert got == {"AD-a": "Weg 3, 12345 Kleinstadt", "AD-b": "Foo GmbH, Weg 3, 12345 SEELOW", "AD-c": "", "AD-d": "Postfach 12345"}
+
+
 def test_details(spark):
     detail = {
         "referenznummer": "1-S", "firma": "Foo", "stellenangebotsBeschreibung": "Dein Profil\n- Neugier\n\nKontakt: Frau Muster\njobs@foo.example", "hauptberuf": "Fachinformatiker Systemintegration", "alleBerufe": ["Fachinformatiker Systemintegration", "X"],
