@@ -134,8 +134,10 @@ def pages_discovered(spark, sf_dir):
 
     def use(folder: str):
         links = F.concat(F.lit('<a href="/kunde/'), "o_custkey", F.lit('">')).alias("value")
-        table(spark, sf_dir, "orders").select(links, (F.floor(F.col("o_orderkey") / PAGE_LINKS) + 1).cast("int").alias("page")).write.partitionBy("page").text(f"{folder}/site")
-        last = spark.read.text(f"{folder}/site").agg(F.max("page")).first()[0]
+        rows = table(spark, sf_dir, "orders").select(links, (F.floor(F.col("o_orderkey") / PAGE_LINKS) + 1).cast("int").alias("page"))
+        # dealt by page, so that each page is one file, whatever the order of the orders
+        rows.repartition("page").write.partitionBy("page").text(f"{folder}/site")
+        last = rows.agg(F.max("page")).first()[0]
         found = Discovery(spark, f"{folder}/ids", stagnant=2).run(f"{folder}/site/page={{page}}", r'href="/kunde/([^"]+)"', last, f"{folder}/checkpoint", ahead="32")
         return found.select("id", "page")
 

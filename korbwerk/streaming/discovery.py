@@ -1,6 +1,7 @@
 """Discovery of listings page after page, as a stream.
 
-Result pages are read by `ahead` at a time, a task for each. The stream's offsets are page numbers. Ids go to a table of deltas by key bucket, and a batch looks
+Result pages are read by `ahead` tasks at a time, at first a page by each. A batch has half as many pages as were read before it, if that is more, so that the number of batches, and with it
+what they look up again, grows with the logarithm of the pages. The stream's offsets are page numbers. Ids go to a table of deltas by key bucket, and a batch looks
 its own ids up in their buckets, so no task and no driver holds the ids that are known. Where the pages end, how many are stale and how many ids are known stands in the table's manifest, which is
 committed with the batch's ids: a run that fails goes on at the pages of the batch that failed, and reads none before them again. A page that can't be had fails its batch.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +20,13 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from pyspark.sql.streaming import StreamingQuery
 
 from korbwerk.plans.checkpoint import materialise
-from korbwerk.sources.api import BACKOFF, INTERVAL, RETRIES, Page, fetch
+from korbwerk.sources.api import BACKOFF, INTERVAL, RETRIES, fetch
 from korbwerk.streaming.deltas import Deltas
 
-#: Pages of a batch; up to so many less one are read beyond the last page that counts.
+#: Tasks of a batch, and its pages at least. Less than a batch is read beyond the last page that counts.
 AHEAD = 8
+#: Pages of a batch at most: the driver gets a row for each.
+BATCH_PAGES = 1 << 14
 #: Before the first page: pages that were read, the last that counts, stale ones before it, ids, and whether the pages have ended.
 NOTHING = {"read": 0, "page": 0, "idle": 0, "known": 0, "ended": False}
 
@@ -54,35 +58,49 @@ def newest_mark(state: str) -> dict:
     return json.loads(last[1])["mark"] if last else NOTHING
 
 
+@dataclass
+class Pages(InputPartition):
+    """Pages that one task reads, one after another."""
+
+    first: int
+    last: int
+
+
 class ResultPagesReader(DataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
         self.options = options
+        self.ahead = int(options.get("ahead", AHEAD))
 
     def initialOffset(self) -> dict:
         return {"page": 0}
 
     def latestOffset(self) -> dict:
         mark = newest_mark(self.options["state"])
-        ahead = 0 if mark["ended"] else int(self.options.get("ahead", AHEAD))
+        ahead = 0 if mark["ended"] else max(self.ahead, min(mark["read"] // 2, BATCH_PAGES))
         return {"page": min(mark["read"] + ahead, max(int(self.options["pages"]), mark["read"]))}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        return [Page(i) for i in range(start["page"] + 1, end["page"] + 1)]
+        each = -(-(end["page"] - start["page"]) // self.ahead) or 1
+        return [Pages(i, min(i + each - 1, end["page"])) for i in range(start["page"] + 1, end["page"] + 1, each)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
+        for number in range(partition.first, partition.last + 1):
+            yield from self.named(number)
+
+    def named(self, number: int) -> Iterator[tuple]:
         o = self.options
-        url = o["url"].replace("{page}", str(partition.number))
+        url = o["url"].replace("{page}", str(number))
         if urlsplit(url).scheme in ("http", "https"):
             text = fetch(url, {}, float(o.get("interval", INTERVAL)) * int(o.get("parallel", "1")), int(o.get("retries", RETRIES)), float(o.get("backoff", BACKOFF)))
         else:
             text = "".join(t for _, t in files_of(url))
         ids = dict.fromkeys(re.findall(o["pattern"], text))
         # a page without ids says so
-        yield from ((partition.number, i, x) for i, x in enumerate(ids or [None]))
+        yield from ((number, i, x) for i, x in enumerate(ids or [None]))
 
 
 class ResultPages(DataSource):
-    """Ids that result pages name: page, place, id. Options: url with {page} (or a folder of saved files), pattern with one group (the id), pages (at most), state (the table of ids), ahead, interval, parallel, retries, backoff."""
+    """Ids that result pages name: page, place, id. Options: url with {page} (or a folder of saved files), pattern with one group (the id), pages (at most), state (the table of ids), ahead (tasks), interval, parallel, retries, backoff."""
 
     @classmethod
     def name(cls) -> str:
@@ -113,7 +131,7 @@ class Discovery:
         fresh = materialise(first if known is None else first.join(known.select("id"), "id", "left_anti"))
         pages = rows.groupBy("page").agg(F.count("id").alias("named")).join(fresh.groupBy("page").agg(F.count("*").alias("fresh")), "page", "left").orderBy("page")
         mark = (self.ids.manifest(batch) or {}).get("mark") or NOTHING
-        for page in pages.collect():  # `ahead` rows
+        for page in pages.collect():  # BATCH_PAGES rows at most
             if mark["ended"]:
                 mark = {**mark, "read": page.page}
                 continue

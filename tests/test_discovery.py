@@ -62,3 +62,10 @@ def test_goes_on_where_it_failed(spark, tmp_path):
     found.ids.compact()
     assert ids(discover(spark, tmp_path, 5)[1]) == ids(rows)
     assert json.loads(json.dumps(found.ids.manifest()["mark"])) == {"read": 5, "page": 5, "idle": 0, "known": 6, "ended": False}
+
+
+def test_batches_grow_with_the_pages_that_were_read(spark, tmp_path):
+    site(tmp_path / "site", [[f"{i}", f"{i - 1}"] for i in range(1, 31)])
+    found, rows = discover(spark, tmp_path, 30)
+    assert ids(rows) == sorted([("0", 1, 1), *((f"{i}", i, 0) for i in range(1, 31))])
+    assert [found.ids.manifest(n + 1)["mark"]["read"] for n in range(len(found.ids.names()))] == [2, 4, 6, 9, 13, 19, 28, 30]
