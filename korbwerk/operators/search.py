@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,23 +66,31 @@ def match_count(df: DataFrame, query: str) -> DataFrame:
     return df.agg(F.count_if(search_score(F.col("_fields"), F.col("_text"), query).isNotNull()).alias("n"))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is computed once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def highlights(text: Column, query: str | Column) -> Column:
     """Q-10: ranges of characters (from 0, `to` exclusive) that hold a token of the query, in order; ranges that touch are one.
 
     Tokens are looked for in the text without blanks and marks, so a token may run over a gap.
     """
-    raw, q = blank(text), normalise(F.lit(query) if isinstance(query, str) else query)
-    numbers = F.when(F.length(raw) > 0, F.sequence(F.lit(1), F.length(raw))).otherwise(F.array().cast("array<int>"))
-    kept = F.filter(F.transform(numbers, lambda i: F.struct((i - 1).alias("at"), normalise(F.substring(raw, i, F.lit(1))).alias("c"))), lambda x: x["c"] != "")
-    joined = F.array_join(F.transform(kept, lambda x: x["c"]), "")
+    q = normalise(F.lit(query) if isinstance(query, str) else query)
+    numbered = F.transform(F.regexp_extract_all(blank(text), F.lit("(?s)."), F.lit(0)), lambda c, i: F.struct(i.alias("at"), normalise(c).alias("c")))
 
-    def places(token: Column) -> Column:
+    def places(token: Column, kept: Column, joined: Column) -> Column:
         last = F.length(joined) - F.length(token)
         starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
         found = F.filter(starts, lambda p: F.substring(joined, p + 1, F.length(token)) == token)
         return F.transform(found, lambda p: F.struct(F.get(kept, p)["at"].alias("from"), (F.get(kept, p + F.length(token) - 1)["at"] + 1).alias("to")))
 
-    ranges = F.array_sort(F.flatten(F.transform(F.filter(F.split(q, " "), lambda t: t != ""), places)))
+    def all_places(kept: Column) -> Column:
+        joined = F.array_join(F.transform(kept, lambda x: x["c"]), "")
+        return _once(joined, lambda j: F.flatten(F.transform(F.filter(F.split(q, " "), lambda t: t != ""), lambda t: places(t, kept, j))))
+
+    # else the text is normalised again for each of its characters
+    ranges = F.array_sort(_once(F.filter(numbered, lambda x: x["c"] != ""), all_places))
 
     def join(done: Column, r: Column) -> Column:
         last = F.get(done, F.size(done) - 1)

@@ -90,6 +90,13 @@ def test_highlights(spark):
     assert got == {i: want for i, (_, _, want) in enumerate(cases)}
 
 
+def test_highlights_normalise_a_text_once(spark):
+    rows = spark.createDataFrame([("Ä-b🙂 c\n" * 300,)], "t string").select(highlights(F.col("t"), "a-b c, zz").alias("h"))
+    # once for the text, once for the query: as many for each place of a token, long texts take the square of their length
+    assert rows._jdf.queryExecution().analyzed().toString().count("translate(") <= 2
+    assert [(x["from"], x["to"]) for x in rows.first().h] == [p for i in range(300) for p in ((7 * i, 7 * i + 3), (7 * i + 5, 7 * i + 6))]
+
+
 def test_readers_of_an_alias_always_find_a_whole_snapshot(spark, tmp_path):
     import pytest
     from pyspark.sql import functions as F
