@@ -1,7 +1,7 @@
 """Near copies by Jaccard similarity of their shingles, for the pipeline's near-duplicate stage.
 
 A fingerprint of 64 bits can't reach a similarity of 0.8: texts that similar lie up to 18 bits apart (README), and an index over so many bits compares nearly all with all. So
-candidates come from MinHash: each text goes into BANDS buckets, each named by ROWS minima of its shingles, and texts that share a bucket are compared exactly. Two texts of
+candidates beyond operator 9's three bits, which the stage takes first (simhash.py), come from MinHash: each text goes into BANDS buckets, each named by ROWS minima of its shingles, and texts that share a bucket are compared exactly. Two texts of
 similarity 0.8 share none with a probability of (1 - 0.8^4)^24 = 3e-6, more similar ones with less; nothing else is left out. Buckets with the same members are compared once.
 A bucket of more than HOT texts is dealt again by further minima, which keep a pair together by the same odds.
 
@@ -104,15 +104,15 @@ def banded(texts: DataFrame, width: int, deal: int = 0) -> DataFrame:
     return texts.mapInArrow(run, "h long, bucket long").distinct()
 
 
-def find_links(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
-    """Links (a, b) between hashes of texts, whose components are those of all pairs of that similarity. docs: with text."""
+def find_links(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, hot: int = HOT, known: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) between hashes of texts, whose components are those of all pairs of that similarity. docs: with text. known: node and root of texts that links join already; buckets of one component alone aren't compared, and those links aren't found again."""
     texts = by_text(docs)
     bands = materialise(banded(texts.withColumn("within", F.lit(0).cast("long")), width))
     links = None
     for deal in range(DEALS + 1):
         shared = bands.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h")).alias("y")).where("n > 1")
         once = materialise(shared.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("n", "bucket"))
-        members = materialise(bands.join(once, "bucket").select("h", "bucket", "n"))
+        members = materialise(spanning(bands.join(once, "bucket").select("h", "bucket", "n"), known))
         last = deal == DEALS
         own = compared(texts, members if last else members.where(F.col("n") <= hot), width, similarity)
         links = own if links is None else links.unionByName(own)
@@ -123,6 +123,15 @@ def find_links(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARI
         bands = materialise(banded(again, width, deal + 1))
 
 
+def spanning(members: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Members of buckets that hold texts of several components."""
+    if known is None:
+        return members
+    rooted = materialise(members.join(small(known), F.col("h") == F.col("node"), "left").select("h", "bucket", "n", F.coalesce("root", "h").alias("root")))
+    several = rooted.groupBy("bucket").agg((F.min("root") < F.max("root")).alias("several")).where("several").select("bucket")
+    return rooted.join(several, "bucket", "left_semi").select("h", "bucket", "n")
+
+
 def held(texts: DataFrame, members: DataFrame) -> DataFrame:
     """The texts of members, one row for each."""
     return texts.join(small(materialise(members.select("h").distinct())), "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))

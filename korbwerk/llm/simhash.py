@@ -32,6 +32,8 @@ from korbwerk.plans.checkpoint import materialise
 WIDTH, SEED, BITS = 3, 42, 3
 FAN, CHUNK = 8, 8192
 HOT = 20_000
+#: Texts of one fingerprint that are compared with each other.
+MET = 1000
 #: Times that crowded buckets are dealt again. After that a bucket shares 44 bits at least, so it can't hold more than 2^20 fingerprints.
 DEALS = 3
 #: Classes up to which so many blocks do.
@@ -270,7 +272,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, width: int = WIDTH, similarity: float | None = None) -> DataFrame:
-    """The document of each component that gives it its name (of equal ids the one whose text hashes lowest), with its columns. With `similarity`, texts of that Jaccard similarity of their shingles or more link (see jaccard.py) instead of near fingerprints.
+    """The document of each component that gives it its name (of equal ids the one whose text hashes lowest), with its columns. With `similarity`, texts of that Jaccard similarity of their shingles or more link: those with near fingerprints (of WIDTH words) that an exact comparison confirms, and those that the fingerprints don't reach (see jaccard.py).
 
     Which rows go is found on numbers alone: doc_id and a hash of the text. Up to BROADCAST_ROWS such keys are broadcast; beyond that the texts are dealt once, by key. Only texts that stand there more than
     once with one doc_id move for their own sake: of such rows any one stays.
@@ -278,12 +280,27 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, similarity: float | None =
     return shielded(docs, "_s_", lambda rows: _deduplicate(rows, width, similarity))
 
 
+def met_texts(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """bucket and h: hashes of texts whose fingerprints are near, some links of which join each component. At most some MET texts of one fingerprint stand in a bucket, and the first of each such part in one of their own."""
+    texts = materialise(fingerprinted(docs, width).select("h", "fp").distinct())
+    classes = materialise(texts.groupBy("fp").agg(F.count("*").alias("n"), F.min("h").alias("of")))
+    found = find_links(classes.select("fp"))
+    crowd = classes.where("n > 1").select("fp", F.ceil(F.col("n") / MET).alias("parts"))
+    parted = texts.join(crowd, "fp").select("h", F.col("fp"), F.pmod(F.xxhash64("h"), "parts").alias("part"))
+    firsts = parted.groupBy("fp", "part").agg(F.min("h").alias("h")).select(F.xxhash64("fp", F.lit("firsts")).alias("bucket"), "h")
+    own = classes.select("fp", "of")
+    apart = found.select(F.xxhash64("a", "b", F.lit("link")).alias("bucket"), F.explode(F.array("a", "b")).alias("fp")).join(own, "fp").select("bucket", F.col("of").alias("h"))
+    return parted.select(F.xxhash64("fp", "part").alias("bucket"), "h").unionByName(firsts).unionByName(apart)
+
+
 def _deduplicate(docs: DataFrame, width: int, similarity: float | None) -> DataFrame:
     if similarity is None:
         found = with_components(materialise(fingerprinted(docs, width))).select("doc_id", "h", "root")
     else:
         ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"))
-        roots = components(jaccard.find_links(docs, width, similarity))
+        near = materialise(jaccard.compared(jaccard.by_text(docs), materialise(met_texts(docs)), width, similarity))
+        known = components(near)
+        roots = components(near.unionByName(jaccard.find_links(docs, width, similarity, known=known)))
         found = ids.join(small(roots), F.col("h") == F.col("node"), "left").select("doc_id", "h", F.coalesce("root", "h").alias("root"))
     keys = found.groupBy("root", "doc_id", "h").agg(F.count("*").alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("i"), F.col("h").alias("t")))

@@ -55,3 +55,22 @@ def test_crowded_buckets_are_dealt_again(spark):
         found = [min(a, b) if x in (a, b) else x for x in found]
     distinct = [i for i in range(len(texts)) if texts[i] not in texts[i + 1 :]]
     assert len({found[i] for i in distinct}) == len(set(root))
+
+
+def test_the_stage_goes_through_fingerprints(spark, monkeypatch):
+    texts = [*ODD, *_near_copies(random.Random(11)), *("same words " * 40 + f"{x} " for x in range(9))]
+    docs, root = docs_of(spark, texts), _roots(texts)
+    monkeypatch.setattr(simhash, "MET", 3)
+    met = simhash.met_texts(docs).collect()
+    of = {r.h: r.doc_id for r in simhash.fingerprinted(docs).collect()}
+    links = simhash.jaccard.compared(jaccard.by_text(docs), simhash.met_texts(docs), 5, 0.8).collect()
+    # what fingerprints and the exact comparison find are links of brute force, among them groups of several fingerprints
+    assert met and links and all(root[of[r.a]] == root[of[r.b]] for r in links)
+    # texts beyond three bits are left to the shingles, whose buckets of one known component aren't compared again
+    known = simhash.components(spark.createDataFrame(links))
+    more = jaccard.find_links(docs, known=known)
+    assert more.count() < jaccard.find_links(docs).count()
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == sorted(set(root))
+    monkeypatch.setattr(simhash.jaccard, "find_links", lambda docs, *_, **__: docs.selectExpr("doc_id as a", "doc_id as b").limit(0))
+    alone = corpus_pipeline.near_duplicates(spark, docs, "").count()
+    assert len(set(root)) < alone < len(set(texts))
