@@ -58,9 +58,10 @@ def deduplicate(listings: DataFrame, priorities: dict[str, int] | None = None) -
     """What is kept, and one row of counts. Phases: same reference; same hash where there is no reference; near key with more than one reference."""
     ref = ustrip(F.col("referenznummer"))
     order = rank(priorities)
-    by_ref = winners(listings.where(ref != ""), ref, order)
-    by_hash = winners(listings.where(ref == ""), secondary_key(), order)
-    remaining = materialise(by_ref.withColumn("_phase", F.lit(1)).unionByName(by_hash.withColumn("_phase", F.lit(2))))
+    # both first phases in one pass: a row has a reference or is known by its hash
+    key = F.when(ref != "", F.concat(F.lit("r"), ref)).otherwise(F.concat(F.lit("h"), secondary_key()))
+    first = winners(listings.where(ref.isNotNull()), key, order)
+    remaining = materialise(first.withColumn("_phase", F.when(ref != "", 1).otherwise(2)))
     keyed = remaining.withColumn("_near", near_key())
     groups = keyed.where("_near is not null").groupBy("_near").agg(F.max_by("ordinal", order).alias("_winner"), F.count("*").alias("_n"), (F.min(ref) != F.max(ref)).alias("_refs"))
     crowded = groups.where("_n > 1 and _refs")

@@ -152,3 +152,14 @@ def test_progress(spark):
     v = spark.sql("""select parse_json('{"categories": {"a": {"n": 1}}}') m, parse_json('{"categories": [{"n": 2}, {"n": 3}]}') l, parse_json('{}') e""")
     assert tuple(v.select(*(F.size(progress.categories_of(F.col(c))) for c in "mle")).first()) == (1, 2, 0)
     assert [tuple(r) for r in spark.range(1).select(progress.share(F.lit(1), F.lit(3)), progress.share(F.lit(1), F.lit(0))).collect()] == [("33.3%", "—")]
+
+
+def test_both_first_phases_read_the_listings_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    frame = listings(spark, [{"referenznummer": "a"}, {"referenznummer": "a "}, {"referenznummer": ""}, {"referenznummer": " "}, {"referenznummer": "", "posisi_kota": "x"}])
+    reads = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: reads.add(1) or x)
+    kept, stats = dedup.deduplicate(frame.withColumn("scraped_at", seen.asNondeterministic()("scraped_at")))
+    assert kept.count() == 3 and stats.first().removed_by_secondary_key == 1 and stats.first().removed_by_refnr_within_category == 1
+    assert reads.value <= 2 * 5
