@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from korbwerk.functions import classify, dates, text
+from korbwerk.functions import classify, dates, extract, text
 
 
 def values(spark, rows, column):
@@ -94,3 +94,23 @@ def test_characters_are_resolved_once(spark):
     # the input is computed once
     plan = spark.range(1).select(strip_html(F.concat(F.lit("marked"), F.col("id").cast("string"))).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("marked") == 1
+
+
+def test_trimming_and_folding_as_patterns_do(spark):
+    # every character of the first plane, at the ends of a text and as a letter of a word
+    chars = [chr(i) for i in range(1, 0x10000) if not 0xD800 <= i < 0xE000]
+    df = spark.createDataFrame([(x,) for x in chars], "x string")
+    space = r"[\s\h\x{85}\x{2028}\x{2029}]"
+    text_ = F.concat("x", F.lit("a"), "x", F.lit("b"), "x")
+    assert df.where(text.ustrip(text_) != F.regexp_replace(text_, f"^{space}+|{space}+$", "")).count() == 0
+    letters = "abcdefghijklmnopqrstuvwxyzäöüß"
+    word = F.concat("x", F.lit("z"))
+    fits = [text.holds_any(text.fold(word), (w + "z",)) != word.rlike(rf"(?iu)\Q{w}z\E") for w in letters]
+    assert df.where(F.array_contains(F.array(*fits), True)).count() == 0
+
+
+def test_sections_by_words_as_by_patterns(spark):
+    words = {"t": ("deine aufgaben", "aufgaben"), "o": ("wir bieten", "vergütung"), "n": ("nie",)}
+    bodies = ["Start\n Deine AUFGABEN \n\n a\nb\nWIR BIETEN\nObst\nDie Aufgaben\nc \nVERGÜTUNG\nviel", "aufgaben", "nichts", "", None]
+    by_words, by_patterns = (values(spark, bodies, text.sections(F.col("a"), m)) for m in (words, {k: extract.any_of(w) for k, w in words.items()}))
+    assert by_words == by_patterns and by_words[0] == {"t": "Deine AUFGABEN\na\nb\nDie Aufgaben\nc", "o": "WIR BIETEN\nObst\nVERGÜTUNG\nviel", "n": ""}

@@ -1,13 +1,17 @@
 """Portal pages and API details."""
 
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from korbwerk.functions.extract import contact_section
-from korbwerk.sources.portal_rules import RULES, parse_by_rules
+from korbwerk.plans import registry
+from korbwerk.sources.portal_rules import RULES, parse_by_rules, parse_sources
 from korbwerk.sources.portals import PORTALS, parse_details, parse_pages
 
+SF = "/root/testdata/sf0.001"
 JOB = {
     "@type": ["JobPosting"], "title": "Ausbildung Fachinformatiker Anwendungsentwicklung", "description": "<p>Das erwartet dich</p><ul><li>Code</li></ul>\n<p>Dein Profil</p><p>Neugier</p><p>Wir bieten</p><p>Obst</p>",
     "jobLocation": [{"address": {"addressLocality": "Aachen", "streetAddress": "Weg 1", "postalCode": "52062"}, "geo": {"latitude": 50.7, "longitude": 6.1}}],
@@ -78,3 +82,21 @@ def test_contact_section(spark):
     texts = ["Start\nDein Kontakt\nFrau Muster\nTel\nDein Profil\nNeugier", "Hier\n0241 123456 oder x@y.example\nKontakt und noch sehr viele andere Wörter dazu", None, "\n".join(["Kontakt", *(f"z{i}" for i in range(20))])]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(contact_section(F.col("t"), "(?i)dein profil")).collect()]
     assert got == ["Dein Kontakt\nFrau Muster\nTel", "0241 123456 oder x@y.example", "", "\n".join(["Kontakt", *(f"z{i}" for i in range(12))])]
+
+
+def test_pages_of_all_portals_are_read_once(spark):
+    if not os.path.isdir(SF):
+        pytest.skip("no driver tables")
+    plan = registry.QUERIES["listing_by_rules"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+
+
+def test_each_page_by_its_own_portals_rules(spark):
+    body = '<p>Foo e.V.</p><p>Dein Kontakt: Frau Muster</p><p>Gehalt 900 €</p><a href="mailto:x@stepstone.de">x</a><a href="mailto:x@azubi.de">y</a><p>hr@foo.example</p>'
+    rows = [(f"https://a.example/{s}", page({**JOB, "description": "<p>DEINE VORTEILE</p><p>Obst</p>"}, body), None, s) for s in ("azubi_de", "stepstone_de", "meinestadt_de", "elsewhere", None)]
+    frame = spark.createDataFrame(rows, "url string, html string, category_id string, source string")
+    portals = [RULES[s] for s in ("azubi_de", "stepstone_de", "meinestadt_de")]
+    together = sorted(map(tuple, parse_sources(frame, portals, keep_all=True).collect()))
+    alone = sorted(tuple(r) for p in portals for r in parse_by_rules(frame.where(F.col("source") == p.source).drop("source"), p, keep_all=True).collect())
+    assert together == alone and len(together) == 3
+    assert [r.alamat_email_bewerbung for r in parse_sources(frame, portals, keep_all=True).orderBy("sumber_data").collect()] == ["x@stepstone.de", "x@stepstone.de", "x@azubi.de"]
